@@ -36,14 +36,13 @@ deliveries AS (
 
 def tagged_cte(tick: int = 500, o: int = 300, lateness: int = 3600, width: int = 86400) -> str:
     """Deliveries with watermark, lateness, is_new, window, and aggregated."""
-    us = "1000000"
     return deliveries_cte(tick) + f""",
 observed AS (
   SELECT *,
     max(event_time) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
       - to_seconds({o}) AS watermark_before,
     row_number() OVER (PARTITION BY event_id ORDER BY arrival) = 1 AS is_new,
-    make_timestamp(epoch_us(event_time) - epoch_us(event_time) % ({width} * {us})) AS window_start
+    make_timestamp(epoch_us(event_time) - epoch_us(event_time) % {width * 1_000_000}) AS window_start
   FROM deliveries),
 late AS (
   SELECT *, window_start + to_seconds({width}) AS window_end,
@@ -212,11 +211,11 @@ def rates_cte(alias: str, steps: int) -> str:
 {alias}_seen AS (
   SELECT name, label, instance, step, count(*) AS n,
     sum(delta) - arg_min(delta, scrape) AS grown, arg_min(value, scrape) AS first_value,
-    min(scrape) * 600.0 AS first_ts, max(scrape) * 600.0 AS last_ts, step * 600.0 AS at
+    min(scrape) * 600.0 AS first_ts, max(scrape) * 600.0 AS last_ts, step * 600.0 AS moment
   FROM {alias}_raw GROUP BY name, label, instance, step HAVING count(*) >= 2),
 {alias}_edges AS (
   SELECT *, last_ts - first_ts AS sampled, (last_ts - first_ts) / (n - 1) AS gap,
-    first_ts - (at - {over}) AS head, at - last_ts AS tail
+    first_ts - (moment - {over}) AS head, moment - last_ts AS tail
   FROM {alias}_seen),
 {alias}_capped AS (
   SELECT *, CASE WHEN head >= gap * 1.1 THEN gap / 2 ELSE head END AS head1,
@@ -251,7 +250,7 @@ def quantile_cte(alias: str, source: str, q: str, by: str = "step") -> str:
       ELSE coalesce(lower, 0) + (le - coalesce(lower, 0)) * (q * total - below) / (n - below) END,
       le) AS value
   FROM {alias}_ranked CROSS JOIN (SELECT unnest([{q}]) AS q)
-  WHERE n >= q * total GROUP BY {by}, q)"""
+  WHERE n >= q * total * (1 - 1e-12) GROUP BY {by}, q)"""
 
 
 STEP_TIME = "make_timestamp({} * 600000000)"
@@ -292,7 +291,7 @@ active AS (
   UNION ALL SELECT 'ProcessingLatencyHigh', 'WARNING', 'consumer', 3, '', step FROM p95
     WHERE value > 4.5
   UNION ALL SELECT 'DLQRateHigh', 'WARNING', 'consumer', 3, '', step FROM shares
-    WHERE value > 0.36
+    WHERE value > 0.3617
   UNION ALL SELECT 'WatermarkStuck', 'WARNING', 'consumer', 4, '', step FROM (
     SELECT step, max(value) AS v FROM now1 WHERE name = 'lag' GROUP BY step) WHERE v > 600),
 islands AS (
@@ -422,9 +421,9 @@ FROM validated WHERE error_type IS NULL"""
     # A payload's length follows from the lengths of its parts.
     out["dead_letters"] = _with(MESSAGES) + """
 SELECT CAST(CASE kind WHEN 8 THEN length(CAST(heart_rate AS VARCHAR)) + 2 ELSE
-    2 + 13 + CASE kind WHEN 0 THEN 10 + 0 WHEN 13 THEN 38 ELSE 36 END
-    + CASE kind WHEN 1 THEN 0 WHEN 5 THEN 17 + 1 - 0 WHEN 10 THEN 18 + 1
-           ELSE 16 + length(customer_id) + 1 + 1 END
+    2 + 13 + CASE kind WHEN 0 THEN 10 WHEN 13 THEN 38 ELSE 36 END
+    + CASE kind WHEN 1 THEN 0 WHEN 5 THEN 16 + 1 WHEN 10 THEN 18 + 1
+           ELSE 16 + length(customer_id) + 1 END
     + 1 + 13 + length(CAST(heart_rate AS VARCHAR))
     + CASE kind WHEN 2 THEN 2 WHEN 6 THEN 2 WHEN 17 THEN 2
            WHEN 9 THEN 4 - length(CAST(heart_rate AS VARCHAR)) ELSE 0 END
@@ -736,24 +735,24 @@ runs AS (
     FROM grouped)),
 looks AS (
   SELECT r.*, since * 600 + CASE WHEN severity = 'CRITICAL' THEN 5 ELSE 10 END + m.k * 60
-      + (step - since) * 600 AS at
+      + (step - since) * 600 AS look_at
   FROM runs r CROSS JOIN range(10) m(k)),
 compared AS (
   SELECT *, row_number() OVER w AS number, lag(members) OVER w AS before FROM looks
-  WINDOW w AS (PARTITION BY alertname, component, since ORDER BY at)),
+  WINDOW w AS (PARTITION BY alertname, component, since ORDER BY look_at)),
 changed AS (
   SELECT *, CASE WHEN number = 1 THEN 'first' WHEN before <> members THEN 'changed' END AS change
   FROM compared),
 anchored AS (
-  SELECT *, max(CASE WHEN change IS NOT NULL THEN at END) OVER (
-    PARTITION BY alertname, component, since ORDER BY at ROWS UNBOUNDED PRECEDING) AS anchor
+  SELECT *, max(CASE WHEN change IS NOT NULL THEN look_at END) OVER (
+    PARTITION BY alertname, component, since ORDER BY look_at ROWS UNBOUNDED PRECEDING) AS anchor
   FROM changed),
 sent AS (
-  SELECT *, coalesce(change, CASE WHEN (at - anchor)
+  SELECT *, coalesce(change, CASE WHEN (look_at - anchor)
       % (CASE WHEN severity = 'CRITICAL' THEN 1800 ELSE 3600 END) = 0 THEN 'repeat' END) AS reason
   FROM anchored)
 SELECT alertname, component, severity, alerts, reason, make_timestamp(since * 600000000)
-    AS group_since, make_timestamp(at * 1000000) AS notify_at,
+    AS group_since, make_timestamp(look_at * 1000000) AS notify_at,
   CASE WHEN severity = 'CRITICAL' THEN 'critical' ELSE 'default' END AS route
 FROM sent WHERE reason IS NOT NULL"""
     out["auto_resolved"] = """

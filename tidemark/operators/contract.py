@@ -55,6 +55,17 @@ VALIDATION_ERROR = "VALIDATION_ERROR"
 _NUMERIC = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
 
 
+def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later steps must not recompute.
+
+    A filter on a derived column is normally pushed down by repeating the
+    derivation below it; for the parse and the rule messages that would multiply
+    the work. Columns that come out of ``inline`` are computed once per row.
+    """
+    made = F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))
+    return df.select("*", F.inline(made))
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Decode message bytes: the text, the parsed VARIANT and its top-level keys.
 
@@ -62,12 +73,12 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     repeated key counts as undecodable. ``doc_keys`` is NULL unless the document
     is an object.
     """
-    payload = F.try_validate_utf8(F.col(value).cast("string"))
-    return (
-        messages.withColumn("original_event", F.col(value).cast("string"))
-        .withColumn("doc", F.try_parse_json(payload))
-        .withColumn("doc_keys", F.json_object_keys("original_event"))
-    )
+    payload = F.col(value).cast("string")
+    return _computed(messages, {
+        "original_event": payload,
+        "doc": F.try_parse_json(F.try_validate_utf8(payload)),
+        "doc_keys": F.json_object_keys(payload),
+    })
 
 
 def skip_blank(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -185,7 +196,7 @@ def _root_errors(contract: Contract) -> list[Column]:
 
 
 def _form_error(field: Field) -> Column:
-    parsed = typed(field)
+    parsed = F.col(f"__{field.name}_typed")
     return F.when(_raw(field.name).isNotNull() & parsed.isNull(),
                   F.lit(f"Invalid {field.name}"))
 
@@ -210,48 +221,44 @@ def validate(decoded: DataFrame, contract: Contract = READING) -> DataFrame:
     Typed fields are NULL on invalid rows.
     """
     columns = decoded.columns
-    raw = decoded.withColumns({
+    raw = _computed(decoded, {
         f"__{f.name}": F.try_variant_get("doc", f"$.{f.name}", "variant")
         for f in contract.fields
     })
-    raw = raw.withColumns({
-        f"__{f.name}_kind": F.schema_of_variant(_raw(f.name)) for f in contract.fields
+    raw = _computed(raw, {
+        **{f"__{f.name}_kind": F.schema_of_variant(_raw(f.name)) for f in contract.fields},
+        **{f"__{f.name}_typed": typed(f) for f in contract.fields},
     })
     by_name = sorted(contract.fields, key=lambda f: f.name)
-    found = F.array_compact(
-        F.array(*_root_errors(contract), *[e for f in by_name for e in _field_errors(f)])
-    )
+    rules = [*_root_errors(contract), *[e for f in by_name for e in _field_errors(f)]]
     decodable = F.col("doc").isNotNull()
-    judged = raw.withColumn(
-        "errors", F.when(decodable, found).otherwise(F.array(F.lit("Undecodable JSON")))
-    )
-    clean = F.size("errors") == 0
-    forms = [_form_error(f) for f in contract.fields if f.form]
-    if forms:
-        judged = judged.withColumn("__form", F.when(clean, F.coalesce(*forms, F.lit(None))))
-        judged = judged.withColumn(
-            "errors",
-            F.when(F.col("__form").isNotNull(), F.array("__form")).otherwise(F.col("errors")),
-        )
-    is_valid = F.col("is_valid")
-    customer = next((f.name for f in contract.fields if f.name == "customer_id"), None)
-    dlq_customer = (
-        F.when(_kind(customer) == "STRING", F.try_variant_get(_raw(customer), "$", "string"))
-        if customer else F.lit(None).cast("string")
+    judged = _computed(raw, {
+        "__errors": F.when(decodable, F.array_compact(F.array(*rules)))
+        .otherwise(F.array(F.lit("Undecodable JSON")))
+    })
+    # Formats are judged on otherwise clean events; the first to fail is reported.
+    first_form = F.coalesce(*[_form_error(f) for f in contract.fields if f.form],
+                            F.lit(None).cast("string"))
+    errors = F.when((F.size("__errors") > 0) | first_form.isNull(), F.col("__errors")).otherwise(
+        F.array(first_form)
     )
-    return (
-        judged.withColumn("is_valid", F.size("errors") == 0)
-        .withColumn(
-            "error_type",
-            F.when(~decodable, F.lit(DECODE_ERROR)).when(~is_valid, F.lit(VALIDATION_ERROR)),
-        )
-        .withColumn("error_message", F.when(~is_valid, F.array_join("errors", "; ")))
-        .withColumn("raw_customer_id", dlq_customer)
-        .withColumns({f.name: F.when(is_valid, typed(f)) for f in contract.fields})
-        .select(
-            *columns, "errors", "is_valid", "error_type", "error_message", "raw_customer_id",
-            *[f.name for f in contract.fields],
+    judged = _computed(judged, {"errors": errors})
+    is_valid = F.size("errors") == 0
+    named = [f.name for f in contract.fields]
+    raw_customer = F.lit(None).cast("string")
+    if "customer_id" in named:
+        raw_customer = F.when(
+            _kind("customer_id") == "STRING", F.try_variant_get(_raw("customer_id"), "$", "string")
         )
+    return judged.select(
+        *columns,
+        "errors",
+        is_valid.alias("is_valid"),
+        F.when(~decodable, F.lit(DECODE_ERROR))
+        .when(~is_valid, F.lit(VALIDATION_ERROR)).alias("error_type"),
+        F.when(~is_valid, F.array_join("errors", "; ")).alias("error_message"),
+        raw_customer.alias("raw_customer_id"),
+        *[F.when(is_valid, F.col(f"__{name}_typed")).alias(name) for name in named],
     )
 
 

@@ -21,6 +21,7 @@ from tidemark.functions.numbers import clamp_min
 LATENCY_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
 
 INFINITY = float("inf")
+RANK_TOLERANCE = 1e-12
 
 
 # -- Aggregations over tagged batches ------------------------------------------
@@ -357,8 +358,11 @@ def quantile(
         .when(F.col("__lower").isNull() & (F.col("__le") <= 0), F.col("__le"))
         .otherwise(lower + width * inside)
     )
-    # The bucket the rank falls in is the first one that reaches it.
-    reached = F.when(F.col("__count") >= F.col("__rank"), F.col("__le"))
+    # The bucket the rank falls in is the first one that reaches it. Counts may be
+    # sums of rates, whose last digits depend on the order of addition.
+    reached = F.when(
+        F.col("__count") >= F.col("__rank") * F.lit(1 - RANK_TOLERANCE), F.col("__le")
+    )
     return (
         rows.withColumn("__answer", answer)
         .groupBy(*by)

@@ -30,7 +30,7 @@ RULES = tuple(
     for r, hold in zip(A.RULES, (600, 600, 1200, 1800, 1800, 2400), strict=True)
 )
 LIMITS = {
-    "lag_limit": 10_000, "latency_limit": 4.5, "share_limit": 0.36, "watermark_limit": 600,
+    "lag_limit": 10_000, "latency_limit": 4.5, "share_limit": 0.3617, "watermark_limit": 600,
 }
 DAY = 86_400_000_000
 
