@@ -42,16 +42,17 @@ def _div(position: Column, size: int) -> Column:
 
 
 def topic_blocks(
-    timestamp: Column, partition: Column, offset: Column, block_rows: int = BLOCK_ROWS
+    timestamp: Column, offset: Column, *source: Column, block_rows: int = BLOCK_ROWS
 ) -> list[list[Column]]:
-    """Nested blocks for the order (timestamp, partition, offset) of a topic.
+    """Nested blocks for the order (timestamp, *source, offset) of topic messages.
 
-    A burst of messages sharing one timestamp is still split, by offset.
+    ``source`` names the topic and partition. A burst of messages sharing one
+    timestamp is still split, by offset.
     """
     return [
         [F.date_trunc("DAY", timestamp)],
         [F.date_trunc("MINUTE", timestamp)],
-        [timestamp, partition, _div(offset.cast("bigint"), block_rows)],
+        [timestamp, *source, _div(offset.cast("bigint"), block_rows)],
     ]
 
 
