@@ -69,16 +69,27 @@ def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Decode message bytes: the text, the parsed VARIANT and its top-level keys.
 
-    ``doc`` is NULL when the bytes are not UTF-8 or not one JSON document; a
-    repeated key counts as undecodable. ``doc_keys`` is NULL unless the document
+    ``doc`` is NULL when the bytes are not UTF-8 or not exactly one JSON document;
+    a repeated key counts as undecodable. ``doc_keys`` is NULL unless the document
     is an object.
+
+    The parser stops after the first value, so text after it would go unnoticed.
+    The payload is therefore parsed as the only element of an array and as the
+    only member of an object: no trailing text fits inside both.
     """
     payload = F.col(value).cast("string")
-    return _computed(messages, {
+    checked = F.try_validate_utf8(payload)
+    alone = F.json_object_keys(F.concat(F.lit('{"v":'), checked, F.lit("}")))
+    parsed = _computed(messages, {
         "original_event": payload,
-        "doc": F.try_parse_json(F.try_validate_utf8(payload)),
-        "doc_keys": F.json_object_keys(payload),
+        "__list": F.try_parse_json(F.concat(F.lit("["), checked, F.lit("]"))),
+        "__alone": F.size(alone) == 1,
     })
+    elements = F.size(F.try_variant_get("__list", "$", "array<variant>"))
+    doc = F.when(F.col("__alone") & (elements == 1), F.try_variant_get("__list", "$[0]", "variant"))
+    parsed = _computed(parsed, {"doc": doc}).drop("__list", "__alone")
+    keys = F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>"))
+    return _computed(parsed, {"doc_keys": keys})
 
 
 def skip_blank(messages: DataFrame, value: str = "value") -> DataFrame:
