@@ -31,15 +31,16 @@ def average() -> Column:
     return F.col("heart_rate_sum") / F.col("event_count")
 
 
-def fold(df: DataFrame, keys: Sequence[str] = KEY, abnormal: Column | None = None) -> DataFrame:
-    """Reduce readings to one mergeable state per key."""
-    abnormal = classify(F.col("heart_rate")) == "ABNORMAL" if abnormal is None else abnormal
+def fold(df: DataFrame, keys: Sequence[str] = KEY, late: bool = False) -> DataFrame:
+    """Reduce readings to one mergeable state per key; ``late`` also counts late rows."""
+    abnormal = classify(F.col("heart_rate")) == "ABNORMAL"
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum("heart_rate").alias("heart_rate_sum"),
         F.min("heart_rate").alias("minimum_heart_rate"),
         F.max("heart_rate").alias("maximum_heart_rate"),
         F.count_if(abnormal).alias("abnormal_count"),
+        *([F.count_if("is_late").alias("late_rows")] if late else []),
     )
 
 

@@ -7,19 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import times
-from tidemark.functions.numbers import round_half_up
 from tidemark.operators import alerts as A
 from tidemark.operators import contract, daily, dedupe, enrich, eventtime, incidents, quality
 from tidemark.operators import metrics as M
+from tidemark.operators.running import blocks_of, running
 from tidemark.plans import alertlog, readings, reports, telemetry
 from tidemark.policy import EventTimePolicy
 from tidemark.session import stage
 from tidemark.sources import tables
+from tidemark.sources.topics import to_messages
+from tidemark.streaming.native import native_daily, with_native_watermark
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +33,6 @@ RULES = tuple(
 LIMITS = {
     "lag_limit": 10_000, "latency_limit": 4.5, "share_limit": 0.3617, "watermark_limit": 600,
 }
-DAY = 86_400_000_000
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -146,8 +146,6 @@ def dead_letter_retention(spark, sf_dir):
 @query
 def messages_by_key(spark, sf_dir):
     """Valid readings as keyed JSON messages, counted per key with their sizes."""
-    from tidemark.sources.topics import to_messages
-
     rows = readings.readings(spark, sf_dir).select("event_id", "customer_id", "heart_rate")
     return to_messages(rows).groupBy("key").agg(
         F.count(F.lit(1)).alias("messages"),
@@ -298,8 +296,6 @@ def window_gauges(spark, sf_dir):
         "tick", F.coalesce("opened", F.lit(0)).alias("opened"),
         F.coalesce("finalized", F.lit(0)).alias("finalized"),
     )
-    from tidemark.operators.running import blocks_of, running
-
     still = running(
         per_tick, F.col("opened") - F.col("finalized"), "windows_open", order=["tick"],
         levels=blocks_of(F.col("tick")), how="sum", inclusive=True,
@@ -310,9 +306,7 @@ def window_gauges(spark, sf_dir):
 @query
 def native_watermark_daily(spark, sf_dir):
     """Daily windows by the engine's own window function and watermark."""
-    from tidemark.streaming.native import native_daily
-
-    return native_daily(readings.readings(spark, sf_dir)).select(
+    return native_daily(with_native_watermark(readings.readings(spark, sf_dir))).select(
         "customer_id", "window_start", "window_end", "event_count", "average_heart_rate",
         "minimum_heart_rate", "maximum_heart_rate", "abnormal_count",
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,38 +45,37 @@ class AlertStream:
         that arrived before it, so the same transition rules apply.
         """
         spark = bodies.sparkSession
-        alerts = incidents.parse_alerts(bodies).persist(StorageLevel.MEMORY_AND_DISK)
-        tagged = None
-        try:
-            keys = alerts.select("fingerprint").distinct()
-            known = self.log.before(spark, tick).join(keys, "fingerprint", "left_semi")
-            newest = latest(
-                known.withColumn("version", F.struct("episode_no", "tick")), ["fingerprint"],
-                "version",
-            )
-            carried = newest.select(
-                F.lit(-1).cast("bigint").alias("arrival"), F.lit(0).alias("position"),
-                F.col("resolved_at").alias("received_at"), "fingerprint", "alert_type",
-                "severity", "message", "source", "status", "created_at", "labels",
-            )
-            is_open = F.when(F.col("status") == "FIRING", 1).otherwise(0)
-            offsets = newest.select("fingerprint", (F.col("episode_no") - is_open).alias("__past"))
-            tagged = incidents.transitions(alerts.unionByName(carried)).persist(
-                StorageLevel.MEMORY_AND_DISK)
-            real = F.col("arrival") >= 0
-            moved = tagged.where(real & (F.col("transition") != "ignored")).select(
-                "fingerprint", "episode_no").distinct()
-            changed = incidents.notifications(tagged).join(
-                moved, ["fingerprint", "episode_no"], "left_semi")
-            numbered = changed.join(offsets, "fingerprint", "left").withColumn(
-                "episode_no", F.col("episode_no") + F.coalesce("__past", F.lit(0))
-            ).select(*schemas.NOTIFICATION.names)
-            self.log.write(numbered, tick)
-            self.counts.write(incidents.alert_counters(tagged.where(real)), tick)
-        finally:
-            for frame in (alerts, tagged):
-                if frame is not None:
-                    frame.unpersist()
+        alerts = self._settle(incidents.parse_alerts(bodies), "alerts")
+        known = self.log.before(spark, tick).join(
+            alerts.select("fingerprint").distinct(), "fingerprint", "left_semi")
+        newest = latest(
+            known.withColumn("version", F.struct("episode_no", "tick")), ["fingerprint"], "version"
+        )
+        carried = newest.select(
+            F.lit(-1).cast("bigint").alias("arrival"), F.lit(0).alias("position"),
+            F.col("resolved_at").alias("received_at"), "fingerprint", "alert_type", "severity",
+            "message", "source", "status", "created_at", "labels",
+        )
+        tagged = self._settle(incidents.transitions(alerts.unionByName(carried)), "tagged")
+        real = F.col("arrival") >= 0
+        moved = tagged.where(real & (F.col("transition") != "ignored")).select(
+            "fingerprint", "episode_no").distinct()
+        changed = incidents.notifications(tagged).join(
+            moved, ["fingerprint", "episode_no"], "left_semi")
+        # Episodes count on from the last known one, which an open notification is.
+        is_open = F.when(F.col("status") == "FIRING", 1).otherwise(0)
+        past = newest.select("fingerprint", (F.col("episode_no") - is_open).alias("__past"))
+        numbered = changed.join(past, "fingerprint", "left").withColumn(
+            "episode_no", F.col("episode_no") + F.coalesce("__past", F.lit(0))
+        ).select(*schemas.NOTIFICATION.names)
+        self.log.write(numbered, tick)
+        self.counts.write(incidents.alert_counters(tagged.where(real)), tick)
+
+    def _settle(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a result that several outputs need; each tick overwrites the last one's."""
+        path = f"{self.root}/work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def start(
         self, bodies: DataFrame, checkpoint: str, *, seconds: int | None = 15

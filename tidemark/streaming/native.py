@@ -13,23 +13,25 @@ from tidemark.operators import daily
 from tidemark.policy import EventTimePolicy
 
 
-def native_daily(
+def with_native_watermark(
     readings: DataFrame, policy: EventTimePolicy = EventTimePolicy()
 ) -> DataFrame:
-    """Windowed aggregation with ``withWatermark``; batch or streaming."""
+    """Declare the engine's watermark; no effect on batch frames."""
     delay = f"{policy.out_of_orderness + policy.allowed_lateness} seconds"
-    keyed = readings.withWatermark("event_time", delay).withColumn(
-        "window", F.window("event_time", f"{policy.window} seconds")
-    )
+    return readings.withWatermark("event_time", delay)
+
+
+def native_dedupe(marked: DataFrame) -> DataFrame:
+    """Bounded-memory duplicate removal: redeliveries within the watermark delay only."""
+    return marked.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def native_daily(marked: DataFrame, policy: EventTimePolicy = EventTimePolicy()) -> DataFrame:
+    """Windowed aggregation of readings with a declared watermark; batch or streaming."""
+    keyed = marked.withColumn("window", F.window("event_time", f"{policy.window} seconds"))
     states = daily.fold(keyed, ("customer_id", "window"))
     return states.select(
         "customer_id", F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"), *daily.MEASURES,
         daily.average().alias("average_heart_rate"),
     )
-
-
-def native_dedupe(readings: DataFrame, policy: EventTimePolicy = EventTimePolicy()) -> DataFrame:
-    """Bounded-memory duplicate removal: redeliveries within the watermark delay only."""
-    delay = f"{policy.out_of_orderness + policy.allowed_lateness} seconds"
-    return readings.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])

@@ -12,7 +12,6 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,10 +50,11 @@ def _ledger_schema() -> T.StructType:
 class EventStream:
     """Where the tables of one stream live, and its policy.
 
-    ``max_event_dates`` limits the duplicate lookup to stored rows of the event
-    dates a tick touches: exact as long as a redelivery repeats its event time,
-    which it does when the message itself is repeated. By default all history is
-    looked up.
+    ``lookup_by_event_date`` limits the duplicate lookup to stored rows of the
+    event dates a tick touches: exact as long as a redelivery repeats its event
+    time, which it does when the message itself is repeated. By default all
+    history is looked up. ``per_source_partition`` keeps one watermark per source
+    partition within a tick, on top of the global one carried between ticks.
     """
 
     root: str
@@ -130,27 +130,40 @@ class EventStream:
         spark = batch.sparkSession
         now = F.lit(dt.datetime.now(dt.UTC))
         previous = self._previous(spark, tick)
-        validated = contracts.validate(contracts.decode(batch), self.contract)
-        validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
-        tagged = changes = None
-        try:
-            valid, invalid = contracts.split(validated)
-            self.dead_letters.write(enrich.dead_letters(invalid, now), tick)
-            tagged = self._tag(spark, contracts.to_readings(valid, self.contract), tick,
-                               previous, now).persist(StorageLevel.MEMORY_AND_DISK)
-            self._write_raw(tagged, tick)
-            top = tagged.agg(F.max("event_time").alias("top")).first()["top"]
-            seen = [t for t in (previous.get("max_event_time"), top) if t is not None]
-            newest = max(seen) if seen else None
-            changes = self._changes(spark, tagged, tick, previous.get("max_event_time"),
-                                    newest, now).persist(StorageLevel.MEMORY_AND_DISK)
-            self._write_states(changes, tick)
-            totals = self._totals(validated, tagged, changes, previous, now)
-            self._write_ledger(spark, tick, newest, totals)
-        finally:
-            for frame in (validated, tagged, changes):
-                if frame is not None:
-                    frame.unpersist()
+        before = previous.get("max_event_time")
+        validated = self._settle(
+            contracts.validate(contracts.decode(batch), self.contract)
+            .drop("key", "value", "doc", "doc_keys", "errors"),
+            "validated",
+        )
+        valid, invalid = contracts.split(validated)
+        self.dead_letters.write(enrich.dead_letters(invalid, now), tick)
+        tagged = self._settle(
+            self._tag(spark, contracts.to_readings(valid, self.contract), tick, before, now),
+            "tagged",
+        )
+        self._write_raw(tagged, tick)
+        totals = {**self._message_totals(validated, now), **self._row_totals(tagged)}
+        seen = [t for t in (before, totals.pop("newest")) if t is not None]
+        newest = max(seen) if seen else None
+        changes = self._settle(
+            self._changes(spark, tagged, tick, before, newest, now), "changes"
+        )
+        self._write_states(changes, tick)
+        totals |= self._window_totals(changes)
+        self._write_ledger(spark, tick, newest, {
+            name: (previous.get(name) or 0) + (totals[name] or 0) for name in TOTALS
+        })
+
+    def _settle(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate result of the tick next to its tables and read it back.
+
+        Several outputs depend on it: they prune its columns, keep short plans,
+        and a lost executor costs a re-read. Each tick overwrites the last one's.
+        """
+        path = f"{self.root}/work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def _previous(self, spark: SparkSession, tick: int) -> dict:
         """The ledger row of the latest earlier tick: one row of numbers."""
@@ -162,11 +175,11 @@ class EventStream:
         return row.asDict() if row else {}
 
     def _tag(
-        self, spark: SparkSession, rows: DataFrame, tick: int, previous: dict, now: Column
+        self, spark: SparkSession, rows: DataFrame, tick: int, carry: dt.datetime | None,
+        now: Column,
     ) -> DataFrame:
         levels = topic_blocks(F.col("src_timestamp"), F.col("src_offset"),
                               F.col("src_topic"), F.col("src_partition"))
-        carry = previous.get("max_event_time")
         observed = eventtime.observe(
             rows, order=ORDER, levels=levels, policy=self.policy,
             carry=None if carry is None else F.lit(carry.replace(tzinfo=dt.UTC)),
@@ -190,8 +203,7 @@ class EventStream:
     ) -> DataFrame:
         """Every window this tick touches or closes, with old and new state."""
         new_rows = daily.assign_window(tagged.where("is_new"), self.policy)
-        late = new_rows.groupBy(*daily.KEY).agg(F.count_if("is_late").alias("late_rows"))
-        partials = daily.fold(new_rows).join(late, list(daily.KEY))
+        partials = daily.fold(new_rows, late=True)
         stored = self._states_before(spark, tick, self._relevant(partials, before))
         old = stored.select(
             *daily.KEY, *[F.col(m).alias(f"old_{m}") for m in daily.MEASURES],
@@ -251,12 +263,9 @@ class EventStream:
         kept = kept.select(*schemas.DAILY.names, F.to_date("window_start").alias("window_date"))
         self.states.write(kept, tick)
 
-    def _totals(
-        self, validated: DataFrame, tagged: DataFrame, changes: DataFrame, previous: dict,
-        now: Column,
-    ) -> dict[str, int]:
+    def _message_totals(self, validated: DataFrame, now: Column) -> dict[str, int]:
         waited = times.seconds_between(F.col("timestamp"), now)
-        from_messages = validated.agg(
+        return validated.agg(
             F.count_if(F.col("error_type") == contracts.DECODE_ERROR).alias("failed_decode"),
             F.count_if(F.col("error_type") == contracts.VALIDATION_ERROR)
             .alias("failed_validation"),
@@ -264,20 +273,23 @@ class EventStream:
             *[F.count_if(waited <= F.lit(le)).alias(f"seconds_le_{index}")
               for index, le in enumerate([*LATENCY_BOUNDS, INFINITY])],
         ).first().asDict()
-        from_rows = tagged.agg(
+
+    def _row_totals(self, tagged: DataFrame) -> dict:
+        return tagged.agg(
+            F.max("event_time").alias("newest"),
             F.count(F.lit(1)).alias("processed"),
             F.count_if(F.col("is_new") & (F.col("status") == "ABNORMAL")).alias("abnormal"),
             F.count_if(~F.col("is_new")).alias("duplicates"),
             F.count_if(~F.col("is_new") & F.col("is_late")).alias("late_duplicate"),
         ).first().asDict()
-        from_windows = changes.agg(
+
+    def _window_totals(self, changes: DataFrame) -> dict[str, int]:
+        return changes.agg(
             F.sum(F.when(F.col("accepted"), F.col("late_rows"))).alias("late_aggregated"),
             F.sum(F.when(F.col("refused"), F.col("late_rows"))).alias("late_finalized"),
             F.count_if("opened").alias("windows_opened"),
             F.count_if("finalizes").alias("windows_finalized"),
         ).first().asDict()
-        fresh = {**from_messages, **from_rows, **from_windows}
-        return {name: (previous.get(name) or 0) + (fresh[name] or 0) for name in TOTALS}
 
     def _write_ledger(
         self, spark: SparkSession, tick: int, newest: dt.datetime | None, totals: dict[str, int]
