@@ -295,15 +295,22 @@ class EventStream:
         self, spark: SparkSession, tick: int, newest: dt.datetime | None, totals: dict[str, int]
     ) -> None:
         now = dt.datetime.now(dt.UTC)
+        one = spark.range(1, numPartitions=1)
         samples = [
-            (now, name, labels, float(value))
+            F.struct(
+                F.lit(now).alias("ts"), F.lit(name).alias("name"),
+                F.create_map(*[F.lit(part) for pair in labels.items() for part in pair])
+                .alias("labels"),
+                F.lit(float(value)).alias("value"),
+            )
             for name, labels, value in _sample_values(totals, newest, now, self.policy)
         ]
-        self.samples.write(
-            spark.createDataFrame(samples, schemas.METRIC_SAMPLE).coalesce(1), tick)
+        self.samples.write(one.select(F.inline(F.array(*samples))), tick)
         moment = None if newest is None else newest.replace(tzinfo=dt.UTC)
-        row = spark.createDataFrame([(moment, *[totals[n] for n in TOTALS])], _ledger_schema())
-        self.ledger.write(row.coalesce(1), tick)
+        self.ledger.write(one.select(
+            F.lit(moment).cast("timestamp").alias("max_event_time"),
+            *[F.lit(totals[name]).cast("bigint").alias(name) for name in TOTALS],
+        ), tick)
 
     # -- Running -----------------------------------------------------------------
 
