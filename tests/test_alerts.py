@@ -21,8 +21,12 @@ def active(spark, steps, instance="i"):
     )
 
 
+def evaluated(spark, steps, rule=RULE):
+    return A.evaluate([A.condition(rule, active(spark, steps), ["instance"])], [rule], GRID)
+
+
 def states(spark, steps, rule=RULE):
-    rows = A.evaluate(rule, active(spark, steps), GRID, ["instance"]).collect()
+    rows = evaluated(spark, steps, rule).collect()
     return {r["step"] - FIRST: r["state"] for r in rows}
 
 
@@ -47,7 +51,7 @@ def test_zero_hold_fires_at_once(spark):
 
 
 def test_intervals(spark):
-    rows = A.intervals(A.evaluate(RULE, active(spark, [0, 1, 2, 3, 4, 5, 10]), GRID, ["instance"]), GRID)
+    rows = A.intervals(evaluated(spark, [0, 1, 2, 3, 4, 5, 10]), GRID)
     got = rows.orderBy("active_at").collect()
     moment = dt.datetime.fromtimestamp(BASE, dt.UTC).replace(tzinfo=None)
     assert got[0]["active_at"] == moment
@@ -57,7 +61,7 @@ def test_intervals(spark):
 
 
 def test_rule_states(spark):
-    found = A.evaluate(RULE, active(spark, range(5)), GRID, ["instance"])
+    found = evaluated(spark, range(5))
     rules = (RULE, A.Rule("Quiet", "CRITICAL", "x", 0, ""))
 
     def at(step):
@@ -68,6 +72,16 @@ def test_rule_states(spark):
     assert at(4) == {"SomethingBroken": "firing", "Quiet": "inactive"}
 
 
+def test_rules_are_followed_separately(spark):
+    other = A.Rule("Other", "CRITICAL", "x", 15, "")
+    found = A.evaluate(
+        [A.condition(RULE, active(spark, range(5)), ["instance"]),
+         A.condition(other, active(spark, [3, 4]))], [RULE, other], GRID)
+    got = {(r["alertname"], r["instance"], r["step"] - FIRST)
+           for r in A.firing(found).collect()}
+    assert got == {("SomethingBroken", "i", 4), ("Other", "", 4)}
+
+
 def firing(spark, rows):
     """``rows``: (alertname, component, instance, severity, steps)."""
     flat = [(n, sev, c, i, FIRST + s, FIRST, "firing")

@@ -94,28 +94,44 @@ def held_since(active: DataFrame, series: Sequence[str], grid: Grid) -> DataFram
     ).select(*columns, "since")
 
 
-def evaluate(rule: Rule, active: DataFrame, grid: Grid, series: Sequence[str] = ()) -> DataFrame:
-    """Alert instances of one rule at every step its condition is true.
+def condition(rule: Rule, holding: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Steps at which a rule's condition holds, labelled with the rule.
 
     ``series`` labels become the ``instance`` text; rules over aggregates have
-    none. State is ``pending`` until the condition has held for the rule's time.
+    none.
     """
     names = [F.col(name) for name in series]
     instance = F.concat_ws(",", *names) if names else F.lit("")
-    rows = active.select("step", instance.alias("instance"), "value")
-    held = held_since(rows, ["instance"], grid)
+    return holding.select(
+        F.lit(rule.name).alias("alertname"), instance.alias("instance"), "step", "value"
+    )
+
+
+def evaluate(conditions: Sequence[DataFrame], rules: Sequence[Rule], grid: Grid) -> DataFrame:
+    """Alert instances of all rules at every step their condition is true.
+
+    State is ``pending`` until the condition has held for the rule's time. All
+    rules are followed in one pass, as series of one frame.
+    """
+    held = held_since(union_all(conditions), ["alertname", "instance"], grid)
+
+    def of_rule(attribute: str) -> Column:
+        pairs = [F.lit(v) for r in rules for v in (r.name, getattr(r, attribute))]
+        return F.create_map(*pairs)[F.col("alertname")]
+
     lasting = (F.col("step") - F.col("since")) * grid.step
     return held.select(
-        F.lit(rule.name).alias("alertname"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.component).alias("component"),
+        "alertname",
+        of_rule("severity").alias("severity"),
+        of_rule("component").alias("component"),
         "instance", "step", "since", "value",
-        F.when(lasting >= rule.hold, F.lit("firing")).otherwise(F.lit("pending")).alias("state"),
+        F.when(lasting >= of_rule("hold"), F.lit("firing")).otherwise(F.lit("pending"))
+        .alias("state"),
     )
 
 
-def evaluate_all(alerts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, alerts)
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def firing(alerts: DataFrame) -> DataFrame:

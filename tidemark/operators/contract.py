@@ -8,11 +8,14 @@ sent ("75" and true are not integers) and the whole check stays in the JVM.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text, times
+from tidemark.operators.once import computed_once
 
 
 @dataclass(frozen=True)
@@ -52,20 +55,6 @@ READING = Contract((
 DECODE_ERROR = "DECODE_ERROR"
 VALIDATION_ERROR = "VALIDATION_ERROR"
 
-_NUMERIC = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
-
-
-def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns that later steps must not recompute.
-
-    A filter on a derived column is normally pushed down by repeating the
-    derivation below it; for the parse and the rule messages that would multiply
-    the work. Columns that come out of ``inline`` are computed once per row.
-    """
-    made = F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))
-    return df.select("*", F.inline(made))
-
-
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Decode message bytes: the text, the parsed VARIANT and its top-level keys.
 
@@ -79,23 +68,28 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     payload = F.col(value).cast("string")
     checked = F.try_validate_utf8(payload)
-    alone = F.json_object_keys(F.concat(F.lit('{"v":'), checked, F.lit("}")))
-    parsed = _computed(messages, {
+    member = F.json_object_keys(F.concat(F.lit('{"v":'), checked, F.lit("}")))
+    parsed = computed_once(messages, {
         "original_event": payload,
         "__list": F.try_parse_json(F.concat(F.lit("["), checked, F.lit("]"))),
-        "__alone": F.size(alone) == 1,
+        # Text without a closing bracket cannot end the array: no second look.
+        "__alone": ~F.contains(payload, F.lit("]")) | (F.size(member) == 1),
     })
     elements = F.size(F.try_variant_get("__list", "$", "array<variant>"))
     doc = F.when(F.col("__alone") & (elements == 1), F.try_variant_get("__list", "$[0]", "variant"))
-    parsed = _computed(parsed, {"doc": doc}).drop("__list", "__alone")
+    parsed = computed_once(parsed, {"doc": doc}).drop("__list", "__alone")
     keys = F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>"))
-    return _computed(parsed, {"doc_keys": keys})
+    return computed_once(parsed, {"doc_keys": keys})
 
 
 def skip_blank(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.where(F.length(text.strip(F.col(value).cast("string"))) > 0)
 
 
+# A rule is a condition that breaks the contract and the message for it.
+Rule = tuple[Column, Column]
+
+
 def _raw(name: str) -> Column:
     return F.col(f"__{name}")
 
@@ -104,31 +98,33 @@ def _kind(name: str) -> Column:
     return F.col(f"__{name}_kind")
 
 
-def _shown(name: str) -> Column:
+def _text(name: str) -> Column:
+    return F.try_variant_get(_raw(name), "$", "string")
+
+
+def _number(name: str) -> Column:
+    # DOUBLE keeps values of any size comparable with the bounds.
+    return F.try_variant_get(_raw(name), "$", "double")
+
+
+def _is_number(name: str) -> Column:
+    return _kind(name).isin("BIGINT", "DOUBLE", "FLOAT") | _kind(name).startswith("DECIMAL")
+
+
+def _shown(value: Column, kind: Column) -> Column:
     """A value as it appears in an error message."""
-    plain = F.try_variant_get(_raw(name), "$", "string")
-    kind = _kind(name)
+    plain = F.try_variant_get(value, "$", "string")
     return (
         F.when(kind == "STRING", text.quoted(plain))
         .when(kind == "BOOLEAN", F.initcap(plain))
         .when(kind == "VOID", F.lit("None"))
         .when(kind.startswith("DECIMAL") & ~F.contains(plain, F.lit(".")),
               F.concat(plain, F.lit(".0")))
-        .when(kind.rlike(_NUMERIC), plain)
-        .otherwise(F.to_json(_raw(name)))
+        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(value))
+        .otherwise(plain)
     )
 
 
-def _is_number(name: str) -> Column:
-    return _kind(name).rlike(_NUMERIC)
-
-
-def _number(name: str) -> Column:
-    # Wide enough for any integer the contract could bound; a DOUBLE fallback
-    # keeps huge values comparable.
-    return F.try_variant_get(_raw(name), "$", "double")
-
-
 def _has_kind(field: Field) -> Column:
     if field.kind == "string":
         return _kind(field.name) == "STRING"
@@ -136,87 +132,62 @@ def _has_kind(field: Field) -> Column:
     return (_kind(field.name) == "BIGINT") | (_is_number(field.name) & whole)
 
 
-def _field_errors(field: Field) -> list[Column]:
-    """Messages of one field, NULL where the rule holds, in reporting order."""
-    present = _raw(field.name).isNotNull()
-    shown = _shown(field.name)
-
-    def message(broken: Column, *words: Column) -> Column:
-        return F.when(present & broken, F.concat(F.lit(f"{field.name}: "), *words))
-
-    errors = [
-        message(~_has_kind(field), shown, F.lit(f" is not of type '{field.kind}'"))
-    ]
-    plain = F.try_variant_get(_raw(field.name), "$", "string")
-    is_text = _kind(field.name) == "STRING"
+def _field_rules(field: Field) -> list[Rule]:
+    """The rules of one field, in reporting order; bounds apply to any number."""
+    name = field.name
+    present, is_text, is_number = _raw(name).isNotNull(), _kind(name) == "STRING", _is_number(name)
+    shown = _shown(_raw(name), _kind(name))
+    length, number = F.char_length(_text(name)), _number(name)
+    rules: list[tuple[Column, str]] = [(~_has_kind(field), f" is not of type '{field.kind}'")]
     if field.min_length is not None:
         words = " should be non-empty" if field.min_length == 1 else " is too short"
-        errors.append(
-            message(is_text & (F.char_length(plain) < field.min_length), shown, F.lit(words))
-        )
+        rules.append((is_text & (length < field.min_length), words))
     if field.max_length is not None:
-        errors.append(
-            message(is_text & (F.char_length(plain) > field.max_length),
-                    shown, F.lit(" is too long"))
-        )
-    number, is_number = _number(field.name), _is_number(field.name)
+        rules.append((is_text & (length > field.max_length), " is too long"))
     if field.minimum is not None:
-        errors.append(
-            message(is_number & (number < field.minimum),
-                    shown, F.lit(f" is less than the minimum of {field.minimum}"))
-        )
+        rules.append((is_number & (number < field.minimum),
+                      f" is less than the minimum of {field.minimum}"))
     if field.maximum is not None:
-        errors.append(
-            message(is_number & (number > field.maximum),
-                    shown, F.lit(f" is greater than the maximum of {field.maximum}"))
-        )
-    return errors
+        rules.append((is_number & (number > field.maximum),
+                      f" is greater than the maximum of {field.maximum}"))
+    return [(present & broken, F.concat(F.lit(f"{name}: "), shown, F.lit(words)))
+            for broken, words in rules]
 
 
-def _root_errors(contract: Contract) -> list[Column]:
+def _root_rules(contract: Contract) -> list[Rule]:
     keys = F.col("doc_keys")
     is_object = keys.isNotNull()
-    root_kind = F.schema_of_variant("doc")
-    errors = [
-        F.when(~is_object, F.concat(
-            F.lit("event: "),
-            F.when(root_kind == "VOID", F.lit("None"))
-            .when(root_kind == "STRING", text.quoted(F.col("doc").cast("string")))
-            .when(root_kind == "BOOLEAN", F.initcap(F.col("doc").cast("string")))
-            .otherwise(F.to_json("doc")),
-            F.lit(" is not of type 'object'"),
-        ))
-    ]
+    shown = _shown(F.col("doc"), F.schema_of_variant("doc"))
+    rules = [(~is_object, F.concat(F.lit("event: "), shown, F.lit(" is not of type 'object'")))]
     if not contract.allow_unknown:
         known = F.array(*[F.lit(f.name) for f in contract.fields])
         extra = F.array_sort(F.array_except(keys, known))
         verb = F.when(F.size(extra) == 1, F.lit("was")).otherwise(F.lit("were"))
-        errors.append(
-            F.when(is_object & (F.size(extra) > 0), F.concat(
-                F.lit("event: Additional properties are not allowed ("),
-                F.array_join(F.transform(extra, text.quoted), ", "),
-                F.lit(" "), verb, F.lit(" unexpected)"),
-            ))
-        )
-    errors += [
-        F.when(is_object & ~F.array_contains(keys, field.name),
-               F.lit(f"event: '{field.name}' is a required property"))
+        # Counting is cheaper than comparing: more keys than known ones present.
+        present = reduce(add, [_raw(f.name).isNotNull().cast("int") for f in contract.fields])
+        rules.append((is_object & (F.size(keys) > present), F.concat(
+            F.lit("event: Additional properties are not allowed ("),
+            F.array_join(F.transform(extra, text.quoted), ", "),
+            F.lit(" "), verb, F.lit(" unexpected)"),
+        )))
+    rules += [
+        (is_object & _raw(field.name).isNull(),
+         F.lit(f"event: '{field.name}' is a required property"))
         for field in contract.fields if field.required
     ]
-    return errors
+    return rules
 
 
 def _form_error(field: Field) -> Column:
     parsed = F.col(f"__{field.name}_typed")
-    return F.when(_raw(field.name).isNotNull() & parsed.isNull(),
-                  F.lit(f"Invalid {field.name}"))
+    return F.when(_raw(field.name).isNotNull() & parsed.isNull(), F.lit(f"Invalid {field.name}"))
 
 
 def typed(field: Field) -> Column:
     """The field's typed value, NULL when it cannot be read as declared."""
     if field.kind == "integer":
         return F.try_variant_get(_raw(field.name), "$", "int")
-    plain = F.try_variant_get(_raw(field.name), "$", "string")
+    plain = _text(field.name)
     if field.form == "uuid":
         return text.canonical_uuid(plain)
     if field.form == "date-time":
@@ -232,34 +203,39 @@ def validate(decoded: DataFrame, contract: Contract = READING) -> DataFrame:
     Typed fields are NULL on invalid rows.
     """
     columns = decoded.columns
-    raw = _computed(decoded, {
+    raw = computed_once(decoded, {
         f"__{f.name}": F.try_variant_get("doc", f"$.{f.name}", "variant")
         for f in contract.fields
     })
-    raw = _computed(raw, {
-        **{f"__{f.name}_kind": F.schema_of_variant(_raw(f.name)) for f in contract.fields},
-        **{f"__{f.name}_typed": typed(f) for f in contract.fields},
+    kinds = computed_once(raw, {
+        f"__{f.name}_kind": F.schema_of_variant(_raw(f.name)) for f in contract.fields
     })
     by_name = sorted(contract.fields, key=lambda f: f.name)
-    rules = [*_root_errors(contract), *[e for f in by_name for e in _field_errors(f)]]
+    rules = [*_root_rules(contract), *[r for f in by_name for r in _field_rules(f)]]
     decodable = F.col("doc").isNotNull()
-    judged = _computed(raw, {
-        "__errors": F.when(decodable, F.array_compact(F.array(*rules)))
-        .otherwise(F.array(F.lit("Undecodable JSON")))
+    any_broken = F.coalesce(reduce(or_, [broken for broken, _ in rules]), F.lit(False))
+    judged = computed_once(kinds, {"__clean": decodable & ~any_broken})
+    # Messages are built for broken events only, typed values for clean ones only.
+    clean = F.col("__clean")
+    found = F.array_compact(F.array(*[F.when(broken, message) for broken, message in rules]))
+    judged = computed_once(judged, {
+        "__errors": F.when(clean, F.array().cast("array<string>"))
+        .when(decodable, found).otherwise(F.array(F.lit("Undecodable JSON"))),
+        **{f"__{f.name}_typed": F.when(clean, typed(f)) for f in contract.fields},
     })
     # Formats are judged on otherwise clean events; the first to fail is reported.
     first_form = F.coalesce(*[_form_error(f) for f in contract.fields if f.form],
                             F.lit(None).cast("string"))
-    errors = F.when((F.size("__errors") > 0) | first_form.isNull(), F.col("__errors")).otherwise(
-        F.array(first_form)
-    )
-    judged = _computed(judged, {"errors": errors})
+    judged = computed_once(judged, {
+        "errors": F.when(clean & first_form.isNotNull(), F.array(first_form))
+        .otherwise(F.col("__errors"))
+    })
     is_valid = F.size("errors") == 0
     named = [f.name for f in contract.fields]
     raw_customer = F.lit(None).cast("string")
     if "customer_id" in named:
         raw_customer = F.when(
-            _kind("customer_id") == "STRING", F.try_variant_get(_raw("customer_id"), "$", "string")
+            _kind("customer_id") == "STRING", _text("customer_id")
         )
     return judged.select(
         *columns,

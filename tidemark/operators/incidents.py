@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text, times
+from tidemark.operators.once import computed_once
 from tidemark.operators.running import blocks_of, running
 
 ORDER = ("arrival", "position")
@@ -28,8 +29,6 @@ def parse_alerts(bodies: DataFrame, body: str = "body") -> DataFrame:
     body whose ``alerts`` is not a list yields nothing, and entries that are not
     objects are skipped.
     """
-    doc = F.try_parse_json(body)
-    entries = F.try_variant_get(doc, "$.alerts", "array<variant>")
     alert = F.col("alert")
     labels, notes = F.col("labels"), F.col("annotations")
 
@@ -40,24 +39,27 @@ def parse_alerts(bodies: DataFrame, body: str = "body") -> DataFrame:
         found = F.try_variant_get(alert, f"$.{name}", "map<string,string>")
         return F.coalesce(found, F.create_map().cast("map<string,string>"))
 
-    return (
-        bodies.select("arrival", "received_at", F.posexplode(entries).alias("position", "alert"))
-        .where(F.schema_of_variant(alert).startswith("OBJECT"))
-        .withColumns({"labels": mapping("labels"), "annotations": mapping("annotations")})
-        .select(
-            "arrival", "position", "received_at",
-            F.coalesce(
-                F.when(field("fingerprint") != "", field("fingerprint")),
-                text.label_fingerprint(labels),
-            ).alias("fingerprint"),
-            text.alert_type(labels["alertname"]).alias("alert_type"),
-            text.severity(labels["severity"]).alias("severity"),
-            text.alert_message(notes, labels).alias("message"),
-            text.alert_source(labels).alias("source"),
-            text.alert_status(field("status")).alias("status"),
-            alert_time(field("startsAt"), F.col("received_at")).alias("created_at"),
-            labels,
-        )
+    entries = F.try_variant_get(F.try_parse_json(body), "$.alerts", "array<variant>")
+    found = computed_once(bodies, {"__entries": entries}).select(
+        "arrival", "received_at", F.posexplode("__entries").alias("position", "alert")
+    ).where(F.schema_of_variant(alert).startswith("OBJECT"))
+    found = computed_once(found, {
+        "labels": mapping("labels"), "annotations": mapping("annotations"),
+        **{f"__{name}": field(name) for name in ("fingerprint", "status", "startsAt")},
+    })
+    return found.select(
+        "arrival", "position", "received_at",
+        F.coalesce(
+            F.when(F.col("__fingerprint") != "", F.col("__fingerprint")),
+            text.label_fingerprint(labels),
+        ).alias("fingerprint"),
+        text.alert_type(labels["alertname"]).alias("alert_type"),
+        text.severity(labels["severity"]).alias("severity"),
+        text.alert_message(notes, labels).alias("message"),
+        text.alert_source(labels).alias("source"),
+        text.alert_status(F.col("__status")).alias("status"),
+        alert_time(F.col("__startsAt"), F.col("received_at")).alias("created_at"),
+        labels,
     )
 
 

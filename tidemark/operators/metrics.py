@@ -112,6 +112,31 @@ def select_series(
     )
 
 
+def select_metrics(
+    samples: DataFrame, names: Sequence[str], label: Column,
+    matching: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Samples of several metrics as series (name, instance, label).
+
+    One evaluation then serves all of them with one shuffle.
+    """
+    rows = samples.where(F.col("name").isin(*names))
+    for key, wanted in (matching or {}).items():
+        rows = rows.where(F.col("labels")[key] == wanted)
+    return rows.select(
+        "ts", "name", F.coalesce(F.col("labels")["instance"], F.lit("")).alias("instance"),
+        F.coalesce(label, F.lit("")).alias("label"), "value",
+    )
+
+
+def seen_at(samples: DataFrame, at_step: Column, over: int, grid: Grid) -> DataFrame:
+    """Only the samples an evaluation at one step can see; prunes before any shuffle."""
+    at = F.unix_micros(grid.time(at_step))
+    return samples.where(
+        (F.unix_micros("ts") <= at) & (F.unix_micros("ts") > at - over * 1_000_000)
+    )
+
+
 # -- Evaluation grid ---------------------------------------------------------------
 
 

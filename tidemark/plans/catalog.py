@@ -469,7 +469,7 @@ def latency_quantiles(spark, sf_dir):
     """p50, p95 and p99 of the cumulative histogram, per event type."""
     rows = readings.events(spark, sf_dir).withColumn("seconds", F.col("value") / 100)
     buckets = M.histogram(rows, F.col("seconds"), by=["event_type"])
-    return A.evaluate_all([
+    return A.union_all([
         M.quantile(buckets, q, by=["event_type"], value="count").withColumn("q", F.lit(q))
         for q in (0.5, 0.95, 0.99)
     ])
@@ -513,7 +513,8 @@ def counter_rates(spark, sf_dir):
 def counter_increase(spark, sf_dir):
     """increase() of late events by outcome, not extrapolated."""
     labels = ["instance", "aggregated"]
-    series = M.select_series(_samples(spark, sf_dir), telemetry.LATE, labels)
+    series = M.select_series(
+        _samples(spark, sf_dir), telemetry.LATE, labels, {"job": telemetry.JOB})
     grown = M.increase(series, labels, LONG, telemetry.GRID, extrapolate=False)
     return M.across(grown, by=["aggregated"]).select("aggregated", "eval_ts", "value")
 
@@ -521,7 +522,8 @@ def counter_increase(spark, sf_dir):
 @query
 def latency_p95(spark, sf_dir):
     """p95 over the rates of the latency buckets, at every step."""
-    return telemetry.latency_quantile(_samples(spark, sf_dir), 0.95, LONG).select(
+    evaluated = telemetry.rates(_samples(spark, sf_dir), [telemetry.LATENCY_BUCKET], LONG)
+    return telemetry.latency_quantile(evaluated, 0.95).select(
         "eval_ts", "value"
     )
 
@@ -529,7 +531,7 @@ def latency_p95(spark, sf_dir):
 @query
 def gauge_summary(spark, sf_dir):
     """sum, max, min and count of a gauge over instances, at every step."""
-    now = telemetry.now_values(_samples(spark, sf_dir), telemetry.WATERMARK_LAG, LOOKBACK)
+    now = telemetry.gauges(_samples(spark, sf_dir), [telemetry.WATERMARK_LAG], LOOKBACK)
     return now.groupBy("eval_ts").agg(
         F.sum("value").alias("total"), F.max("value").alias("highest"),
         F.min("value").alias("lowest"), F.count("value").alias("instances"),
@@ -540,7 +542,7 @@ def gauge_summary(spark, sf_dir):
 def absent_steps(spark, sf_dir):
     """Steps at which no instance reports being up."""
     samples = _samples(spark, sf_dir)
-    up = telemetry.now_values(samples, telemetry.UP, telemetry.SCRAPE_SECONDS, job=telemetry.JOB)
+    up = telemetry.gauges(samples, [telemetry.UP], telemetry.SCRAPE_SECONDS)
     steps = M.spine(M.step_bounds(samples, telemetry.GRID), telemetry.GRID)
     return M.absent(steps, up).select("eval_ts", "value")
 
@@ -548,7 +550,9 @@ def absent_steps(spark, sf_dir):
 @query
 def dead_letter_share(spark, sf_dir):
     """Share of dead-lettered messages at every step."""
-    return telemetry.dead_letter_share(_samples(spark, sf_dir), LONG).select("eval_ts", "value")
+    counters = [telemetry.DEAD_LETTERED, telemetry.PROCESSED]
+    evaluated = telemetry.rates(_samples(spark, sf_dir), counters, LONG)
+    return telemetry.dead_letter_share(evaluated).select("eval_ts", "value")
 
 
 @query
@@ -567,7 +571,7 @@ def dashboard_feeds(spark, sf_dir):
     feeds = telemetry.panels(
         _staged_samples(spark, sf_dir), short=SHORT, long=LONG, lookback=LOOKBACK
     )
-    points = A.evaluate_all([f.select("panel", "legend", "value") for f in feeds.values()])
+    points = A.union_all([f.select("panel", "legend", "value") for f in feeds.values()])
     return points.groupBy("panel", "legend").agg(
         F.count("value").alias("points"),
         F.round(F.sum("value"), 4).alias("total"), F.max("value").alias("peak"),
@@ -653,24 +657,28 @@ def parsed_alerts(spark, sf_dir):
     )
 
 
+def _alert_log(spark, sf_dir):
+    # Parsed once and written: the transitions read it several times.
+    return stage(alertlog.alert_log(spark, sf_dir), "alert-log")
+
+
 @query
 def notification_history(spark, sf_dir):
     """Episodes per fingerprint, opened by FIRING and closed by RESOLVED."""
-    history = incidents.notification_history(alertlog.alert_log(spark, sf_dir))
-    return history.drop("labels")
+    return _history(spark, sf_dir).drop("labels")
 
 
 @query
 def alert_transitions(spark, sf_dir):
     """What every received alert did: opened, closed or ignored."""
-    return incidents.transitions(alertlog.alert_log(spark, sf_dir)).select(
+    return incidents.transitions(_alert_log(spark, sf_dir)).select(
         "arrival", F.col("position").cast("bigint").alias("position"), "fingerprint", "status",
         "transition", "episode_no",
     )
 
 
 def _history(spark, sf_dir):
-    return incidents.notification_history(alertlog.alert_log(spark, sf_dir))
+    return incidents.notification_history(_alert_log(spark, sf_dir))
 
 
 @query
@@ -697,7 +705,7 @@ def notifications_of_type(spark, sf_dir):
 @query
 def alert_counters(spark, sf_dir):
     return incidents.alert_counters(
-        incidents.transitions(alertlog.alert_log(spark, sf_dir))
+        incidents.transitions(_alert_log(spark, sf_dir))
     )
 
 
@@ -709,7 +717,7 @@ def notification_checks(spark, sf_dir):
 @query
 def open_then_close(spark, sf_dir):
     """Notifications opened by the earlier half of the alerts, closed by the later half."""
-    log = alertlog.alert_log(spark, sf_dir)
+    log = _alert_log(spark, sf_dir)
     middle = readings.events(spark, sf_dir).agg(
         F.call_function("div", F.max("event_id"), F.lit(2))
     ).scalar()

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import times
 from tidemark.operators import contract
-from tidemark.operators.dedupe import flag_first_arrivals
 from tidemark.operators.daily import flag_aggregated
+from tidemark.operators.dedupe import flag_first_arrivals
 from tidemark.operators.enrich import with_status
 from tidemark.operators.eventtime import observe, tick_ledger
+from tidemark.operators.once import computed_once
 from tidemark.policy import EventTimePolicy
 from tidemark.session import ensure_utc
 
@@ -162,9 +163,12 @@ def _payload(number: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row as a topic message with a JSON payload."""
-    return all_readings(spark, sf_dir).select(
+    rows = computed_once(
+        all_readings(spark, sf_dir), {"value": _payload(F.col("seq")).cast("binary")}
+    )
+    return rows.select(
         F.col("customer_id").alias("key"),
-        _payload(F.col("seq")).cast("binary").alias("value"),
+        "value",
         F.lit(TOPIC).alias("topic"),
         F.col("src_partition").alias("partition"),
         F.col("seq").alias("offset"),

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
+from tidemark.functions.numbers import clamp_min
 from tidemark.operators import alerts as A
 from tidemark.operators import metrics as M
 from tidemark.plans.readings import TOPIC, _reading_columns, events
+from tidemark.session import stage
 
 SCRAPE_SECONDS = 600
 GRID = M.Grid(step=SCRAPE_SECONDS)
@@ -113,47 +115,62 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scrapes(spark, sf_dir).select(ts.alias("ts"), F.inline(F.array(*produced)))
 
 
-INSTANCE = ("instance",)
+SERIES = ("name", "instance", "label")
 
 
-def total_rate(samples: DataFrame, name: str, over: int, grid: M.Grid = GRID) -> DataFrame:
-    """sum(rate(name[over])) at every step."""
-    series = M.select_series(samples, name, _labels_of(name))
-    return M.across(M.rate(series, _labels_of(name), over, grid))
+def _label() -> Column:
+    """The label that tells series of one metric and instance apart."""
+    labels = F.col("labels")
+    return F.coalesce(*[labels[n] for n in ("aggregated", "le", "reason", "partition")])
 
 
-def _labels_of(name: str) -> Sequence[str]:
-    return {
-        LATE: ("instance", "aggregated"),
-        LATENCY_BUCKET: ("instance", "le"),
-        FAILED: ("instance", "reason"),
-        PARTITION_LAG: ("instance", "topic", "partition"),
-    }.get(name, INSTANCE)
+def rates(
+    samples: DataFrame, names: Sequence[str], over: int, grid: M.Grid = GRID
+) -> DataFrame:
+    """rate() of every series of the named counters at every step."""
+    return M.rate(M.select_metrics(samples, names, _label()), SERIES, over, grid)
 
 
-def now_values(
-    samples: DataFrame, name: str, lookback: int, grid: M.Grid = GRID, job: str | None = None
+def gauges(
+    samples: DataFrame, names: Sequence[str], lookback: int, grid: M.Grid = GRID
 ) -> DataFrame:
-    matching = {"job": job} if job else None
-    series = M.select_series(samples, name, _labels_of(name), matching)
-    return M.instant(series, _labels_of(name), grid, lookback)
+    """Current value of every series of the named metrics at every step."""
+    return M.instant(M.select_metrics(samples, names, _label()), SERIES, grid, lookback)
+
+
+def named(values: DataFrame, name: str) -> DataFrame:
+    return values.where(F.col("name") == name)
 
 
-def bucket_rates(samples: DataFrame, over: int, grid: M.Grid = GRID) -> DataFrame:
-    """sum by (le) (rate(buckets[over])) with numeric ``le``."""
-    series = M.select_series(samples, LATENCY_BUCKET, _labels_of(LATENCY_BUCKET))
-    rates = M.across(M.rate(series, _labels_of(LATENCY_BUCKET), over, grid), by=("le",))
-    bound = F.when(F.col("le") == "+Inf", F.lit(M.INFINITY)).otherwise(F.col("le").cast("double"))
-    return rates.withColumn("le", bound)
+def total(values: DataFrame, name: str, how: str = "sum") -> DataFrame:
+    return M.across(named(values, name), how)
 
 
-def latency_quantile(samples: DataFrame, q: float, over: int, grid: M.Grid = GRID) -> DataFrame:
-    return M.quantile(bucket_rates(samples, over, grid), q)
+def bucket_rates(evaluated: DataFrame) -> DataFrame:
+    """sum by (le) of evaluated bucket rates, with numeric ``le``."""
+    summed = M.across(named(evaluated, LATENCY_BUCKET), by=("label",))
+    label = F.col("label")
+    bound = F.when(label == "+Inf", F.lit(M.INFINITY)).otherwise(label.try_cast("double"))
+    return summed.withColumn("le", bound)
 
 
-def dead_letter_share(samples: DataFrame, over: int, grid: M.Grid = GRID) -> DataFrame:
-    return M.share(
-        total_rate(samples, DEAD_LETTERED, over, grid), total_rate(samples, PROCESSED, over, grid)
+def latency_quantile(evaluated: DataFrame, q: float) -> DataFrame:
+    return M.quantile(bucket_rates(evaluated), q)
+
+
+def dead_letter_share(evaluated: DataFrame) -> DataFrame:
+    """Dead-lettered share of all messages, as one conditional aggregation per step."""
+    def part(name: str) -> Column:
+        return F.sum(F.when(F.col("name") == name, F.col("value")))
+
+    letters, processed = F.col("__letters"), F.col("__processed")
+    return (
+        evaluated.where(F.col("name").isin(DEAD_LETTERED, PROCESSED))
+        .groupBy("step", "eval_ts")
+        .agg(part(DEAD_LETTERED).alias("__letters"), part(PROCESSED).alias("__processed"))
+        .where(letters.isNotNull() & processed.isNotNull())
+        .select("step", "eval_ts",
+                (letters / clamp_min(letters + processed, 0.001)).alias("value"))
     )
 
 
@@ -162,103 +179,121 @@ def throughput_summary(
     grid: M.Grid = GRID,
 ) -> DataFrame:
     """The ten named values of the throughput report at one evaluation step."""
-    healthy = now_values(samples, UP, lookback, grid, JOB).where(F.col("value") == 1)
+    reach = max(short, long, lookback)
+    visible = M.seen_at(samples, at_step, reach, grid)
+
+    def at(values: DataFrame) -> DataFrame:
+        return values.where(F.col("step") == at_step)
+
+    counters = at(rates(visible, [PROCESSED, FAILED, ABNORMAL, LATE], short, grid))
+    buckets = at(rates(visible, [LATENCY_BUCKET], long, grid))
+    current = at(gauges(visible, [WATERMARK_LAG, WINDOWS_OPEN, UP], lookback, grid))
+    healthy = current.where(F.col("value") == 1)
     frames = {
-        "processed/sec": total_rate(samples, PROCESSED, short, grid),
-        "failed/sec": total_rate(samples, FAILED, short, grid),
-        "abnormal/sec": total_rate(samples, ABNORMAL, short, grid),
-        "late/sec": total_rate(samples, LATE, short, grid),
-        "p50 latency (s)": latency_quantile(samples, 0.50, long, grid),
-        "p95 latency (s)": latency_quantile(samples, 0.95, long, grid),
-        "p99 latency (s)": latency_quantile(samples, 0.99, long, grid),
-        "watermark lag (s)": M.across(now_values(samples, WATERMARK_LAG, lookback, grid), "max"),
-        "windows open": M.across(now_values(samples, WINDOWS_OPEN, lookback, grid)),
-        "consumer instances": M.across(healthy, "count"),
+        "processed/sec": total(counters, PROCESSED),
+        "failed/sec": total(counters, FAILED),
+        "abnormal/sec": total(counters, ABNORMAL),
+        "late/sec": total(counters, LATE),
+        "p50 latency (s)": latency_quantile(buckets, 0.50),
+        "p95 latency (s)": latency_quantile(buckets, 0.95),
+        "p99 latency (s)": latency_quantile(buckets, 0.99),
+        "watermark lag (s)": total(current, WATERMARK_LAG, "max"),
+        "windows open": total(current, WINDOWS_OPEN),
+        "consumer instances": total(healthy, UP, "count"),
     }
-    return A.evaluate_all([
-        frame.where(F.col("step") == at_step).select(F.lit(name).alias("name"), "value")
-        for name, frame in frames.items()
+    return A.union_all([
+        frame.select(F.lit(name).alias("name"), "value") for name, frame in frames.items()
     ])
 
 
 def panels(
     samples: DataFrame, *, short: int, long: int, lookback: int, grid: M.Grid = GRID
 ) -> dict[str, DataFrame]:
-    """One frame (panel, legend, eval_ts, value) per dashboard panel."""
+    """One frame (panel, legend, eval_ts, value) per dashboard panel.
+
+    The three evaluations behind them are written once and read per panel.
+    """
 
     def feed(title: str, frames: dict[str, DataFrame]) -> DataFrame:
-        return A.evaluate_all([
+        return A.union_all([
             frame.select(F.lit(title).alias("panel"), F.lit(legend).alias("legend"),
                          "eval_ts", "value")
             for legend, frame in frames.items()
         ])
 
-    def total(name: str) -> DataFrame:
-        return M.across(now_values(samples, name, lookback, grid))
+    def labelled(title: str, frame: DataFrame, prefix: str, label: str) -> DataFrame:
+        return frame.select(
+            F.lit(title).alias("panel"), F.concat(F.lit(prefix), label).alias("legend"),
+            "eval_ts", "value",
+        )
 
-    late = M.select_series(samples, LATE, _labels_of(LATE))
-    late_by = M.across(M.increase(late, _labels_of(LATE), long, grid), by=("aggregated",))
-    lag = now_values(samples, WATERMARK_LAG, lookback, grid)
+    current = stage(gauges(
+        samples,
+        [PROCESSED, DEAD_LETTERED, ABNORMAL, LATE, WATERMARK_LAG, WINDOWS_OPEN,
+         WINDOWS_FINALIZED],
+        lookback, grid), "panel-values")
+    recent = stage(rates(samples, [PROCESSED, FAILED], short, grid), "panel-rates")
+    slow = stage(rates(samples, [LATENCY_BUCKET, LATE], long, grid), "panel-slow-rates")
+    late = M.across(named(slow, LATE), by=("label",)).withColumn(
+        "value", F.col("value") * F.lit(float(long)))
     return {
-        "Messages processed": feed("Messages processed", {"processed": total(PROCESSED)}),
-        "DLQ events": feed("DLQ events", {"dlq": total(DEAD_LETTERED)}),
-        "Abnormal events": feed("Abnormal events", {"abnormal": total(ABNORMAL)}),
-        "Late events": feed("Late events", {"late": total(LATE)}),
+        "Messages processed": feed("Messages processed", {"processed": total(current, PROCESSED)}),
+        "DLQ events": feed("DLQ events", {"dlq": total(current, DEAD_LETTERED)}),
+        "Abnormal events": feed("Abnormal events", {"abnormal": total(current, ABNORMAL)}),
+        "Late events": feed("Late events", {"late": total(current, LATE)}),
         "Messages per second": feed("Messages per second", {
-            "processed/sec": total_rate(samples, PROCESSED, short, grid),
-            "failed/sec": total_rate(samples, FAILED, short, grid),
+            "processed/sec": total(recent, PROCESSED), "failed/sec": total(recent, FAILED),
         }),
         "Processing latency": feed("Processing latency", {
-            label: latency_quantile(samples, q, long, grid)
-            for label, q in (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))
+            name: latency_quantile(slow, q)
+            for name, q in (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))
         }),
-        "Watermark lag": lag.select(
-            F.lit("Watermark lag").alias("panel"),
-            F.concat(F.lit("lag "), "instance").alias("legend"), "eval_ts", "value",
-        ),
-        "Late events by aggregate outcome": late_by.select(
-            F.lit("Late events by aggregate outcome").alias("panel"),
-            F.concat(F.lit("aggregated="), "aggregated").alias("legend"), "eval_ts", "value",
-        ),
+        "Watermark lag": labelled(
+            "Watermark lag", named(current, WATERMARK_LAG), "lag ", "instance"),
+        "Late events by aggregate outcome": labelled(
+            "Late events by aggregate outcome", late, "aggregated=", "label"),
         "Windows": feed("Windows", {
-            "open": total(WINDOWS_OPEN), "finalized (cumulative)": total(WINDOWS_FINALIZED),
+            "open": total(current, WINDOWS_OPEN),
+            "finalized (cumulative)": total(current, WINDOWS_FINALIZED),
         }),
     }
 
 
 def alert_conditions(
-    samples: DataFrame, *, over: int, lookback: int, grid: M.Grid = GRID,
+    samples: DataFrame, *, over: int, lookback: int, grid: M.Grid = GRID, job: str = JOB,
     lag_limit: float = A.LAG_LIMIT, latency_limit: float = A.LATENCY_LIMIT,
     share_limit: float = A.DEAD_LETTER_LIMIT, watermark_limit: float = A.WATERMARK_LAG_LIMIT,
-) -> dict[str, tuple[DataFrame, Sequence[str]]]:
-    """Per rule name: the steps its condition holds, and its instance labels."""
-    up = now_values(samples, UP, lookback, grid, JOB)
+) -> list[DataFrame]:
+    """Steps at which the condition of each built-in rule holds."""
+    evaluated = stage(
+        rates(samples, [DEAD_LETTERED, PROCESSED, LATENCY_BUCKET], over, grid), "rule-rates")
+    current = stage(
+        gauges(samples.where(F.col("labels")["job"] == job),
+               [UP, SINK_UP, PARTITION_LAG, WATERMARK_LAG], lookback, grid), "rule-values")
+    up = named(current, UP)
     missing = M.absent(M.spine(M.step_bounds(samples, grid), grid), up)
     down = up.where(F.col("value") == 0).select("step", "instance", "value").unionByName(
         missing.select("step", F.lit("").alias("instance"), "value")
     )
-    sink = now_values(samples, SINK_UP, lookback, grid).where(F.col("value") == 0)
-    lag = M.across(now_values(samples, PARTITION_LAG, lookback, grid))
-    latency = latency_quantile(samples, 0.95, over, grid)
-    letters = dead_letter_share(samples, over, grid)
-    behind = M.across(now_values(samples, WATERMARK_LAG, lookback, grid), "max")
-    return {
-        A.CONSUMER_DOWN.name: (down, INSTANCE),
-        A.SINK_UNAVAILABLE.name: (sink, INSTANCE),
-        A.LAG_HIGH.name: (lag.where(F.col("value") > lag_limit), ()),
-        A.LATENCY_HIGH.name: (latency.where(F.col("value") > latency_limit), ()),
-        A.DEAD_LETTERS_HIGH.name: (letters.where(F.col("value") > share_limit), ()),
-        A.WATERMARK_STUCK.name: (behind.where(F.col("value") > watermark_limit), ()),
-    }
+    lag = total(current, PARTITION_LAG)
+    behind = total(current, WATERMARK_LAG, "max")
+    latency = latency_quantile(evaluated, 0.95)
+    value = F.col("value")
+    return [
+        A.condition(A.CONSUMER_DOWN, down, ["instance"]),
+        A.condition(A.SINK_UNAVAILABLE, named(current, SINK_UP).where(value == 0), ["instance"]),
+        A.condition(A.LAG_HIGH, lag.where(value > lag_limit)),
+        A.condition(A.LATENCY_HIGH, latency.where(value > latency_limit)),
+        A.condition(A.DEAD_LETTERS_HIGH, dead_letter_share(evaluated).where(value > share_limit)),
+        A.condition(A.WATERMARK_STUCK, behind.where(value > watermark_limit)),
+    ]
 
 
 def evaluate_rules(
     samples: DataFrame, rules: Sequence[A.Rule] = A.RULES, *, over: int = 300,
-    lookback: int = 300, grid: M.Grid = M.Grid(), **limits: float,
+    lookback: int = 300, grid: M.Grid = M.Grid(), job: str = JOB, **limits: float,
 ) -> DataFrame:
     """Pending and firing alert instances of all rules at every step."""
-    conditions = alert_conditions(samples, over=over, lookback=lookback, grid=grid, **limits)
-    return A.evaluate_all([
-        A.evaluate(rule, conditions[rule.name][0], grid, conditions[rule.name][1])
-        for rule in rules
-    ])
+    conditions = alert_conditions(
+        samples, over=over, lookback=lookback, grid=grid, job=job, **limits)
+    return A.evaluate(conditions, rules, grid)
