@@ -24,19 +24,22 @@ READINGS = ALL_READINGS + """,
 readings AS (SELECT * FROM all_readings WHERE heart_rate BETWEEN 20 AND 250)"""
 
 
-def deliveries_cte(tick: int = 500) -> str:
+def deliveries_cte(tick: int = 500, expression: str | None = None) -> str:
     return READINGS + f""",
 deliveries AS (
-  SELECT *, arrival // {2 * tick} AS tick FROM (
+  SELECT *, {expression or f"arrival // {2 * tick}"} AS tick FROM (
     SELECT *, seq * 2 AS arrival FROM readings
     UNION ALL
     SELECT *, (seq + CASE WHEN seq % 200 = 0 THEN 3 ELSE 1450 END) * 2 + 1 AS arrival
     FROM readings WHERE seq % 100 = 0))"""
 
 
-def tagged_cte(tick: int = 500, o: int = 300, lateness: int = 3600, width: int = 86400) -> str:
+def tagged_cte(
+    tick: int = 500, o: int = 300, lateness: int = 3600, width: int = 86400,
+    expression: str | None = None,
+) -> str:
     """Deliveries with watermark, lateness, is_new, window, and aggregated."""
-    return deliveries_cte(tick) + f""",
+    return deliveries_cte(tick, expression) + f""",
 observed AS (
   SELECT *,
     max(event_time) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -537,6 +540,15 @@ SELECT customer_id, date_trunc('day', event_time)::TIMESTAMP AS window_start,
   count(*) FILTER (WHERE heart_rate NOT BETWEEN 60 AND 100) AS abnormal_count
 FROM readings GROUP BY 1, 2, 3"""
 
+    streamed = tagged_cte(expression="arrival * 4 // (max(arrival) OVER () + 1)")
+    out["stream_daily"] = _with(streamed) + """
+SELECT customer_id, window_start, window_end, event_count, heart_rate_sum, average_heart_rate,
+  minimum_heart_rate, maximum_heart_rate, abnormal_count, is_finalized FROM daily"""
+    out["stream_raw"] = _with(streamed) + """
+SELECT event_id, customer_id, heart_rate, event_time, status, is_late,
+  round(lateness_seconds, 9) AS lateness_seconds, tick FROM raw"""
+    out["stream_notifications"] = _with(ALERT_LOG) + "SELECT * FROM history"
+
     # Reports.
     out["recent_readings"] = _with(tagged) + f"""
 SELECT customer_id, heart_rate, status, is_late, {_rounded('lateness_seconds', 1)} AS late_s,

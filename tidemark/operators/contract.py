@@ -255,11 +255,17 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_readings(valid: DataFrame, contract: Contract = READING) -> DataFrame:
-    """Typed rows with the message position that orders arrivals."""
+    """Typed rows with the message position that orders arrivals.
+
+    Messages are taken the way a consumer polls them: second by second of broker
+    time, within a second partition by partition, within a partition by offset.
+    A message without a broker time counts as the earliest.
+    """
+    taken = F.coalesce(F.col("timestamp"), F.timestamp_seconds(F.lit(0)))
     return valid.select(
         *[f.name for f in contract.fields],
+        F.date_trunc("SECOND", taken).alias("src_slice"),
         F.col("topic").alias("src_topic"),
         F.col("partition").alias("src_partition"),
         F.col("offset").alias("src_offset"),
-        F.col("timestamp").alias("src_timestamp"),
     )

@@ -42,17 +42,17 @@ def _div(position: Column, size: int) -> Column:
 
 
 def topic_blocks(
-    timestamp: Column, offset: Column, *source: Column, block_rows: int = BLOCK_ROWS
+    slice_: Column, offset: Column, *source: Column, block_rows: int = BLOCK_ROWS
 ) -> list[list[Column]]:
-    """Nested blocks for the order (timestamp, *source, offset) of topic messages.
+    """Nested blocks for the order (slice, *source, offset) of topic messages.
 
-    ``source`` names the topic and partition. A burst of messages sharing one
-    timestamp is still split, by offset.
+    ``slice_`` is a short stretch of broker time, ``source`` names the topic and
+    partition. A burst within one slice is still split, by offset.
     """
     return [
-        [F.date_trunc("DAY", timestamp)],
-        [F.date_trunc("MINUTE", timestamp)],
-        [timestamp, *source, _div(offset.cast("bigint"), block_rows)],
+        [F.date_trunc("DAY", slice_)],
+        [slice_],
+        [*source, _div(offset.cast("bigint"), block_rows)],
     ]
 
 

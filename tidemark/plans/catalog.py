@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import times
 from tidemark.operators import alerts as A
 from tidemark.operators import contract, daily, dedupe, enrich, eventtime, incidents, quality
 from tidemark.operators import metrics as M
 from tidemark.operators.running import blocks_of, running
 from tidemark.plans import alertlog, readings, reports, telemetry
 from tidemark.policy import EventTimePolicy
-from tidemark.session import stage
+from tidemark.session import scratch_path, stage
 from tidemark.sources import tables
 from tidemark.sources.topics import to_messages
+from tidemark.streaming.alertticks import AlertStream
 from tidemark.streaming.native import native_daily, with_native_watermark
+from tidemark.streaming.ticks import EventStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -312,6 +315,63 @@ def native_watermark_daily(spark, sf_dir):
     )
 
 
+STREAM_TICKS = 4
+
+
+def _stream_messages(spark, sf_dir):
+    """Deliveries as topic messages, cut into a few ticks of equal arrival ranges."""
+    rows = readings.deliveries(spark, sf_dir)
+    last = rows.agg(F.max("arrival") + 1).scalar()
+    body = F.to_json(F.struct(
+        "event_id", "customer_id", "heart_rate", times.iso_text(F.col("event_time"))
+        .alias("event_time"),
+    ))
+    return rows.select(
+        F.call_function("div", F.col("arrival") * STREAM_TICKS, last).alias("tick"),
+        F.col("customer_id").alias("key"), body.cast("binary").alias("value"),
+        F.lit(readings.TOPIC).alias("topic"), F.lit(0).alias("partition"),
+        F.col("arrival").alias("offset"), F.timestamp_seconds(F.col("arrival")).alias("timestamp"),
+    )
+
+
+def _run_stream(spark, sf_dir):
+    stream = EventStream(scratch_path(spark, "stream"))
+    messages = stage(_stream_messages(spark, sf_dir), "stream-messages", ["tick"])
+    for tick in range(STREAM_TICKS):
+        stream.process(messages.where(F.col("tick") == tick).drop("tick"), tick)
+    return stream
+
+
+@query
+def stream_daily(spark, sf_dir):
+    """The daily table after running all deliveries through the streaming tick."""
+    return _run_stream(spark, sf_dir).daily(spark).select(
+        "customer_id", "window_start", "window_end", "event_count", "heart_rate_sum",
+        "average_heart_rate", "minimum_heart_rate", "maximum_heart_rate", "abnormal_count",
+        "is_finalized",
+    )
+
+
+@query
+def stream_raw(spark, sf_dir):
+    """The raw table the streaming tick stores."""
+    return _run_stream(spark, sf_dir).raw.read(spark).select(
+        "event_id", "customer_id", "heart_rate", "event_time", "status", "is_late",
+        "lateness_seconds", "tick",
+    )
+
+
+@query
+def stream_notifications(spark, sf_dir):
+    """The notification table after streaming all webhook bodies in two ticks."""
+    stream = AlertStream(scratch_path(spark, "alerts"))
+    bodies = stage(alertlog.webhook_bodies(spark, sf_dir), "bodies")
+    middle = bodies.agg(F.call_function("div", F.max("arrival"), F.lit(2))).scalar()
+    stream.process(bodies.where(F.col("arrival") <= middle), 0)
+    stream.process(bodies.where(F.col("arrival") > middle), 1)
+    return stream.notifications(spark).drop("labels")
+
+
 # -- Reports ---------------------------------------------------------------------------
 
 

@@ -19,12 +19,6 @@ TOPIC = _schema(
     ("partition", _I), ("offset", _L), ("timestamp", _TS),
 )
 
-# A reading that passed the contract.
-READING = _schema(
-    ("event_id", _S), ("customer_id", _S), ("heart_rate", _I), ("event_time", _TS),
-    ("src_topic", _S), ("src_partition", _I), ("src_offset", _L), ("src_timestamp", _TS),
-)
-
 # The raw event table.
 RAW = _schema(
     ("event_id", _S), ("customer_id", _S), ("heart_rate", _I), ("event_time", _TS),

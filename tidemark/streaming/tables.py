@@ -34,8 +34,16 @@ class TickTable:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All ticks; empty when nothing was written yet."""
+        return self._load(spark, self.path)
+
+    def only(self, spark: SparkSession, tick: int) -> DataFrame:
+        """The rows of one tick, without listing the others; empty if it never ran."""
+        return self._load(spark, f"{self.path}/tick={tick}")
+
+    def _load(self, spark: SparkSession, path: str) -> DataFrame:
+        reader = spark.read.schema(self._full_schema()).option("basePath", self.path)
         try:
-            return spark.read.schema(self._full_schema()).parquet(self.path)
+            return reader.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

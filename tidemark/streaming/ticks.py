@@ -27,7 +27,7 @@ from tidemark.policy import FLUSH_INTERVAL_SECONDS, EventTimePolicy
 from tidemark.sources.tables import latest
 from tidemark.streaming.tables import TickTable
 
-ORDER = ("src_timestamp", "src_topic", "src_partition", "src_offset")
+ORDER = ("src_slice", "src_topic", "src_partition", "src_offset")
 
 # Running totals kept in the ledger, by metric name and label.
 TOTALS = (
@@ -53,15 +53,13 @@ class EventStream:
     ``lookup_by_event_date`` limits the duplicate lookup to stored rows of the
     event dates a tick touches: exact as long as a redelivery repeats its event
     time, which it does when the message itself is repeated. By default all
-    history is looked up. ``per_source_partition`` keeps one watermark per source
-    partition within a tick, on top of the global one carried between ticks.
+    history is looked up.
     """
 
     root: str
     policy: EventTimePolicy = field(default_factory=EventTimePolicy)
     contract: contracts.Contract = contracts.READING
     lookup_by_event_date: bool = False
-    per_source_partition: bool = False
 
     @property
     def raw(self) -> TickTable:
@@ -167,23 +165,20 @@ class EventStream:
 
     def _previous(self, spark: SparkSession, tick: int) -> dict:
         """The ledger row of the latest earlier tick: one row of numbers."""
-        rows = self.ledger.before(spark, tick, max(tick - 2, -1)) if tick else None
-        row = rows.first() if rows is not None else None
-        if row is None:
-            earlier = self.ledger.before(spark, tick).orderBy(F.desc("tick"))
-            row = earlier.first()
+        row = self.ledger.only(spark, tick - 1).first()
+        if row is None and tick > 0:
+            row = self.ledger.before(spark, tick).orderBy(F.desc("tick")).first()
         return row.asDict() if row else {}
 
     def _tag(
         self, spark: SparkSession, rows: DataFrame, tick: int, carry: dt.datetime | None,
         now: Column,
     ) -> DataFrame:
-        levels = topic_blocks(F.col("src_timestamp"), F.col("src_offset"),
+        levels = topic_blocks(F.col("src_slice"), F.col("src_offset"),
                               F.col("src_topic"), F.col("src_partition"))
         observed = eventtime.observe(
             rows, order=ORDER, levels=levels, policy=self.policy,
             carry=None if carry is None else F.lit(carry.replace(tzinfo=dt.UTC)),
-            partition_by=["src_topic", "src_partition"] if self.per_source_partition else (),
         )
         stored = self.raw.before(spark, tick)
         if self.lookup_by_event_date:
