@@ -150,7 +150,9 @@ def daily_by_event_time(
             for m in MEASURES
         ],
     )
-    closing = closing_ticks(windows, ledger, policy)
+    # Ends of all delivered readings: a cheap scan, unlike deriving the windows twice.
+    ends = assign_window(deliveries, policy).select("window_end")
+    closing = closing_ticks(ends, ledger, policy)
     return (
         windows.join(closing, "window_end", "left")
         .withColumn("average_heart_rate", average())

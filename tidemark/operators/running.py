@@ -12,6 +12,8 @@ its fan-out of rows in one group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,8 +72,9 @@ def running(
     """Add ``out`` = aggregate of ``value`` over the rows before each row.
 
     ``levels`` are block columns, coarsest first, each a non-decreasing function
-    of ``order``; ``partition_by`` columns restart the aggregate and must not be
-    NULL. With ``inclusive`` the row itself counts too.
+    of ``order``; ``partition_by`` columns restart the aggregate. Rows without a
+    position (NULL in either) have no place in the order and are left out. With
+    ``inclusive`` the row itself counts too.
     """
     aggregate, combine = _AGGREGATE[how], _COMBINE[how]
     columns = df.columns
@@ -102,6 +105,9 @@ def running(
         )
 
     finest = key(len(named))
+    # The joins below would add these filters one by one, on some branches only;
+    # stated once, all branches share one aggregation of the rows.
+    df = df.where(reduce(and_, [F.col(name).isNotNull() for name in finest]))
     blocks = df.groupBy(*finest).agg(aggregate("__value").alias("__value"))
     carry = carried(blocks, len(named) - 1)
     window = (

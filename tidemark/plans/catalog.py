@@ -245,8 +245,9 @@ def delivery_outcomes(spark, sf_dir):
 
 
 def _daily(spark, sf_dir, tick_deliveries=readings.TICK_DELIVERIES, policy=EventTimePolicy()):
-    rows = dedupe.flag_first_arrivals(readings.deliveries(spark, sf_dir, tick_deliveries))
-    return daily.daily_by_event_time(rows, policy)
+    rows = readings.deliveries(spark, sf_dir, tick_deliveries)
+    ledger = readings.ledger_of(rows, policy)
+    return daily.daily_by_event_time(dedupe.flag_first_arrivals(rows), policy, ledger)
 
 
 @query
@@ -288,7 +289,7 @@ def finalized_gate(spark, sf_dir):
 @query
 def window_gauges(spark, sf_dir):
     """Open and finalized windows after every tick."""
-    windows = _daily(spark, sf_dir)
+    windows = stage(_daily(spark, sf_dir), "daily")
     opened = windows.groupBy(F.col("first_tick").alias("tick")).agg(
         F.count(F.lit(1)).alias("opened")
     )
@@ -488,7 +489,7 @@ def raw_checks(spark, sf_dir):
 
 @query
 def daily_checks(spark, sf_dir):
-    return quality.check_daily(_daily(spark, sf_dir))
+    return quality.check_daily(stage(_daily(spark, sf_dir), "daily"))
 
 
 @query
@@ -771,7 +772,7 @@ def alert_counters(spark, sf_dir):
 
 @query
 def notification_checks(spark, sf_dir):
-    return quality.check_notifications(_history(spark, sf_dir))
+    return quality.check_notifications(stage(_history(spark, sf_dir), "history"))
 
 
 @query

@@ -19,7 +19,7 @@ from tidemark.operators.enrich import with_status
 from tidemark.operators.eventtime import observe, tick_ledger
 from tidemark.operators.once import computed_once
 from tidemark.policy import EventTimePolicy
-from tidemark.session import ensure_utc
+from tidemark.session import ensure_utc, stage
 
 SOURCE_PARTITIONS = 3
 TICK_DELIVERIES = 500
@@ -90,6 +90,11 @@ def deliveries(
     )
 
 
+def ledger_of(rows: DataFrame, policy: EventTimePolicy = EventTimePolicy()) -> DataFrame:
+    """The tick ledger, written once: one small row per tick, read several times."""
+    return stage(tick_ledger(rows, policy), "ledger")
+
+
 def tagged(
     spark: SparkSession, sf_dir: str, tick_deliveries: int = TICK_DELIVERIES,
     policy: EventTimePolicy = EventTimePolicy(),
@@ -97,7 +102,7 @@ def tagged(
     """Deliveries with status, lateness, is_new, aggregated and late_outcome."""
     rows = deliveries(spark, sf_dir, tick_deliveries)
     observed = with_status(flag_first_arrivals(observe(rows, policy=policy)))
-    return flag_aggregated(observed, policy, tick_ledger(rows, policy))
+    return flag_aggregated(observed, policy, ledger_of(rows, policy))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
