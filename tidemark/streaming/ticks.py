@@ -164,27 +164,34 @@ class EventStream:
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def _previous(self, spark: SparkSession, tick: int) -> dict:
-        """The ledger row of the latest earlier tick: one row of numbers."""
-        row = self.ledger.only(spark, tick - 1).first()
+        """The ledger row of the latest earlier tick: one row of numbers.
+
+        Instants reach the driver as microseconds, never as local datetimes.
+        """
+        def numbers(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("max_event_time", F.unix_micros("max_event_time"))
+
+        row = numbers(self.ledger.only(spark, tick - 1)).first()
         if row is None and tick > 0:
-            row = self.ledger.before(spark, tick).orderBy(F.desc("tick")).first()
+            row = numbers(self.ledger.before(spark, tick)).orderBy(F.desc("tick")).first()
         return row.asDict() if row else {}
 
     def _tag(
-        self, spark: SparkSession, rows: DataFrame, tick: int, carry: dt.datetime | None,
+        self, spark: SparkSession, rows: DataFrame, tick: int, carry: int | None,
         now: Column,
     ) -> DataFrame:
-        levels = topic_blocks(F.col("src_slice"), F.col("src_offset"),
-                              F.col("src_topic"), F.col("src_partition"))
+        # A tick holds no more slices than messages it was allowed to take.
+        levels = topic_blocks(F.col("src_slice"), F.col("src_offset"), F.col("src_topic"),
+                              F.col("src_partition"), many_slices=False)
         observed = eventtime.observe(
             rows, order=ORDER, levels=levels, policy=self.policy,
-            carry=None if carry is None else F.lit(carry.replace(tzinfo=dt.UTC)),
+            carry=None if carry is None else F.timestamp_micros(F.lit(carry)),
         )
         stored = self.raw.before(spark, tick)
         if self.lookup_by_event_date:
             dates = _dates(rows.select(F.to_date("event_time").alias("d")))
             if dates is not None:
-                stored = stored.where(F.col("event_date").isin(dates))
+                stored = stored.where(F.unix_date("event_date").isin(dates))
         flagged = dedupe.insert_if_absent(observed, stored, order=ORDER)
         return enrich.with_status(flagged).withColumn("ingestion_time", now)
 
@@ -194,7 +201,7 @@ class EventStream:
 
     def _changes(
         self, spark: SparkSession, tagged: DataFrame, tick: int,
-        before: dt.datetime | None, newest: dt.datetime | None, now: Column,
+        before: int | None, newest: int | None, now: Column,
     ) -> DataFrame:
         """Every window this tick touches or closes, with old and new state."""
         new_rows = daily.assign_window(tagged.where("is_new"), self.policy)
@@ -214,8 +221,8 @@ class EventStream:
             "maximum_heart_rate": F.greatest("maximum_heart_rate", "old_maximum_heart_rate"),
             "abnormal_count": _add("abnormal_count"),
         }
-        watermark = F.lit(None).cast("timestamp") if newest is None else times.shift_seconds(
-            F.lit(newest.replace(tzinfo=dt.UTC)), -self.policy.out_of_orderness)
+        watermark = times.shift_seconds(
+            F.timestamp_micros(F.lit(newest).cast("bigint")), -self.policy.out_of_orderness)
         window_end = times.window_end(F.col("window_start"), self.policy.window)
         closes = F.coalesce(
             watermark > times.shift_seconds(window_end, self.policy.allowed_lateness),
@@ -233,7 +240,7 @@ class EventStream:
             F.col("refused") | F.col("accepted") | F.col("finalizes")
         )
 
-    def _relevant(self, partials: DataFrame, before: dt.datetime | None) -> Column | None:
+    def _relevant(self, partials: DataFrame, before: int | None) -> Column | None:
         """Which window dates of the state table can matter to this tick.
 
         Windows still open after the last tick end no earlier than its watermark
@@ -242,13 +249,13 @@ class EventStream:
         dates = _dates(partials.select(F.to_date("window_start").alias("d")))
         if dates is None:
             return None
-        touched = F.col("window_date").isin(dates) if dates else F.lit(False)
+        touched = F.unix_date("window_date").isin(dates) if dates else F.lit(False)
         if before is None:
             return touched
         reach = (self.policy.out_of_orderness + self.policy.allowed_lateness
                  + self.policy.window)
-        oldest_open = (before - dt.timedelta(seconds=reach)).date()
-        return touched | (F.col("window_date") >= F.lit(oldest_open))
+        oldest_open = F.to_date(F.timestamp_micros(F.lit(before - reach * 1_000_000)))
+        return touched | (F.col("window_date") >= oldest_open)
 
     def _write_states(self, changes: DataFrame, tick: int) -> None:
         kept = changes.where(F.col("accepted") | F.col("finalizes")).select(
@@ -271,7 +278,7 @@ class EventStream:
 
     def _row_totals(self, tagged: DataFrame) -> dict:
         return tagged.agg(
-            F.max("event_time").alias("newest"),
+            F.max(F.unix_micros("event_time")).alias("newest"),
             F.count(F.lit(1)).alias("processed"),
             F.count_if(F.col("is_new") & (F.col("status") == "ABNORMAL")).alias("abnormal"),
             F.count_if(~F.col("is_new")).alias("duplicates"),
@@ -287,7 +294,7 @@ class EventStream:
         ).first().asDict()
 
     def _write_ledger(
-        self, spark: SparkSession, tick: int, newest: dt.datetime | None, totals: dict[str, int]
+        self, spark: SparkSession, tick: int, newest: int | None, totals: dict[str, int]
     ) -> None:
         now = dt.datetime.now(dt.UTC)
         one = spark.range(1, numPartitions=1)
@@ -301,9 +308,8 @@ class EventStream:
             for name, labels, value in _sample_values(totals, newest, now, self.policy)
         ]
         self.samples.write(one.select(F.inline(F.array(*samples))), tick)
-        moment = None if newest is None else newest.replace(tzinfo=dt.UTC)
         self.ledger.write(one.select(
-            F.lit(moment).cast("timestamp").alias("max_event_time"),
+            F.timestamp_micros(F.lit(newest).cast("bigint")).alias("max_event_time"),
             *[F.lit(totals[name]).cast("bigint").alias(name) for name in TOTALS],
         ), tick)
 
@@ -328,14 +334,15 @@ def _add(measure: str) -> Column:
     return F.coalesce(F.col(measure), F.lit(0)) + F.coalesce(F.col(f"old_{measure}"), F.lit(0))
 
 
-def _dates(days: DataFrame) -> list[dt.date] | None:
-    """The distinct dates of a tick, or None when they are too many to list."""
-    rows = days.where(F.col("d").isNotNull()).distinct().limit(PRUNE_DATES + 1).collect()
+def _dates(days: DataFrame) -> list[int] | None:
+    """The distinct dates of a tick as day numbers, or None when too many to list."""
+    numbers = days.select(F.unix_date("d").alias("d")).where(F.col("d").isNotNull()).distinct()
+    rows = numbers.limit(PRUNE_DATES + 1).collect()
     return None if len(rows) > PRUNE_DATES else [row["d"] for row in rows]
 
 
 def _sample_values(
-    totals: dict[str, int], newest: dt.datetime | None, now: dt.datetime, policy: EventTimePolicy
+    totals: dict[str, int], newest: int | None, now: dt.datetime, policy: EventTimePolicy
 ) -> Sequence[tuple[str, dict[str, str], float]]:
     job = {"job": "consumer", "instance": "stream"}
     values = [
@@ -358,6 +365,6 @@ def _sample_values(
         values.append(("consumer_processing_seconds_bucket", {**job, "le": le},
                        totals[f"seconds_le_{index}"]))
     if newest is not None:
-        watermark = newest.replace(tzinfo=dt.UTC) - dt.timedelta(seconds=policy.out_of_orderness)
-        values.append(("consumer_watermark_lag_seconds", job, (now - watermark).total_seconds()))
+        lag = now.timestamp() - newest / 1e6 + policy.out_of_orderness
+        values.append(("consumer_watermark_lag_seconds", job, lag))
     return values
