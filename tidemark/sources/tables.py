@@ -50,8 +50,15 @@ def lookup(state: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
     return state.join(keys.select(*key).distinct(), list(key), "left_semi")
 
 
+def by_date(rows: DataFrame, column: str) -> DataFrame:
+    """Rows of one date together, so that each date gets few files.
+
+    A rebalance splits a date that holds most of the rows over several tasks.
+    """
+    return rows.hint("rebalance", F.col(column))
+
+
 def write_by_date(df: DataFrame, path: str, column: str = "event_time", mode: str = "append") -> None:
     """Store rows under one folder per UTC date, so time ranges prune files."""
-    df.withColumn("event_date", F.to_date(column)).write.mode(mode).partitionBy(
-        "event_date"
-    ).parquet(path)
+    dated = by_date(df.withColumn("event_date", F.to_date(column)), "event_date")
+    dated.write.mode(mode).partitionBy("event_date").parquet(path)

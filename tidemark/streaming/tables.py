@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.tables import by_date
+
 
 @dataclass(frozen=True)
 class TickTable:
@@ -27,10 +29,12 @@ class TickTable:
         return schema.add(self.date_column, T.DateType()) if self.date_column else schema
 
     def write(self, rows: DataFrame, tick: int) -> None:
-        writer = rows.write.mode("overwrite")
+        target = f"{self.path}/tick={tick}"
         if self.date_column:
-            writer = writer.partitionBy(self.date_column)
-        writer.parquet(f"{self.path}/tick={tick}")
+            by_date(rows, self.date_column).write.mode("overwrite").partitionBy(
+                self.date_column).parquet(target)
+        else:
+            rows.write.mode("overwrite").parquet(target)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All ticks; empty when nothing was written yet."""
