@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import secrets
+from tidemark.llm import licenses, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,14 @@ def _joined(spans: Column) -> Column:
     )
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence signatures of every document."""
+    found = licenses.scan(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     found = secrets.find_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -34,6 +42,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scans": op2_license_scans,
     "op10_secret_scans": op10_secret_scans,
 }
 ORACLES: dict[str, str] = {}
