@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, secrets
+from tidemark.llm import langid, licenses, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +28,16 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those not held out."""
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), langid.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     found = secrets.find_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -43,6 +53,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
+    "op3_language_id": op3_language_id,
     "op10_secret_scans": op10_secret_scans,
 }
 ORACLES: dict[str, str] = {}
