@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, licenses, secrets
+from tidemark.llm import decontaminate, langid, licenses, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +38,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or edited, one row for each such pair."""
+    found = decontaminate.contamination(
+        _read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark")
+    )
+    return found.select(F.col("doc.doc_id").alias("doc_id"), F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     found = secrets.find_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -54,6 +62,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
+    "op8_decontamination": op8_decontamination,
     "op10_secret_scans": op10_secret_scans,
 }
 ORACLES: dict[str, str] = {}

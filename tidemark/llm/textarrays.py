@@ -21,6 +21,10 @@ _GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Separators of words made of letters, digits and whatever is not ASCII.
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -84,17 +88,17 @@ def chunks(table: pa.Table | pa.RecordBatch, text: str = "text", limit: int = CH
 
 
 class Words:
-    """The words (runs without ASCII white space) of some texts.
+    """The words of some texts: runs without `separators`, which are ASCII white space if not given.
 
     `first[i]:first[i + 1]` are the words of text i; `start`, `end` their byte
     positions in `data`; `hash` a 64-bit hash of each word's bytes.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE):
         data, self.offsets = text_bytes(column)
         self.data = data = LOWER[data] if lower else data
         n = len(data)
-        inside = ~_SPACE[data]
+        inside = ~separators[data]
         cut = np.zeros(n + 1, dtype=bool)
         cut[self.offsets] = True
         before = np.zeros(n, dtype=bool)
