@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, secrets
+from tidemark.llm import decontaminate, langid, licenses, packing, secrets
+
+
+def vocabulary_file() -> str:
+    """The installed vocabulary that packing uses unless another is given."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +45,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of windows of at most 2048 tokens."""
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), vocabulary_file())
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, whole or edited, one row for each such pair."""
     found = decontaminate.contamination(
@@ -62,6 +74,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
+    "op6_packing": op6_packing,
     "op8_decontamination": op8_decontamination,
     "op10_secret_scans": op10_secret_scans,
 }
