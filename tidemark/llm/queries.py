@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, packing, secrets
+from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets
 
 
 def vocabulary_file() -> str:
@@ -58,6 +58,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc.doc_id").alias("doc_id"), F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and byte-context scores of every document, learnt from those not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    found = lmscore.score(_read(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
+    return found.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     found = secrets.find_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -76,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
 }
 ORACLES: dict[str, str] = {}
