@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets
+from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, substrings
 
 
 def vocabulary_file() -> str:
@@ -27,6 +27,13 @@ def _joined(spans: Column) -> Column:
     )
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its words in windows that stand elsewhere, too."""
+    found = substrings.repeated_words(_read(spark, sf_dir, "documents"))
+    removed = F.aggregate("repeated", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence signatures of every document."""
     found = licenses.scan(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +88,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
