@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, substrings
+from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, substrings, topk
 
 
 def vocabulary_file() -> str:
@@ -57,6 +57,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), vocabulary_file())
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest inner products of every 50th embedding with all others."""
+    vectors = topk.quantised(_read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, whole or edited, one row for each such pair."""
     found = decontaminate.contamination(
@@ -92,8 +98,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
+    "op7_exact_topk": op7_exact_topk,
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_exact_topk": """
+        WITH sound AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                 CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+          FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
