@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, substrings, topk
+from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, sharding, substrings, topk
 
 
 def vocabulary_file() -> str:
@@ -52,6 +52,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of equal counts, equal texts together as far as that allows."""
+    placed = sharding.shard_documents(_read(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of windows of at most 2048 tokens."""
     return packing.pack_documents(_read(spark, sf_dir, "documents"), vocabulary_file())
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
+    "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
     "op8_decontamination": op8_decontamination,
