@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, lmscore, packing, secrets, sharding, substrings, topk
+from tidemark.llm import decontaminate, langid, licenses, lmscore, neardup, packing, secrets, sharding, substrings, topk
 
 
 def vocabulary_file() -> str:
@@ -60,6 +60,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, named by the id of one of its documents."""
+    found = neardup.classes(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = found.where("uid = root").select("root", F.col("doc_id").alias("class_id"))
+    return found.join(named, "root").select("doc_id", "class_id", (F.col("uid") == F.col("root")).alias("kept"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of windows of at most 2048 tokens."""
     return packing.pack_documents(_read(spark, sf_dir, "documents"), vocabulary_file())
@@ -106,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
+    "op5_near_dedup": op5_near_dedup,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
     "op8_decontamination": op8_decontamination,
