@@ -10,7 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from oracles import oracles
 from tidemark.plans import readings
+from tidemark.plans.catalog import all_queries
 from tidemark.operators import daily, dedupe, eventtime
 
 SF = "/root/testdata/sf0.001"
@@ -26,17 +28,17 @@ def tables():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(oracles())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_agrees_with_sql(spark, tables, name):
     status, detail, _ = check.compare(
-        spark, tables, name, entry.queries()[name], entry.oracle_sql()[name], SF)
+        spark, tables, name, all_queries()[name], oracles()[name], SF)
     assert status == "ok", detail
 
 
