@@ -121,6 +121,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scans": op10_secret_scans,
 }
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH texts AS (
+          SELECT row_number() OVER () AS r, doc_id,
+                 list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+          FROM documents
+        ), windows AS (
+          SELECT r, i, array_to_string(w[i : i + 34], ' ') AS s
+          FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM texts)
+        ), again AS (
+          SELECT s FROM windows GROUP BY s HAVING count(*) > 1
+        ), gone AS (
+          SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM windows SEMI JOIN again USING (s)
+        ), words AS (
+          SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM texts
+        ), kept AS (
+          SELECT r, string_agg(word, ' ' ORDER BY k) AS s, count(*) AS n FROM words ANTI JOIN gone USING (r, k) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(s, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (r)
+    """,
     "op7_exact_topk": """
         WITH sound AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
