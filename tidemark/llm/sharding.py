@@ -1,15 +1,15 @@
 """Balanced label propagation with DataFrame functions only.
 
-Documents with equal texts are linked. Every document starts with a shard by hash. In
-each round the linked ones propose to move to the shard in which most of their group
-are, among shards with room; a shard takes proposals, group by group, up to its
-capacity. Rounds end when nobody moves. Then every shard keeps as many rows as its
+Documents with equal texts are linked. Groups larger than half a shard, of which there
+are at most twice as many as shards, are given whole shards or parts of them; every
+other document starts with a shard by hash, in proportion to the room left. In each
+round the linked ones propose to move to the shard in which most of their group are,
+among shards with room; a shard takes proposals, group by group, up to its capacity. Rounds end when nobody moves. Then every shard keeps as many rows as its
 capacity, linked ones first, and hands the rest to shards that have too few: the
 counts end at most one apart (law `rows`), and unlinked documents pay for it.
 
 Ranks that decide quotas are taken in two levels, over bins and inside them, so no
-task sorts a shard or a group; only bin counts are added up along a shard. A group
-larger than a shard fills one and gathers in the next.
+task sorts a shard or a group; only bin counts are added up along a shard.
 
 Defined results: a null text counts as the empty text; repeated rows are rows of
 their own; an empty table gives no rows. Which of several equal texts moves follows
@@ -66,6 +66,31 @@ def _round(linked: DataFrame, room: dict[int, int], row_bins: int) -> DataFrame:
     return asked.where(stay).withColumn("moved", F.lit(False)).drop("to").unionByName(decided.drop("to", "rank"))
 
 
+def _place_giants(sizes: list[tuple[int, int]], room: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(group, first rank after, shard) for groups by size: the tightest shard that holds one whole, else the emptiest."""
+    places = []
+    for gid, n in sorted(sizes, key=lambda g: (-g[1], g[0])):
+        upto = 0
+        while upto < n:
+            fit = [s for s in room if room[s] >= n - upto]
+            s = min(fit, key=lambda s: (room[s], s)) if fit else max(room, key=lambda s: (room[s], -s))
+            take = min(room[s], n - upto)
+            room[s] -= take
+            upto += take
+            places.append((gid, upto, s))
+    return places
+
+
+def _by_room(room: dict[int, int]) -> Column:
+    """A shard by hash of the row number, in proportion to the room."""
+    upto = sum(room.values())
+    spot, out = F.pmod(F.xxhash64("uid"), F.lit(max(1, upto))), F.lit(max(room))
+    for s in sorted(room, reverse=True):
+        out = F.when(spot < upto, F.lit(s)).otherwise(out)
+        upto -= room[s]
+    return out.cast("int")
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text", keep: str = "doc_id") -> DataFrame:
     """`keep`, size, text_crc32, shard, slot and whether the text has copies (`linked`), for every row."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -77,24 +102,37 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text", k
         F.monotonically_increasing_id().alias("uid"),
     )
     # Equal texts agree in two hashes and the length.
-    compact = compact.withColumn("gid", F.xxhash64("hash", "text_crc32", "size")).drop("hash")
-    rows = stage(compact.withColumn("label", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")), "shard-rows")
+    rows = stage(compact.withColumn("gid", F.xxhash64("hash", "text_crc32", "size")).drop("hash"), "shard-rows")
     total = rows.count()
     cap = {s: total // shards + (s < total % shards) for s in range(shards)}
     row_bins = max(ROW_BINS, total // (ROWS_A_BIN * shards))
+    row_bin = F.pmod(F.xxhash64("uid"), F.lit(row_bins))
 
-    groups = rows.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1").select("gid", F.lit(True).alias("linked"))
-    rows = stage(rows.join(groups, "gid", "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "shard-links")
-    linked = rows.where("linked").withColumn("moved", F.lit(True))
+    groups = rows.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1")
+    largest = groups.where(F.col("n") > total // (2 * shards)).collect()  # at most 2 * shards rows
+    room = dict(cap)
+    places = _place_giants([(r.gid, r.n) for r in largest], room)
+    known = rows.join(groups.select("gid", F.lit(True).alias("linked")), "gid", "left").select(
+        "doc_id", "size", "text_crc32", "uid", "gid", F.coalesce("linked", F.lit(False)).alias("linked"),
+        _by_room(room).alias("label"),
+    )
+    known = stage(known, "shard-links")
+    giant = F.col("gid").isin([r.gid for r in largest])
+    ranked = _ranked(known.where(giant), "gid", row_bin)
+    label = F.col("label")
+    for gid, upto, s in reversed(places):
+        label = F.when((F.col("gid") == gid) & (F.col("rank") <= upto), F.lit(s)).otherwise(label)
+    giants = stage(ranked.withColumn("label", label).drop("rank"), "shard-giants")
+
+    linked = known.where(F.col("linked") & ~giant).withColumn("moved", F.lit(True))
     for _ in range(ROUNDS):
         held = _counts(linked)
-        linked = stage(_round(linked, {s: cap[s] - held.get(s, 0) for s in cap}, row_bins), "shard-labels")
+        linked = stage(_round(linked, {s: room[s] - held.get(s, 0) for s in cap}, row_bins), "shard-labels")
         if linked.where("moved").limit(1).count() == 0:
             break
 
-    every = rows.where(~F.col("linked")).unionByName(linked.drop("moved"))
+    every = known.where(~F.col("linked")).unionByName(linked.drop("moved")).unionByName(giants)
     have = _counts(every)
-    row_bin = F.pmod(F.xxhash64("uid"), F.lit(row_bins))
     ranked = _ranked(every, "label", F.when(F.col("linked"), row_bin).otherwise(row_bin + row_bins))
     # Rows beyond a shard's capacity are numbered through all shards and fill the gaps in order.
     over, gaps, n_over, n_gap = {}, [], 0, 0
