@@ -132,7 +132,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     cut = spark.createDataFrame([(s, c, p) for (s, c), p in parts.items()] or [(-1, -1, 1)], "size int, cell int, parts int")
 
     asked = stage(queries.select(F.col("vec_id").alias("query_id"), "v"), "topk-queries")
-    alike = asked.groupBy("v").agg(F.min("query_id").alias("rep"))
+    alike = stage(asked.select("v").distinct().withColumn("rep", F.monotonically_increasing_id()), "topk-asked")
     n_queries = alike.count()
     blocks = max(1, -(-n_queries // QUERY_BLOCK))
     trees = placed.join(F.broadcast(cut), ["size", "cell"]).select(  # MAX_CELLS rows a size
