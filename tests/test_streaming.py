@@ -13,6 +13,7 @@ from tidemark.sources import topics
 from tidemark.streaming.alertticks import AlertStream
 from tidemark.streaming.native import native_daily, native_dedupe, with_native_watermark
 from tidemark.streaming.progress import live_backlog
+from tidemark.streaming.tables import IdTable
 from tidemark.streaming.ticks import EventStream
 
 START = dt.datetime(2026, 8, 1, tzinfo=dt.UTC)
@@ -108,14 +109,76 @@ def test_ledger_totals_and_samples(spark, finished):
     assert names["consumer_windows_open"] == 1
 
 
+def everything(spark, stream):
+    """Every row and column of every table."""
+    tables = [stream.raw, stream.states, stream.dead_letters, stream.ledger, stream.samples]
+    frames = [table.read(spark) for table in tables] + [stream.ids.before(spark, 2**62)]
+    return [sorted(map(repr, frame.collect())) for frame in frames]
+
+
 def test_replay_changes_nothing(spark, finished):
-    before, counts = state(spark, finished), finished.raw.read(spark).count()
+    before = everything(spark, finished)
     run(spark, finished, [2, 3])
-    assert state(spark, finished) == before and finished.raw.read(spark).count() == counts
+    assert everything(spark, finished) == before
 
 
-def test_repeat_compaction_and_lookup_by_date(spark, tmp_path):
-    stream = EventStream(str(tmp_path), lookup_by_event_date=True)
+def test_changed_event_time_of_a_redelivery_counts_once(spark, tmp_path):
+    stream = EventStream(str(tmp_path))
+    rows = messages(spark).where("offset = 0").drop("tick")
+    later = rows.withColumn("value", F.encode(F.replace(
+        F.decode("value", "utf-8"), F.lit("T01:00:00"), F.lit("T02:30:00")), "utf-8"))
+    stream.process(rows, 0)
+    stream.process(later, 1)
+    assert stream.raw.read(spark).count() == 1
+    assert [r[2] for r in state(spark, stream)] == [1]
+
+
+def test_history_is_not_shuffled_beyond_the_broadcast_limit(spark, tmp_path):
+    table = IdTable(str(tmp_path / "ids"), buckets=4)
+    table.write(spark.range(4000).selectExpr("cast(id AS string) AS event_id"), 0)
+    table.write(spark.range(4000, 8000).selectExpr("cast(id AS string) AS event_id"), 1)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        batch = spark.range(3000, 9000).selectExpr("cast(id AS string) AS event_id", "id AS arrival")
+        found = dedupe.insert_if_absent(batch, table.before(spark, 2))
+        lookup = dedupe.already_stored(batch, table.before(spark, 2))
+        plan = lookup._jdf.queryExecution().executedPlan().toString()
+        assert lookup.count() == 5000 and found.where("is_new").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "tick" in line and "FileScan" in line)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    above, least = [], depth
+    for line in reversed(lines[:scan]):  # the operators from the scan up to the root
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < least:
+            above.append(line)
+            least = indent
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+
+
+def test_ids_are_found_by_another_session_and_replays_replace_them(spark, tmp_path):
+    table = IdTable(str(tmp_path / "ids"), buckets=2)
+    for _ in range(2):
+        table.write(spark.createDataFrame([("a",), ("b",)], "event_id string"), 0)
+    spark.sql(f"DROP TABLE {table._table(spark)}")  # the files stay: the table is external
+    assert sorted(r[0] for r in table.before(spark, 1).collect()) == ["a", "b"]
+    assert table.before(spark, 0).count() == 0
+
+
+def test_many_dates_keep_the_pruned_plan(spark, tmp_path):
+    stream = EventStream(str(tmp_path))
+    run(spark, stream, [0, 1])
+    days = spark.range(401).select(F.expr("timestamp'2020-01-01' + make_dt_interval(cast(id AS int))")
+                                   .alias("window_start"))
+    kept = stream._states_before(spark, 2, stream._relevant(days, int(START.timestamp() * 1e6)))
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeat_and_compaction(spark, tmp_path):
+    stream = EventStream(str(tmp_path))
     # The first attempt of tick 2 died before it was acknowledged; it runs again.
     run(spark, stream, [0, 1, 2, 2])
     before = state(spark, stream)

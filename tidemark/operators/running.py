@@ -45,16 +45,15 @@ def _div(position: Column, size: int) -> Column:
 
 def topic_blocks(
     slice_: Column, offset: Column, *source: Column, block_rows: int = BLOCK_ROWS,
-    many_slices: bool = True,
 ) -> list[list[Column]]:
     """Nested blocks for the order (slice, *source, offset) of topic messages.
 
     ``slice_`` is a short stretch of broker time, ``source`` names the topic and
-    partition. A burst within one slice is still split, by offset. Long histories
-    have ``many_slices``, which are then gathered day by day first.
+    partition. A burst within one slice is still split, by offset; slices are
+    gathered day by day first, as one tick may hold the whole topic.
     """
     inside = [[slice_], [*source, _div(offset.cast("bigint"), block_rows)]]
-    return [[F.date_trunc("DAY", slice_)], *inside] if many_slices else inside
+    return [[F.date_trunc("DAY", slice_)], *inside]
 
 
 def running(

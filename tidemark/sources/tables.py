@@ -39,10 +39,13 @@ def read_jdbc(
 
 
 def latest(log: DataFrame, key: Sequence[str], version: str = "tick") -> DataFrame:
-    """The newest row per key of a versioned log; combines map-side."""
-    rest = [name for name in log.columns if name not in key]
-    newest = F.max_by(F.struct(*rest), version).alias("__row")
-    return log.groupBy(*key).agg(newest).select(*key, "__row.*").select(*log.columns)
+    """The newest row per key of a versioned log that has a key once per version.
+
+    Only keys and versions are aggregated, map-side first, so the rows themselves
+    are never sorted by key.
+    """
+    newest = log.groupBy(*key).agg(F.max(version).alias(version))
+    return log.join(newest, [*key, version], "left_semi")
 
 
 def lookup(state: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:

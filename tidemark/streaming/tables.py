@@ -6,6 +6,7 @@ earlier ticks never see a half-written attempt of the current one.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -57,3 +58,43 @@ class TickTable:
         """Rows of ticks after ``after`` and before ``tick``; other folders are not read."""
         rows = self.read(spark).where(F.col("tick") < tick)
         return rows.where(F.col("tick") > after) if after >= 0 else rows
+
+
+@dataclass(frozen=True)
+class IdTable:
+    """The ids stored so far, one partition per tick, in files by hash of the id.
+
+    A look-up joins on the id: the stored side is read as it lies, bucket by
+    bucket, so only the batch is shuffled, however long the history is. The
+    number of buckets is fixed when the first tick is written.
+    """
+
+    path: str
+    buckets: int = 16
+
+    def _table(self, spark: SparkSession) -> str:
+        """The catalog's name for the folder; a new session finds what is there."""
+        name = f"tidemark_ids_{hashlib.md5(self.path.encode()).hexdigest()}"
+        if not spark.catalog.tableExists(name):
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} (event_id STRING, tick BIGINT) USING parquet "
+                f"PARTITIONED BY (tick) CLUSTERED BY (event_id) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{self.path}'"
+            )
+            # A partition without rows makes sure that the folder exists.
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (tick = -1) "
+                      "SELECT '' AS event_id WHERE false")
+            spark.catalog.recoverPartitions(name)
+        return name
+
+    def write(self, rows: DataFrame, tick: int) -> None:
+        """Replace the ids of a tick: one file per bucket."""
+        spark = rows.sparkSession
+        ids = rows.select("event_id").repartition(self.buckets, "event_id")
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {self._table(spark)} PARTITION (tick = {int(tick)}) "
+            "SELECT event_id FROM {ids}", ids=ids,
+        )
+
+    def before(self, spark: SparkSession, tick: int) -> DataFrame:
+        return spark.table(self._table(spark)).where(F.col("tick") < tick).select("event_id")

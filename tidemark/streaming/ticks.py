@@ -9,7 +9,7 @@ numbers ever reach the driver.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +25,7 @@ from tidemark.operators.metrics import INFINITY, LATENCY_BOUNDS
 from tidemark.operators.running import topic_blocks
 from tidemark.policy import FLUSH_INTERVAL_SECONDS, EventTimePolicy
 from tidemark.sources.tables import latest
-from tidemark.streaming.tables import TickTable
+from tidemark.streaming.tables import IdTable, TickTable
 
 ORDER = ("src_slice", "src_topic", "src_partition", "src_offset")
 
@@ -36,10 +36,6 @@ TOTALS = (
     *[f"seconds_le_{index}" for index in range(len(LATENCY_BOUNDS) + 1)],
 )
 
-# More distinct dates than this in one tick, and pruning the state by date stops
-# paying; the state is then read whole.
-PRUNE_DATES = 400
-
 
 def _ledger_schema() -> T.StructType:
     fields = [T.StructField("max_event_time", T.TimestampType())]
@@ -50,21 +46,28 @@ def _ledger_schema() -> T.StructType:
 class EventStream:
     """Where the tables of one stream live, and its policy.
 
-    ``lookup_by_event_date`` limits the duplicate lookup to stored rows of the
-    event dates a tick touches: exact as long as a redelivery repeats its event
-    time, which it does when the message itself is repeated. By default all
-    history is looked up.
+    ``id_buckets`` is the number of files the stored ids of a tick are kept in;
+    choose it by the history expected, as it cannot change later.
     """
 
     root: str
     policy: EventTimePolicy = field(default_factory=EventTimePolicy)
     contract: contracts.Contract = contracts.READING
-    lookup_by_event_date: bool = False
+    id_buckets: int = 16
 
     @property
     def raw(self) -> TickTable:
         return TickTable(f"{self.root}/raw", schemas.RAW, "event_date")
 
+    @property
+    def ids(self) -> IdTable:
+        return IdTable(f"{self.root}/ids", self.id_buckets)
+
+    @property
+    def clock(self) -> TickTable:
+        """When each tick began first: a replay uses the same time."""
+        return TickTable(f"{self.root}/clock", T.StructType([T.StructField("began", T.TimestampType())]))
+
     @property
     def states(self) -> TickTable:
         return TickTable(f"{self.root}/daily_log", schemas.DAILY, "window_date")
@@ -98,7 +101,8 @@ class EventStream:
         return self._states_before(spark, None).drop("tick", "window_date")
 
     def _states_before(
-        self, spark: SparkSession, tick: int | None, dates: Column | None = None
+        self, spark: SparkSession, tick: int | None,
+        restrict: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         limit = 2**62 if tick is None else tick
         base = self.base_index.before(spark, limit).agg(F.max("tick")).first()[0]
@@ -106,8 +110,8 @@ class EventStream:
         if base is not None:
             compacted = self.bases.read(spark).where(F.col("tick") == base)
             log = log.unionByName(compacted)
-        if dates is not None:
-            log = log.where(dates)
+        if restrict is not None:
+            log = restrict(log)
         return latest(log, daily.KEY)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
@@ -126,7 +130,8 @@ class EventStream:
     def process(self, batch: DataFrame, tick: int) -> None:
         """Handle one micro-batch of topic messages; safe to repeat."""
         spark = batch.sparkSession
-        now = F.lit(dt.datetime.now(dt.UTC))
+        began = self._began(spark, tick)
+        now = F.timestamp_micros(F.lit(began))
         previous = self._previous(spark, tick)
         before = previous.get("max_event_time")
         validated = self._settle(
@@ -149,7 +154,7 @@ class EventStream:
         )
         self._write_states(changes, tick)
         totals |= self._window_totals(changes)
-        self._write_ledger(spark, tick, newest, {
+        self._write_ledger(spark, tick, began, newest, {
             name: (previous.get(name) or 0) + (totals[name] or 0) for name in TOTALS
         })
 
@@ -163,6 +168,15 @@ class EventStream:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def _began(self, spark: SparkSession, tick: int) -> int:
+        """The tick's time in microseconds, written before anything else of it."""
+        began = self.clock.only(spark, tick).agg(F.max(F.unix_micros("began"))).first()[0]
+        if began is None:
+            began = int(dt.datetime.now(dt.UTC).timestamp() * 1e6)
+            one = spark.range(1, numPartitions=1)
+            self.clock.write(one.select(F.timestamp_micros(F.lit(began)).alias("began")), tick)
+        return began
+
     def _previous(self, spark: SparkSession, tick: int) -> dict:
         """The ledger row of the latest earlier tick: one row of numbers.
 
@@ -180,24 +194,19 @@ class EventStream:
         self, spark: SparkSession, rows: DataFrame, tick: int, carry: int | None,
         now: Column,
     ) -> DataFrame:
-        # A tick holds no more slices than messages it was allowed to take.
         levels = topic_blocks(F.col("src_slice"), F.col("src_offset"), F.col("src_topic"),
-                              F.col("src_partition"), many_slices=False)
+                              F.col("src_partition"))
         observed = eventtime.observe(
             rows, order=ORDER, levels=levels, policy=self.policy,
             carry=None if carry is None else F.timestamp_micros(F.lit(carry)),
         )
-        stored = self.raw.before(spark, tick)
-        if self.lookup_by_event_date:
-            dates = _dates(rows.select(F.to_date("event_time").alias("d")))
-            if dates is not None:
-                stored = stored.where(F.unix_date("event_date").isin(dates))
-        flagged = dedupe.insert_if_absent(observed, stored, order=ORDER)
+        flagged = dedupe.insert_if_absent(observed, self.ids.before(spark, tick), order=ORDER)
         return enrich.with_status(flagged).withColumn("ingestion_time", now)
 
     def _write_raw(self, tagged: DataFrame, tick: int) -> None:
         fresh = tagged.where("is_new").select(*schemas.RAW.names)
         self.raw.write(fresh.withColumn("event_date", F.to_date("event_time")), tick)
+        self.ids.write(fresh, tick)
 
     def _changes(
         self, spark: SparkSession, tagged: DataFrame, tick: int,
@@ -240,22 +249,30 @@ class EventStream:
             F.col("refused") | F.col("accepted") | F.col("finalizes")
         )
 
-    def _relevant(self, partials: DataFrame, before: int | None) -> Column | None:
-        """Which window dates of the state table can matter to this tick.
+    def _relevant(
+        self, partials: DataFrame, before: int | None
+    ) -> Callable[[DataFrame], DataFrame]:
+        """Keep the window dates of the state table that can matter to this tick.
 
         Windows still open after the last tick end no earlier than its watermark
-        less the lateness; any other window matters only if the tick touches it.
+        less the lateness; any other window matters only if the tick touches it,
+        which a join on the partition column prunes to.
         """
-        dates = _dates(partials.select(F.to_date("window_start").alias("d")))
-        if dates is None:
-            return None
-        touched = F.unix_date("window_date").isin(dates) if dates else F.lit(False)
+        # The comparison is always true; it marks the side as worth pruning by.
+        touched = partials.select(F.to_date("window_start").alias("window_date")).where(
+            F.col("window_date") >= F.lit("0001-01-01").cast("date")).distinct()
         if before is None:
-            return touched
+            return lambda log: log.join(touched, "window_date", "left_semi")
         reach = (self.policy.out_of_orderness + self.policy.allowed_lateness
                  + self.policy.window)
         oldest_open = F.to_date(F.timestamp_micros(F.lit(before - reach * 1_000_000)))
-        return touched | (F.col("window_date") >= oldest_open)
+
+        def restrict(log: DataFrame) -> DataFrame:
+            closed = log.where(F.col("window_date") < oldest_open)
+            return log.where(F.col("window_date") >= oldest_open).unionByName(
+                closed.join(touched, "window_date", "left_semi"))
+
+        return restrict
 
     def _write_states(self, changes: DataFrame, tick: int) -> None:
         kept = changes.where(F.col("accepted") | F.col("finalizes")).select(
@@ -294,18 +311,18 @@ class EventStream:
         ).first().asDict()
 
     def _write_ledger(
-        self, spark: SparkSession, tick: int, newest: int | None, totals: dict[str, int]
+        self, spark: SparkSession, tick: int, began: int, newest: int | None,
+        totals: dict[str, int],
     ) -> None:
-        now = dt.datetime.now(dt.UTC)
         one = spark.range(1, numPartitions=1)
         samples = [
             F.struct(
-                F.lit(now).alias("ts"), F.lit(name).alias("name"),
+                F.timestamp_micros(F.lit(began)).alias("ts"), F.lit(name).alias("name"),
                 F.create_map(*[F.lit(part) for pair in labels.items() for part in pair])
                 .alias("labels"),
                 F.lit(float(value)).alias("value"),
             )
-            for name, labels, value in _sample_values(totals, newest, now, self.policy)
+            for name, labels, value in _sample_values(totals, newest, began, self.policy)
         ]
         self.samples.write(one.select(F.inline(F.array(*samples))), tick)
         self.ledger.write(one.select(
@@ -334,15 +351,8 @@ def _add(measure: str) -> Column:
     return F.coalesce(F.col(measure), F.lit(0)) + F.coalesce(F.col(f"old_{measure}"), F.lit(0))
 
 
-def _dates(days: DataFrame) -> list[int] | None:
-    """The distinct dates of a tick as day numbers, or None when too many to list."""
-    numbers = days.select(F.unix_date("d").alias("d")).where(F.col("d").isNotNull()).distinct()
-    rows = numbers.limit(PRUNE_DATES + 1).collect()
-    return None if len(rows) > PRUNE_DATES else [row["d"] for row in rows]
-
-
 def _sample_values(
-    totals: dict[str, int], newest: int | None, now: dt.datetime, policy: EventTimePolicy
+    totals: dict[str, int], newest: int | None, now: int, policy: EventTimePolicy
 ) -> Sequence[tuple[str, dict[str, str], float]]:
     job = {"job": "consumer", "instance": "stream"}
     values = [
@@ -365,6 +375,6 @@ def _sample_values(
         values.append(("consumer_processing_seconds_bucket", {**job, "le": le},
                        totals[f"seconds_le_{index}"]))
     if newest is not None:
-        lag = now.timestamp() - newest / 1e6 + policy.out_of_orderness
+        lag = (now - newest) / 1e6 + policy.out_of_orderness
         values.append(("consumer_watermark_lag_seconds", job, lag))
     return values
