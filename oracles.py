@@ -454,10 +454,12 @@ SELECT src_partition AS source_partition, seq AS source_offset, sent_at AS faile
 FROM letters WHERE sent_at >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS"""
 
     out["messages_by_key"] = _with(READINGS) + """
-SELECT customer_id AS key, count(*) AS messages,
-  CAST(sum(13 + 36 + 17 + length(customer_id) + 15 + length(CAST(heart_rate AS VARCHAR)) + 1)
-    AS BIGINT) AS characters
-FROM readings GROUP BY 1"""
+SELECT customer_id AS key, count(*) AS messages, CAST(sum(length(body)) AS BIGINT) AS characters,
+  min(body) AS first_value, max(body) AS last_value
+FROM (SELECT customer_id, '{"event_id":"' || event_id || '","customer_id":"' || customer_id
+    || '","heart_rate":' || heart_rate || ',"event_time":"'
+    || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '"}' AS body FROM readings)
+GROUP BY 1"""
 
     out["lateness"] = _with(tagged) + """
 SELECT arrival, event_id, event_time, watermark_before, is_late,

@@ -21,23 +21,15 @@ class Rule:
     severity: str
     component: str
     hold: int
-    summary: str
 
 
 # Names, severities, components, hold times and thresholds.
-CONSUMER_DOWN = Rule("ConsumerDown", "CRITICAL", "consumer", 60, "Consumer is down")
-SINK_UNAVAILABLE = Rule("PostgresUnavailable", "CRITICAL", "postgres", 60, "PostgreSQL is unreachable")
-LAG_HIGH = Rule("KafkaLagHigh", "WARNING", "consumer", 300, "Kafka consumer lag is high")
-LATENCY_HIGH = Rule(
-    "ProcessingLatencyHigh", "WARNING", "consumer", 300, "Event processing latency is high"
-)
-DEAD_LETTERS_HIGH = Rule(
-    "DLQRateHigh", "WARNING", "consumer", 300,
-    "Unusual proportion of events being dead-lettered",
-)
-WATERMARK_STUCK = Rule(
-    "WatermarkStuck", "WARNING", "consumer", 600, "Event-time watermark is not advancing"
-)
+CONSUMER_DOWN = Rule("ConsumerDown", "CRITICAL", "consumer", 60)
+SINK_UNAVAILABLE = Rule("PostgresUnavailable", "CRITICAL", "postgres", 60)
+LAG_HIGH = Rule("KafkaLagHigh", "WARNING", "consumer", 300)
+LATENCY_HIGH = Rule("ProcessingLatencyHigh", "WARNING", "consumer", 300)
+DEAD_LETTERS_HIGH = Rule("DLQRateHigh", "WARNING", "consumer", 300)
+WATERMARK_STUCK = Rule("WatermarkStuck", "WARNING", "consumer", 600)
 RULES = (
     CONSUMER_DOWN, SINK_UNAVAILABLE, LAG_HIGH, LATENCY_HIGH, DEAD_LETTERS_HIGH, WATERMARK_STUCK,
 )
@@ -193,13 +185,15 @@ def group(alerts: DataFrame, by: Sequence[str] = ("alertname", "component")) ->
     """One row per group and step: one incident is one notification.
 
     Members are counted and fingerprinted, not collected, so a group may hold
-    any number of instances.
+    any number of instances. Hashes are summed, as equal members would cancel
+    each other in an exclusive or.
     """
+    member = F.pmod(F.xxhash64(*by, "alertname", "instance", "severity"), F.lit(1 << 40))
     return alerts.groupBy(*by, "step").agg(
         F.min("severity").alias("severity"),
         F.count(F.lit(1)).alias("alerts"),
         F.min("since").alias("oldest"),
-        F.bit_xor(F.xxhash64("instance", "severity")).alias("members"),
+        F.sum(member).alias("members"),
     )
 
 
@@ -268,8 +262,9 @@ def auto_resolve(
     ``timeout`` after its last update.
     """
     micros = F.unix_micros("ts")
-    block = F.call_function("div", micros, F.lit(86_400_000_000).cast("bigint"))
-    levels = [[F.call_function("div", block, F.lit(365).cast("bigint"))], [block]]
+    # Years, days, and ten minutes: a noisy alert's day is many blocks.
+    levels = [[F.call_function("div", micros, F.lit(size * 1_000_000).cast("bigint"))]
+              for size in (365 * 86_400, 86_400, 600)]
     rows = updates.select(key, "ts").distinct()
     seen = running(
         rows, micros, "__before", order=["ts"], levels=levels, partition_by=[key]

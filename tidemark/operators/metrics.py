@@ -353,14 +353,15 @@ def share(
     )
 
 
-def quantile(
-    buckets: DataFrame, q: float, by: Sequence[str] = ("step", "eval_ts"),
+def quantiles(
+    buckets: DataFrame, qs: Sequence[float], by: Sequence[str] = ("step", "eval_ts"),
     le: str = "le", value: str = "value",
 ) -> DataFrame:
-    """Quantile from cumulative buckets, linear inside the bucket it falls in.
+    """Quantiles ``q`` from cumulative buckets, linear inside the bucket each falls in.
 
-    The first bucket starts at zero; in the +Inf bucket the answer is the highest
-    finite bound. NULL when nothing was counted or only one bucket exists.
+    All of them come from one pass. The first bucket starts at zero; in the +Inf
+    bucket the answer is the highest finite bound. NULL when nothing was counted
+    or only one bucket exists.
     """
     bound = F.col(le).cast("double")
     ordered = Window.partitionBy(*by).orderBy("__le")
@@ -370,26 +371,30 @@ def quantile(
         .withColumn("__below", F.coalesce(F.lag("__count").over(ordered), F.lit(0.0)))
         .withColumn("__lower", F.lag("__le").over(ordered))
         .withColumn("__total", F.max("__count").over(whole))
-        .withColumn("__rank", F.lit(float(q)) * F.col("__total"))
     )
     lower = F.coalesce("__lower", F.lit(0.0))
-    width = F.col("__le") - lower
-    inside = F.try_divide(
-        F.col("__rank") - F.col("__below"), F.col("__count") - F.col("__below")
-    )
-    answer = (
-        F.when((F.col("__total") <= 0) | F.col("__total").isNull(), F.lit(None).cast("double"))
-        .when(F.col("__le") == F.lit(INFINITY), F.col("__lower"))
-        .when(F.col("__lower").isNull() & (F.col("__le") <= 0), F.col("__le"))
-        .otherwise(lower + width * inside)
-    )
-    # The bucket the rank falls in is the first one that reaches it. Counts may be
-    # sums of rates, whose last digits depend on the order of addition.
-    reached = F.when(
-        F.col("__count") >= F.col("__rank") * F.lit(1 - RANK_TOLERANCE), F.col("__le")
-    )
-    return (
-        rows.withColumn("__answer", answer)
-        .groupBy(*by)
-        .agg(F.min_by("__answer", reached).alias("value"))
-    )
+
+    def answer(q: float) -> Column:
+        rank = F.lit(float(q)) * F.col("__total")
+        inside = F.try_divide(rank - F.col("__below"), F.col("__count") - F.col("__below"))
+        found = (
+            F.when((F.col("__total") <= 0) | F.col("__total").isNull(), F.lit(None).cast("double"))
+            .when(F.col("__le") == F.lit(INFINITY), F.col("__lower"))
+            .when(F.col("__lower").isNull() & (F.col("__le") <= 0), F.col("__le"))
+            .otherwise(lower + (F.col("__le") - lower) * inside)
+        )
+        # The bucket the rank falls in is the first one that reaches it. Counts may be
+        # sums of rates, whose last digits depend on the order of addition.
+        reached = F.when(F.col("__count") >= rank * F.lit(1 - RANK_TOLERANCE), F.col("__le"))
+        return F.struct(F.lit(float(q)).alias("q"), F.min_by(found, reached).alias("value"))
+
+    each = rows.groupBy(*by).agg(F.array(*[answer(q) for q in qs]).alias("__answers"))
+    return each.select(*by, F.inline("__answers")).select(*by, "value", "q")
+
+
+def quantile(
+    buckets: DataFrame, q: float, by: Sequence[str] = ("step", "eval_ts"),
+    le: str = "le", value: str = "value",
+) -> DataFrame:
+    """One quantile; see :func:`quantiles`."""
+    return quantiles(buckets, [q], by, le, value).drop("q")

@@ -19,7 +19,7 @@ from tidemark.operators.running import blocks_of, running
 from tidemark.plans import alertlog, readings, reports, telemetry
 from tidemark.policy import EventTimePolicy
 from tidemark.session import scratch_path, stage
-from tidemark.sources import tables
+from tidemark.sources import tables, topics
 from tidemark.sources.topics import to_messages
 from tidemark.streaming.alertticks import AlertStream
 from tidemark.streaming.native import native_daily, with_native_watermark
@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Settings of the derived inputs, scaled to their ten-minute scrapes.
 SHORT, LONG, LOOKBACK = 1800, 3600, 1800
 RULES = tuple(
-    A.Rule(r.name, r.severity, r.component, hold, r.summary)
+    A.Rule(r.name, r.severity, r.component, hold)
     for r, hold in zip(A.RULES, (600, 600, 1200, 1800, 1800, 2400), strict=True)
 )
 LIMITS = {
@@ -149,10 +149,14 @@ def dead_letter_retention(spark, sf_dir):
 @query
 def messages_by_key(spark, sf_dir):
     """Valid readings as keyed JSON messages, counted per key with their sizes."""
-    rows = readings.readings(spark, sf_dir).select("event_id", "customer_id", "heart_rate")
+    rows = readings.readings(spark, sf_dir).select(
+        "event_id", "customer_id", "heart_rate",
+        times.iso_text(F.col("event_time")).alias("event_time"),
+    )
     return to_messages(rows).groupBy("key").agg(
         F.count(F.lit(1)).alias("messages"),
         F.sum(F.length("value")).cast("bigint").alias("characters"),
+        F.min("value").alias("first_value"), F.max("value").alias("last_value"),
     )
 
 
@@ -336,10 +340,17 @@ def _stream_messages(spark, sf_dir):
 
 
 def _run_stream(spark, sf_dir):
+    """All deliveries through a streaming query that takes one topic file per tick."""
     stream = EventStream(scratch_path(spark, "stream"))
     messages = stage(_stream_messages(spark, sf_dir), "stream-messages", ["tick"])
+    topic = scratch_path(spark, "stream-topic")
     for tick in range(STREAM_TICKS):
-        stream.process(messages.where(F.col("tick") == tick).drop("tick"), tick)
+        part = messages.where(F.col("tick") == tick).drop("tick")
+        topics.publish_files(part.coalesce(1), topic)
+    stream.start(
+        topics.read_topic_files_stream(spark, topic, 1), scratch_path(spark, "stream-checkpoint"),
+        seconds=None,
+    ).start().awaitTermination()
     return stream
 
 
@@ -530,10 +541,7 @@ def latency_quantiles(spark, sf_dir):
     """p50, p95 and p99 of the cumulative histogram, per event type."""
     rows = readings.events(spark, sf_dir).withColumn("seconds", F.col("value") / 100)
     buckets = M.histogram(rows, F.col("seconds"), by=["event_type"])
-    return A.union_all([
-        M.quantile(buckets, q, by=["event_type"], value="count").withColumn("q", F.lit(q))
-        for q in (0.5, 0.95, 0.99)
-    ])
+    return M.quantiles(buckets, (0.5, 0.95, 0.99), by=["event_type"], value="count")
 
 
 @query

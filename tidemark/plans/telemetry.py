@@ -194,16 +194,16 @@ def throughput_summary(
         "failed/sec": total(counters, FAILED),
         "abnormal/sec": total(counters, ABNORMAL),
         "late/sec": total(counters, LATE),
-        "p50 latency (s)": latency_quantile(buckets, 0.50),
-        "p95 latency (s)": latency_quantile(buckets, 0.95),
-        "p99 latency (s)": latency_quantile(buckets, 0.99),
         "watermark lag (s)": total(current, WATERMARK_LAG, "max"),
         "windows open": total(current, WINDOWS_OPEN),
         "consumer instances": total(healthy, UP, "count"),
     }
-    return A.union_all([
+    percent = F.round(F.col("q") * 100).cast("int").cast("string")
+    latency = M.quantiles(bucket_rates(buckets), (0.50, 0.95, 0.99)).select(
+        F.concat(F.lit("p"), percent, F.lit(" latency (s)")).alias("name"), "value")
+    return A.union_all([latency, *[
         frame.select(F.lit(name).alias("name"), "value") for name, frame in frames.items()
-    ])
+    ]])
 
 
 def panels(
