@@ -729,6 +729,17 @@ SELECT alertname, severity, component, instance, {_at('since')} AS active_at,
   {_at("min(step) FILTER (WHERE state = 'firing')")} AS fired_at,
   {_at('(max(step) + 1)')} AS ended_at
 FROM alerts GROUP BY alertname, severity, component, instance, since"""
+    out["rule_history"] = conditions + f""",
+runs AS (
+  SELECT alertname, severity, component, instance, since, max(step) + 1 AS ended,
+    min(step) FILTER (WHERE state = 'firing') AS fired
+  FROM alerts GROUP BY alertname, severity, component, instance, since)
+SELECT concat_ws('|', alertname, severity, component, instance) AS fingerprint,
+  CAST(row_number() OVER (PARTITION BY alertname, severity, component, instance ORDER BY fired)
+    AS BIGINT) AS episode_no, alertname AS alert_type, severity,
+  CASE WHEN ended <= hi THEN 'RESOLVED' ELSE 'FIRING' END AS status,
+  {_at('fired')} AS created_at, CASE WHEN ended <= hi THEN {_at('ended')} END AS resolved_at
+FROM runs CROSS JOIN span WHERE fired IS NOT NULL"""
     out["rule_states"] = conditions + """
 SELECT r.alertname, r.severity, coalesce(min(a.state), 'inactive') AS state
 FROM (VALUES ('ConsumerDown', 'CRITICAL'), ('PostgresUnavailable', 'CRITICAL'),

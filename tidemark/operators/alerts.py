@@ -145,6 +145,35 @@ def intervals(alerts: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
+def messages(runs: DataFrame, until: Column) -> DataFrame:
+    """What the runs of :func:`intervals` tell a notification history.
+
+    A run that fired sends FIRING when it did, and RESOLVED when it had ended by
+    ``until``; runs that never fired send nothing.
+    """
+    fired = runs.where(F.col("fired_at").isNotNull()).withColumns({
+        "fingerprint": F.concat_ws("|", "alertname", "severity", "component", "instance"),
+        "ended_at": F.when(F.col("ended_at") <= until, F.col("ended_at")),
+    })
+    moments = F.filter(
+        F.array(
+            F.struct(F.lit("FIRING").alias("status"), F.col("fired_at").alias("received_at")),
+            F.struct(F.lit("RESOLVED").alias("status"), F.col("ended_at").alias("received_at")),
+        ),
+        lambda moment: moment["received_at"].isNotNull(),
+    )
+    told = fired.select(
+        "fingerprint", F.col("alertname").alias("alert_type"), "severity", "instance",
+        F.inline(moments),
+    )
+    return told.select(
+        F.unix_micros("received_at").alias("arrival"), F.lit(0).alias("position"), "received_at",
+        "fingerprint", "alert_type", "severity", F.lit(None).cast("string").alias("message"),
+        F.col("instance").alias("source"), "status", F.col("received_at").alias("created_at"),
+        F.create_map(F.lit("alertname"), F.col("alert_type")).alias("labels"),
+    )
+
+
 def rule_states(
     spark: SparkSession, alerts: DataFrame, at_step: Column, rules: Sequence[Rule] = RULES
 ) -> DataFrame:

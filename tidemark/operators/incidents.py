@@ -117,8 +117,11 @@ def notifications(tagged: DataFrame) -> DataFrame:
     )
 
 
-def notification_history(alerts: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    return notifications(transitions(alerts, order))
+def notification_history(
+    alerts: DataFrame, order: Sequence[str] = ORDER,
+    levels: Sequence[Sequence[Column]] | None = None,
+) -> DataFrame:
+    return notifications(transitions(alerts, order, levels))
 
 
 def open_new(alerts: DataFrame, open_notifications: DataFrame) -> DataFrame:

@@ -673,6 +673,19 @@ def alert_intervals(spark, sf_dir):
     return A.intervals(_alerts(spark, sf_dir), telemetry.GRID)
 
 
+@query
+def rule_history(spark, sf_dir):
+    """The notification history that the evaluated rules themselves lead to."""
+    bounds = M.step_bounds(_samples(spark, sf_dir), telemetry.GRID)
+    until = telemetry.GRID.time(F.lit(bounds.select("hi").scalar()))
+    told = A.messages(A.intervals(_alerts(spark, sf_dir), telemetry.GRID), until)
+    days = [[F.call_function("div", F.col("arrival"), F.lit(86_400_000_000 * n).cast("bigint"))]
+            for n in (365, 1)]
+    return incidents.notification_history(told, levels=days).select(
+        "fingerprint", "episode_no", "alert_type", "severity", "status", "created_at", "resolved_at"
+    )
+
+
 @query
 def rule_states(spark, sf_dir):
     """Inactive, pending or firing per rule, half way through the data."""
