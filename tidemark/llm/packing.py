@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textarrays import text_bytes
+from tidemark.llm.textarrays import chunks
 from tidemark.llm.wordids import word_ids
 
 TIERS = (256, 512, 1024, 2048)
@@ -113,11 +113,10 @@ def pack_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep: s
     def run(table: pa.Table) -> pa.Table:
         encoder = word_ids(vocabulary)
         table = table.sort_by([("doc_id", "ascending")])
-        data, offsets = text_bytes(table.column("text"))
-        ids = [
-            np.append(encoder.ids(data[a:b].tobytes()), encoder.dtype.type(END_ID))
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-        ]
+        ids: list[np.ndarray] = []
+        for part in chunks(table, "text"):
+            values, edges = encoder.texts(part.column("text"), END_ID)
+            ids += [values[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         windows = pack([len(x) for x in ids])
         steps = step_groups([sum(n for _, _, n in w) for w in windows])
         first = (table.column("grp")[0].as_py() if table.num_rows else 0) << 32

@@ -110,8 +110,13 @@ class Words:
         self.first = np.searchsorted(self.start, self.offsets)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(data * _word_up.upto(n) if n else data, out=sums[1:], dtype=np.uint64)
-        spans = (sums[self.end] - sums[self.start]) * _word_down.upto(n)[self.start] if n else sums[:0]
-        self.hash = mix(spans + (self.end - self.start).astype(np.uint64))
+        self._sums = sums
+        self.hash = self.bytes_hash(self.start, self.end)
+
+    def bytes_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the bytes start:end."""
+        down = _word_down.upto(max(len(self.data), 1))
+        return mix((self._sums[end] - self._sums[start]) * down[start] + (end - start).astype(np.uint64))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
