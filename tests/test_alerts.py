@@ -10,7 +10,7 @@ from tidemark.operators import alerts as A
 from tidemark.operators.metrics import Grid
 
 GRID = Grid(step=15, chunk=4)
-RULE = A.Rule("SomethingBroken", "WARNING", "worker", 60, "broken")
+RULE = A.Rule("SomethingBroken", "WARNING", "worker", 60)
 BASE = 1_767_225_600
 FIRST = BASE // 15
 
@@ -46,7 +46,7 @@ def test_runs_cross_chunks(spark):
 
 
 def test_zero_hold_fires_at_once(spark):
-    got = states(spark, [3], A.Rule("Now", "INFO", "x", 0, ""))
+    got = states(spark, [3], A.Rule("Now", "INFO", "x", 0))
     assert got == {3: "firing"}
 
 
@@ -62,7 +62,7 @@ def test_intervals(spark):
 
 def test_rule_states(spark):
     found = evaluated(spark, range(5))
-    rules = (RULE, A.Rule("Quiet", "CRITICAL", "x", 0, ""))
+    rules = (RULE, A.Rule("Quiet", "CRITICAL", "x", 0))
 
     def at(step):
         return {r["alertname"]: r["state"]
@@ -73,7 +73,7 @@ def test_rule_states(spark):
 
 
 def test_rules_are_followed_separately(spark):
-    other = A.Rule("Other", "CRITICAL", "x", 15, "")
+    other = A.Rule("Other", "CRITICAL", "x", 15)
     found = A.evaluate(
         [A.condition(RULE, active(spark, range(5)), ["instance"]),
          A.condition(other, active(spark, [3, 4]))], [RULE, other], GRID)
@@ -147,3 +147,13 @@ def test_auto_resolve(spark):
                    r["updates"], int(r["resolved_at"].replace(tzinfo=dt.UTC).timestamp()) - BASE)
                   for r in got.collect())
     assert seen == [("f", 0, 3, 300), ("f", 301, 1, 421), ("g", 0, 1, 120)]
+
+
+def test_equal_members_do_not_cancel(spark):
+    rows = [("A", "c", "i", "WARNING", 1, 1), ("B", "c", "i", "WARNING", 1, 1)]
+    alerts = spark.createDataFrame(
+        rows, "alertname string, component string, instance string, severity string, "
+              "step bigint, since bigint")
+    together = A.group(alerts, by=("component",)).first()["members"]
+    alone = A.group(alerts.where("alertname = 'A'"), by=("component",)).first()["members"]
+    assert together != alone and together != 0
