@@ -101,8 +101,8 @@ def recurring_anchors(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHO
                 )
 
     places = rows.select("text", "shard").mapInArrow(run, "anchor long, shard int")
-    # Places of an anchor in a shard, then all of them; both aggregates use one shuffle by anchor.
-    each = places.repartition("anchor").groupBy("anchor", "shard").agg(F.count("*").alias("n"))
+    # Places of an anchor in a shard first, so that an anchor in every text is one row a shard after that.
+    each = places.groupBy("anchor", "shard").agg(F.count("*").alias("n"))
     total = each.withColumn("total", F.sum("n").over(Window.partitionBy("anchor")))
     return total.where("total > 1").select("shard", "anchor")
 
