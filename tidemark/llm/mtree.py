@@ -17,15 +17,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-PAGE = 64
+PAGE = 256
 SLACK = 1e-6
 
 
 @dataclass
 class Node:
-    """Entries are vectors (`children` empty) or routing vectors of child pages."""
+    """Entries are vectors (`children` empty) or routing vectors of child pages; `points` are their components."""
 
     entries: np.ndarray
+    points: np.ndarray
     parent_distance: np.ndarray
     radius: np.ndarray
     children: list[Node] = field(default_factory=list)
@@ -44,15 +45,16 @@ class MTree:
     def __init__(self, vectors: np.ndarray, top: float):
         self.vectors, self.top, self.computed = vectors, top, 0
         n = len(vectors)
+        # Products of whole numbers are exact in floating point up to 2**53.
+        self.largest = float(np.abs(vectors).max()) if vectors.size else 0.0
         self.root = self._page(np.arange(n), 0) if n else None
-        self.root_entry = 0
 
     def _page(self, rows: np.ndarray, routing: int) -> Node:
         """The page for `rows`, under the routing vector `routing`."""
         base = self.vectors[[routing]]
         if len(rows) <= PAGE:
             to = lifted_distance(self.vectors[rows], base, self.top)[:, 0]
-            return Node(rows, to, np.zeros(len(rows)))
+            return Node(rows, self.vectors[rows].astype(np.float64), to, np.zeros(len(rows)))
         groups = min(PAGE, -(-len(rows) // PAGE))
         pivots = rows[np.linspace(0, len(rows) - 1, groups).astype(np.int64)]
         apart = lifted_distance(self.vectors[rows], self.vectors[pivots], self.top)
@@ -68,7 +70,7 @@ class MTree:
                 radius.append(apart[own, g].max())
         entries = np.array(kept)
         to = lifted_distance(self.vectors[entries], base, self.top)[:, 0]
-        return Node(entries, to, np.array(radius), children)
+        return Node(entries, self.vectors[entries].astype(np.float64), to, np.array(radius), children)
 
     def search(self, query: np.ndarray, k: int, least: int | None = None) -> list[tuple[int, int]]:
         """(score, row) of rows that may be among the k best; all rows tied with the k-th are given.
@@ -77,7 +79,9 @@ class MTree:
         """
         if self.root is None:
             return []
-        qq = float((query.astype(np.float64) ** 2).sum())
+        real = query.astype(np.float64)
+        qq = float((real**2).sum())
+        exact = float(np.abs(real).sum()) * self.largest < 2.0**53
         scores: list[int] = []  # the k best so far, a heap
         found: list[tuple[int, int]] = []
 
@@ -89,13 +93,16 @@ class MTree:
             far = max(qq + self.top - 2.0 * low, 0.0)
             return float(np.sqrt(far)) * (1 + SLACK) + SLACK
 
-        def distance(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            self.computed += len(rows)
-            products = self.vectors[rows] @ query
+        def distance(node: Node, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            self.computed += len(near)
+            if not exact:
+                products = self.vectors[node.entries[near]] @ query
+            else:
+                products = (node.points if len(near) == len(node.points) else node.points[near]) @ real
             return products, np.sqrt(np.maximum(qq + self.top - 2.0 * products, 0.0))
 
-        _, start = distance(np.array([self.root_entry]))
-        heap: list[tuple[float, int, Node, float]] = [(0.0, 0, self.root, float(start[0]))]
+        start = np.sqrt(max(qq + self.top - 2.0 * float(self.vectors[0].astype(np.float64) @ real), 0.0))
+        heap: list[tuple[float, int, Node, float]] = [(0.0, 0, self.root, float(start))]
         pushed = 0
         while heap:
             bound, _, node, to_parent = heapq.heappop(heap)
@@ -105,14 +112,17 @@ class MTree:
             near = np.flatnonzero(np.abs(to_parent - node.parent_distance) - node.radius <= most)
             if not len(near):
                 continue
-            products, away = distance(node.entries[near])
+            products, away = distance(node, near)
             if node.children:
                 lower = np.maximum(away - node.radius[near], bound)
                 for i in np.flatnonzero(lower <= most).tolist():
                     pushed += 1
                     heapq.heappush(heap, (float(lower[i]), pushed, node.children[int(near[i])], float(away[i])))
                 continue
-            for i in np.flatnonzero(away <= most).tolist():
+            good = away <= most
+            if len(products) > k:  # of a page only its k best and their ties can matter
+                good &= products >= np.partition(products, -k)[-k]
+            for i in np.flatnonzero(good).tolist():
                 score = int(products[i])
                 found.append((score, int(node.entries[near[i]])))
                 if len(scores) < k:
