@@ -56,7 +56,7 @@ def _round(linked: DataFrame, room: dict[int, int], row_bins: int) -> DataFrame:
     free = [s for s, n in room.items() if n > 0]
     tally = linked.groupBy("gid", "label").agg(F.count("*").alias("n")).where(F.col("label").isin(free))
     tie = F.pmod(F.xxhash64("gid", "label"), F.lit(1 << 20))
-    want = tally.groupBy("gid").agg(F.max(F.struct("n", tie.alias("tie"), "label"))["label"].alias("to"))
+    want = stage(tally.groupBy("gid").agg(F.max(F.struct("n", tie.alias("tie"), "label"))["label"].alias("to")), "shard-wishes")
     asked = linked.drop("moved").join(want, "gid", "left")
     stay = F.col("to").isNull() | (F.col("to") == F.col("label"))
     group_bin = F.pmod(F.col("gid"), F.lit(GROUP_BINS)) * row_bins + F.pmod(F.xxhash64("uid"), F.lit(row_bins))
@@ -108,7 +108,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text", k
     row_bins = max(ROW_BINS, total // (ROWS_A_BIN * shards))
     row_bin = F.pmod(F.xxhash64("uid"), F.lit(row_bins))
 
-    groups = rows.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1")
+    # Written first, as Spark splits a hot key of a join only if both sides come straight from a shuffle.
+    groups = stage(rows.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1"), "shard-groups")
     largest = groups.where(F.col("n") > total // (2 * shards)).collect()  # at most 2 * shards rows
     room = dict(cap)
     places = _place_giants([(r.gid, r.n) for r in largest], room)
