@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from samples import odd_rows, prose, saved, table
 from tidemark.llm import decontaminate as d
@@ -65,6 +66,44 @@ def test_finds_items_and_leaves_clean_documents(spark, tmp_path, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in op8_decontamination(spark, folder).collect()} == want
 
 
+def test_an_edit_in_many_documents_is_found(spark):
+    items = [(1, prose(900, 30)), (2, prose(901, 12))]
+    rows, want = [], set()
+    for item, text in items:
+        edited = " ".join("edit" if n % 5 == 4 else w for n, w in enumerate(text.split()))
+        third = " ".join("edit" if n % 3 == 1 else w for n, w in enumerate(text.split()))
+        spread = " ".join(f"{w} more" if n % 2 else w for n, w in enumerate(text.split()))
+        for n in range(60):
+            for kind, body in enumerate((edited, spread, edited if len(text.split()) < 30 else third) if n > 1 else (text, edited)):
+                doc = 1000 * item + 10 * n + kind
+                rows.append((doc, f"{prose(doc, 15)} {body} {prose(doc + 7, 15)}", "en", "s", 0))
+                want.add((doc, item))
+    got = d.contamination(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc.doc_id, h.item_id) for r in got for h in r.hits} == want
+
+
+def test_finds_what_alignment_with_whole_texts_finds():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 24))) for _ in range(40)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(20)]
+    for item in items:
+        kept = [w for w in item.split() if rng.random() < 0.85]
+        mixed = [x for w in kept for x in ([w, rng.choice(vocabulary)] if rng.random() < 0.3 else [w])]
+        texts.append(" ".join([rng.choice(texts[:20]), *mixed, rng.choice(texts[:20])]))
+    whole = d.index(list(range(len(items))), items)
+    words = d._split(pa.array(texts))
+    times = np.array([(words.hash == w).sum() for w in whole.distinct])
+    got = {(i, h["item_id"]): h["score"] for i, hits in d._judge(words, d.rarest(whole, times)).items() for h in hits}
+    want = {}
+    for i in range(len(texts)):
+        for number, item in enumerate(whole.words):
+            score = d.align(item, words.hash[words.first[i] : words.first[i + 1]])[0]
+            if score >= d.THRESHOLD and score * len(item) >= min(len(item), d.LEAST_MATCHES) * 0.9:
+                want[i, number] = score
+    assert got == want and len(want) > 40
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     assert d.contamination(table(spark, []), items).collect() == []
