@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
 
 from samples import odd_rows, prose, saved, table
 from tidemark.llm.license_rules import BASE, REACH, RULES
-from tidemark.llm.licenses import BASE_WEIGHT, WEIGHT, python_rules
+from tidemark.llm.licenses import BASE_WEIGHT, WEIGHT, python_rules, scan
 from tidemark.llm.queries import op2_license_scans
 
 TEXTS = [
@@ -60,3 +61,44 @@ def test_no_python_in_the_plan(spark, tmp_path):
 @pytest.mark.parametrize("rule", RULES[:: max(1, len(RULES) // 60)])
 def test_rules_fit_their_reach(rule):
     assert len(rule.pattern.split(" ")) <= REACH and re.match("[a-z0-9]+", rule.pattern)
+
+
+def sample_of(pattern, rng):
+    """Some text that a rule's pattern matches, its branches and optional parts by chance."""
+    from re import _parser
+
+    def words(parts):
+        out = ""
+        for kind, value in parts:
+            name = str(kind)
+            if name == "LITERAL":
+                out += chr(value)
+            elif name == "SUBPATTERN":
+                out += words(value[3])
+            elif name == "BRANCH":
+                out += words(rng.choice(value[1]))
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += "".join(words(value[2]) for _ in range(rng.randint(value[0], min(value[1], value[0] + 1))))
+            elif name == "IN":
+                kind, value = value[0]
+                if str(kind) == "NEGATE":
+                    out += "x"
+                else:
+                    out += chr(value if str(kind) == "LITERAL" else value[0]) if str(kind) != "CATEGORY" else "1"
+            else:
+                out += "x"
+        return out
+
+    return words(_parser.parse(pattern))
+
+
+def test_every_rule_and_base_phrase_passes_the_keyword_test_alone(spark):
+    rng = random.Random(1)
+    plain = [sample_of(rule.pattern, rng) for rule in RULES for _ in range(4)]
+    assert all(re.match(rf"(?:{rule.pattern})(?= |$)", text) for rule, text in zip([r for r in RULES for _ in range(4)], plain, strict=True))
+    plain += BASE
+    texts = [t for p in plain for t in (p, p.upper(), p.replace(" ", "_"), f"x_{p.replace(' ', '_')}_4", p.replace(" ", " -\n"))]
+    got = scan(table(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()
+    assert [r.doc.text for r in got if not r.labels] == []
+    base = {r.doc.text: r for r in got}["x_cc_by_4"]
+    assert (base.n_base, base.first_word, base.last_word, base.base_labels) == (1, 1, 1, "cc-by")

@@ -29,9 +29,10 @@ WEIGHT = {1: 1.0, 2: 0.9, 3: 0.6}
 BASE_WEIGHT = 0.5
 
 #: Every rule and base phrase holds one of these, so a text without them has no detection.
+_SEP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # between words of either case, '_' included
 PREFILTER = (
-    r"(?i)licen[cs]|gpl|apache|\bcc0|\bcc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|creative[^a-z]+commons"
-    r"|public[^a-z0-9]+domain|permission|redistribut|advertising|copyright|warranty|wtfpl|mpl\W+2|bsd|asl\W+2"
+    rf"(?i)licen[cs]|gpl|apache|(?:^|{_SEP})cc0|(?:^|{_SEP})cc{_SEP}+by|creative{_SEP}+commons|public{_SEP}+domain|permission"
+    rf"|redistribut|advertising|copyright|warranty|wtfpl|mpl{_SEP}+2|bsd|asl{_SEP}+2|mit{_SEP}+no|neither{_SEP}+the"
 )
 
 
