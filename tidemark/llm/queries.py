@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, licenses, lmscore, neardup, packing, secrets, sharding, substrings, topk
+from tidemark.llm import (
+    decontaminate, langid, licenses, lmscore, merkle, neardup, packing, secrets, sharding, substrings, topk,
+)
 
 
 def vocabulary_file() -> str:
@@ -108,6 +111,19 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and what a changed text gives."""
+    docs = _read(spark, sf_dir, "documents")
+    small = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.manifest(docs, altered={"text": F.when(touched, small).otherwise(F.col("text"))})
+    folded = merkle.fold(F.col("altered"), F.col("path"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scans": op2_license_scans,
@@ -119,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""
@@ -157,4 +174,58 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_merkle_manifest": """
+        WITH RECURSIVE rows AS (
+          SELECT row_number() OVER () AS r, coalesce('+' || lang, '') AS t, doc_id, source, lang, n_chars, text,
+                 CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(
+                   list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                   lambda crc, b: list_reduce(
+                     list_prepend(xor(crc, b), list_transform(range(8), lambda i: CAST(0 AS BIGINT))),
+                     lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 3 = 0
+                 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+          FROM documents
+        ), hashed AS (
+          SELECT r, t, doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                 sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS altered
+          FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM rows)
+        ), leaves AS (
+          SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY t) AS n FROM hashed
+        ), levels AS (
+          SELECT t, 0 AS h, pos AS i, leaf AS node, n FROM leaves
+          UNION ALL
+          SELECT t, h + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (max(n) + 7) // 8 FROM levels WHERE n > 1 GROUP BY t, h, i // 8
+        ), subroots AS (
+          SELECT t, node AS subroot, h, row_number() OVER (ORDER BY t) - 1 AS pos, count(*) OVER () AS n FROM levels WHERE n = 1
+        ), tops AS (
+          SELECT 0 AS h, pos AS i, subroot AS node, n FROM subroots
+          UNION ALL
+          SELECT h + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (max(n) + 7) // 8 FROM tops WHERE n > 1 GROUP BY h, i // 8
+        ), beside AS (
+          SELECT l.r, v.h, v.node, v.i < l.pos // CAST(pow(8, v.h) AS BIGINT) AS before, v.i
+          FROM leaves l JOIN levels v ON v.t = l.t AND v.n > 1 AND v.i // 8 = l.pos // CAST(pow(8, v.h + 1) AS BIGINT)
+                                     AND v.i <> l.pos // CAST(pow(8, v.h) AS BIGINT)
+          UNION ALL
+          SELECT l.r, 1000 + v.h, v.node, v.i < s.pos // CAST(pow(8, v.h) AS BIGINT), v.i
+          FROM leaves l JOIN subroots s ON s.t = l.t JOIN tops v ON v.n > 1 AND v.i // 8 = s.pos // CAST(pow(8, v.h + 1) AS BIGINT)
+                                     AND v.i <> s.pos // CAST(pow(8, v.h) AS BIGINT)
+        ), steps AS (
+          SELECT l.r, v.h, v.n FROM leaves l JOIN (SELECT DISTINCT t, h, n FROM levels WHERE n > 1) v USING (t)
+          UNION ALL
+          SELECT l.r, 1000 + v.h, v.n FROM leaves l CROSS JOIN (SELECT DISTINCT h, n FROM tops WHERE n > 1) v
+        ), sides AS (
+          SELECT r, h, coalesce(string_agg(node, '' ORDER BY i) FILTER (before), '') AS x,
+                 coalesce(string_agg(node, '' ORDER BY i) FILTER (NOT before), '') AS y
+          FROM steps LEFT JOIN beside USING (r, h) GROUP BY r, h
+        ), paths AS (
+          SELECT r, list({'x': x, 'y': y} ORDER BY h) AS path, string_agg(x || y, '' ORDER BY h) AS s FROM sides GROUP BY r
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(coalesce(s, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM (
+          SELECT l.doc_id, l.leaf, b.subroot, (SELECT node FROM tops WHERE n = 1) AS root, p.s,
+                 list_reduce(list_prepend({'x': l.altered, 'y': ''}, coalesce(p.path, [])),
+                             lambda a, b: {'x': sha256(b.x || a.x || b.y), 'y': ''}).x AS folded_root
+          FROM leaves l JOIN subroots b USING (t) LEFT JOIN paths p USING (r)
+        )
+    """,
 }
