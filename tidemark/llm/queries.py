@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, langid, licenses, lmscore, merkle, neardup, packing, secrets, sharding, substrings, topk,
+    decontaminate, langid, licenses, lmscore, merkle, neardup, packing, rulequality, secrets, sharding, substrings, topk,
 )
 
 
@@ -111,6 +111,16 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chance of label 1 of every document, learnt from labelled ones not held out."""
+    labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    held_out = lambda key: F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    found = rulequality.scores(_read(spark, sf_dir, "documents"), labels, ~held_out("id"))
+    return found.select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and what a changed text gives."""
     docs = _read(spark, sf_dir, "documents")
@@ -135,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
+    "op11_quality_classifier": op11_quality_classifier,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
