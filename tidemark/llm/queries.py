@@ -9,15 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, langid, licenses, lmscore, merkle, neardup, packing, rulequality, secrets, sharding, substrings, topk,
+    decontaminate, langid, licenses, lmscore, merkle, neardup, packing, rulequality, secrets, sharding, substrings,
+    tokenalign, topk,
 )
 
 
-def vocabulary_file() -> str:
-    """The installed vocabulary that packing uses unless another is given."""
+def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
+    """An installed vocabulary; the one that packing uses unless another is given."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -121,6 +122,14 @@ def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens that two vocabularies make of every document."""
+    found = tokenalign.scored(
+        _read(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")
+    )
+    return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and what a changed text gives."""
     docs = _read(spark, sf_dir, "documents")
@@ -146,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
     "op11_quality_classifier": op11_quality_classifier,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
