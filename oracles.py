@@ -24,27 +24,40 @@ READINGS = ALL_READINGS + """,
 readings AS (SELECT * FROM all_readings WHERE heart_rate BETWEEN 20 AND 250)"""
 
 
-def deliveries_cte(tick: int = 500, expression: str | None = None) -> str:
-    return READINGS + f""",
-deliveries AS (
-  SELECT *, {expression or f"arrival // {2 * tick}"} AS tick FROM (
-    SELECT *, seq * 2 AS arrival FROM readings
+ARRIVALS = """
+    SELECT *, seq * 2 AS arrival FROM {0}
     UNION ALL
     SELECT *, (seq + CASE WHEN seq % 200 = 0 THEN 3 ELSE 1450 END) * 2 + 1 AS arrival
-    FROM readings WHERE seq % 100 = 0))"""
+    FROM {0} WHERE seq % 100 = 0"""
+
+
+def deliveries_cte(tick: int = 500) -> str:
+    return READINGS + f""",
+deliveries AS (
+  SELECT *, arrival // {2 * tick} AS tick FROM ({ARRIVALS.format('readings')}))"""
+
+
+def posted_cte(source: str) -> str:
+    """Deliveries on a topic of three partitions, drained in four ticks of equal shares."""
+    return f""",
+posted AS (
+  SELECT *, row_number() OVER (PARTITION BY src_partition ORDER BY arrival) - 1 AS src_offset
+  FROM ({ARRIVALS.format(source)})),
+longest AS (SELECT (max(src_offset) + 4) // 4 AS share FROM posted),
+drained AS (SELECT posted.*, src_offset // share AS tick FROM posted, longest)"""
 
 
 def tagged_cte(
     tick: int = 500, o: int = 300, lateness: int = 3600, width: int = 86400,
-    expression: str | None = None,
+    deliveries: str | None = None,
 ) -> str:
     """Deliveries with watermark, lateness, is_new, window, and aggregated."""
-    return deliveries_cte(tick, expression) + f""",
+    return (deliveries or deliveries_cte(tick)) + f""",
 observed AS (
   SELECT *,
-    max(event_time) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    max(event_time) OVER (ORDER BY tick, arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
       - to_seconds({o}) AS watermark_before,
-    row_number() OVER (PARTITION BY event_id ORDER BY arrival) = 1 AS is_new,
+    row_number() OVER (PARTITION BY event_id ORDER BY tick, arrival) = 1 AS is_new,
     make_timestamp(epoch_us(event_time) - epoch_us(event_time) % {width * 1_000_000}) AS window_start
   FROM deliveries),
 late AS (
@@ -94,8 +107,9 @@ raw AS (SELECT *, sent_at AS ingestion_time FROM late WHERE is_new)"""
 
 
 # The first three faults decide which fields are wrong; the text follows.
-MESSAGES = ALL_READINGS + """,
-kinds AS (SELECT *, seq % 40 AS kind FROM all_readings WHERE seq % 40 <> 16),
+KINDS = ALL_READINGS + """,
+kinds AS (SELECT *, seq % 40 AS kind FROM all_readings)"""
+OUTCOMES = """,
 bounds AS (
   SELECT *,
     CASE WHEN kind IN (2, 9) THEN NULL
@@ -112,6 +126,7 @@ found AS (
   SELECT *,
     CASE kind
       WHEN 7 THEN 'Undecodable JSON'
+      WHEN 16 THEN 'Undecodable JSON'
       WHEN 8 THEN 'event: [' || heart_rate || '] is not of type ''object'''
       ELSE nullif(concat_ws('; ',
         CASE kind WHEN 3 THEN
@@ -128,14 +143,28 @@ validated AS (
     coalesce(contract_error,
       CASE kind WHEN 0 THEN 'Invalid event_id' WHEN 4 THEN 'Invalid event_time'
                 WHEN 12 THEN 'Invalid event_time' END) AS error_message,
-    CASE WHEN kind = 7 THEN 'DECODE_ERROR'
+    CASE WHEN kind IN (7, 16) THEN 'DECODE_ERROR'
          WHEN contract_error IS NOT NULL OR kind IN (0, 4, 12) THEN 'VALIDATION_ERROR' END
       AS error_type
   FROM found),
 letters AS (
-  SELECT *, CASE WHEN kind IN (1, 7, 8, 10) THEN 'unknown' WHEN kind = 5 THEN ''
+  SELECT *, CASE WHEN kind IN (1, 7, 8, 10, 16) THEN 'unknown' WHEN kind = 5 THEN ''
                  ELSE customer_id END AS dlq_key
   FROM validated WHERE error_type IS NOT NULL)"""
+MESSAGES = KINDS.replace("FROM all_readings)", "FROM all_readings WHERE seq % 40 <> 16)") + OUTCOMES
+
+# A payload's length follows from the lengths of its parts.
+ORIGINAL_LENGTH = """CAST(CASE kind WHEN 16 THEN 2 WHEN 8 THEN length(CAST(heart_rate AS VARCHAR)) + 2 ELSE
+    2 + 13 + CASE kind WHEN 0 THEN 10 WHEN 13 THEN 38 ELSE 36 END
+    + CASE kind WHEN 1 THEN 0 WHEN 5 THEN 16 + 1 WHEN 10 THEN 18 + 1
+           ELSE 16 + length(customer_id) + 1 END
+    + 1 + 13 + length(CAST(heart_rate AS VARCHAR))
+    + CASE kind WHEN 2 THEN 2 WHEN 6 THEN 2 WHEN 17 THEN 2
+           WHEN 9 THEN 4 - length(CAST(heart_rate AS VARCHAR)) ELSE 0 END
+    + CASE kind WHEN 11 THEN 0 WHEN 4 THEN 1 + 15 + 26 WHEN 12 THEN 1 + 15 + 10
+           WHEN 14 THEN 1 + 15 + 27 WHEN 15 THEN 1 + 15 + 31 ELSE 1 + 15 + 32 END
+    + CASE kind WHEN 3 THEN 25 ELSE 0 END - CASE kind WHEN 7 THEN 1 ELSE 0 END
+  END AS BIGINT)"""
 
 BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
 LIMITS = [*(repr(b) for b in BOUNDS), "'Infinity'::DOUBLE"]
@@ -421,19 +450,8 @@ SELECT event_id, customer_id, heart_rate, event_time,
   'heart-rate-events' AS src_topic, src_partition, seq AS src_offset
 FROM validated WHERE error_type IS NULL"""
 
-    # A payload's length follows from the lengths of its parts.
-    out["dead_letters"] = _with(MESSAGES) + """
-SELECT CAST(CASE kind WHEN 8 THEN length(CAST(heart_rate AS VARCHAR)) + 2 ELSE
-    2 + 13 + CASE kind WHEN 0 THEN 10 WHEN 13 THEN 38 ELSE 36 END
-    + CASE kind WHEN 1 THEN 0 WHEN 5 THEN 16 + 1 WHEN 10 THEN 18 + 1
-           ELSE 16 + length(customer_id) + 1 END
-    + 1 + 13 + length(CAST(heart_rate AS VARCHAR))
-    + CASE kind WHEN 2 THEN 2 WHEN 6 THEN 2 WHEN 17 THEN 2
-           WHEN 9 THEN 4 - length(CAST(heart_rate AS VARCHAR)) ELSE 0 END
-    + CASE kind WHEN 11 THEN 0 WHEN 4 THEN 1 + 15 + 26 WHEN 12 THEN 1 + 15 + 10
-           WHEN 14 THEN 1 + 15 + 27 WHEN 15 THEN 1 + 15 + 31 ELSE 1 + 15 + 32 END
-    + CASE kind WHEN 3 THEN 25 ELSE 0 END - CASE kind WHEN 7 THEN 1 ELSE 0 END
-  END AS BIGINT) AS original_length,
+    out["dead_letters"] = _with(MESSAGES) + f"""
+SELECT {ORIGINAL_LENGTH} AS original_length,
   error_type, error_message, 'heart-rate-events' AS source_topic,
   src_partition AS source_partition, seq AS source_offset, sent_at AS failed_at, dlq_key
 FROM letters"""
@@ -542,13 +560,31 @@ SELECT customer_id, date_trunc('day', event_time)::TIMESTAMP AS window_start,
   count(*) FILTER (WHERE heart_rate NOT BETWEEN 60 AND 100) AS abnormal_count
 FROM readings GROUP BY 1, 2, 3"""
 
-    streamed = tagged_cte(expression="arrival * 4 // (max(arrival) OVER () + 1)")
+    streamed = tagged_cte(
+        deliveries=READINGS + posted_cte("readings") + """,
+deliveries AS (SELECT * FROM drained)""")
+    everything = KINDS + OUTCOMES + posted_cte("validated")
+    composed = tagged_cte(deliveries=everything + """,
+deliveries AS (SELECT * FROM drained WHERE error_type IS NULL)""")
     out["stream_daily"] = _with(streamed) + """
 SELECT customer_id, window_start, window_end, event_count, heart_rate_sum, average_heart_rate,
   minimum_heart_rate, maximum_heart_rate, abnormal_count, is_finalized FROM daily"""
     out["stream_raw"] = _with(streamed) + """
 SELECT event_id, customer_id, heart_rate, event_time, status, is_late,
   round(lateness_seconds, 9) AS lateness_seconds, tick FROM raw"""
+    out["event_path_raw"] = _with(composed) + """
+SELECT event_id, customer_id, heart_rate, event_time, status, is_late,
+  round(lateness_seconds, 9) AS lateness_seconds, 'heart-rate-events' AS src_topic, src_partition,
+  src_offset, tick FROM raw"""
+    out["event_path_daily"] = _with(composed) + """
+SELECT customer_id, window_start, window_end, event_count, heart_rate_sum, average_heart_rate,
+  minimum_heart_rate, maximum_heart_rate, abnormal_count, is_finalized FROM daily"""
+    out["event_path_dead_letters"] = _with(everything) + f"""
+SELECT {ORIGINAL_LENGTH} AS original_length, error_type, error_message,
+  'heart-rate-events' AS source_topic, src_partition AS source_partition, src_offset AS source_offset,
+  CASE WHEN kind IN (1, 7, 8, 10, 16) THEN 'unknown' WHEN kind = 5 THEN '' ELSE customer_id END
+    AS dlq_key, tick
+FROM drained WHERE error_type IS NOT NULL"""
     out["stream_notifications"] = _with(ALERT_LOG) + "SELECT * FROM history"
 
     # Reports.

@@ -19,7 +19,7 @@ from tidemark.operators.running import blocks_of, running
 from tidemark.plans import alertlog, readings, reports, telemetry
 from tidemark.policy import EventTimePolicy
 from tidemark.session import scratch_path, stage
-from tidemark.sources import tables, topics
+from tidemark.sources import segments, tables
 from tidemark.sources.topics import to_messages
 from tidemark.streaming.alertticks import AlertStream
 from tidemark.streaming.native import native_daily, with_native_watermark
@@ -324,40 +324,38 @@ STREAM_TICKS = 4
 
 
 def _stream_messages(spark, sf_dir):
-    """Deliveries as topic messages, cut into a few ticks of equal arrival ranges."""
+    """Valid deliveries as topic messages."""
     rows = readings.deliveries(spark, sf_dir)
-    last = rows.agg(F.max("arrival") + 1).scalar()
     body = F.to_json(F.struct(
         "event_id", "customer_id", "heart_rate", times.iso_text(F.col("event_time"))
         .alias("event_time"),
     ))
     return rows.select(
-        F.call_function("div", F.col("arrival") * STREAM_TICKS, last).alias("tick"),
         F.col("customer_id").alias("key"), body.cast("binary").alias("value"),
-        F.lit(readings.TOPIC).alias("topic"), F.lit(0).alias("partition"),
-        F.col("arrival").alias("offset"), F.timestamp_seconds(F.col("arrival")).alias("timestamp"),
+        F.col("src_partition").alias("partition"), F.timestamp_seconds("arrival").alias("timestamp"),
     )
 
 
-def _run_stream(spark, sf_dir):
-    """All deliveries through a streaming query that takes one topic file per tick."""
+def _run_stream(spark, messages):
+    """Messages published to a partitioned topic and drained by a streaming query in bounded ticks."""
     stream = EventStream(scratch_path(spark, "stream"))
-    messages = stage(_stream_messages(spark, sf_dir), "stream-messages", ["tick"])
     topic = scratch_path(spark, "stream-topic")
-    for tick in range(STREAM_TICKS):
-        part = messages.where(F.col("tick") == tick).drop("tick")
-        topics.publish_files(part.coalesce(1), topic)
-    stream.start(
-        topics.read_topic_files_stream(spark, topic, 1), scratch_path(spark, "stream-checkpoint"),
-        seconds=None,
-    ).start().awaitTermination()
+    segments.publish(messages, topic, readings.SOURCE_PARTITIONS)
+    ends = segments.TopicLog(topic).ends()
+    share = -(-max(ends.values(), default=1) // STREAM_TICKS)
+    read = segments.read_stream(spark, topic, readings.TOPIC, share * max(1, len(ends)))
+    running_query = stream.start(read, scratch_path(spark, "stream-checkpoint"), seconds=0).start()
+    try:
+        running_query.processAllAvailable()
+    finally:
+        running_query.stop()
     return stream
 
 
 @query
 def stream_daily(spark, sf_dir):
     """The daily table after running all deliveries through the streaming tick."""
-    return _run_stream(spark, sf_dir).daily(spark).select(
+    return _run_stream(spark, _stream_messages(spark, sf_dir)).daily(spark).select(
         "customer_id", "window_start", "window_end", "event_count", "heart_rate_sum",
         "average_heart_rate", "minimum_heart_rate", "maximum_heart_rate", "abnormal_count",
         "is_finalized",
@@ -367,12 +365,45 @@ def stream_daily(spark, sf_dir):
 @query
 def stream_raw(spark, sf_dir):
     """The raw table the streaming tick stores."""
-    return _run_stream(spark, sf_dir).raw.read(spark).select(
+    return _run_stream(spark, _stream_messages(spark, sf_dir)).raw.read(spark).select(
         "event_id", "customer_id", "heart_rate", "event_time", "status", "is_late",
         "lateness_seconds", "tick",
     )
 
 
+def _event_path(spark, sf_dir):
+    """The whole event path over every row of the table, broken messages included."""
+    return _run_stream(spark, readings.delivered_messages(spark, sf_dir))
+
+
+@query
+def event_path_raw(spark, sf_dir):
+    """The raw table after message, contract, watermark and dedupe, from all messages."""
+    return _event_path(spark, sf_dir).raw.read(spark).select(
+        "event_id", "customer_id", "heart_rate", "event_time", "status", "is_late",
+        "lateness_seconds", "src_topic", "src_partition", "src_offset", "tick",
+    )
+
+
+@query
+def event_path_daily(spark, sf_dir):
+    """The daily table from all messages."""
+    return _event_path(spark, sf_dir).daily(spark).select(
+        "customer_id", "window_start", "window_end", "event_count", "heart_rate_sum",
+        "average_heart_rate", "minimum_heart_rate", "maximum_heart_rate", "abnormal_count",
+        "is_finalized",
+    )
+
+
+@query
+def event_path_dead_letters(spark, sf_dir):
+    """The dead letters of all messages."""
+    return _event_path(spark, sf_dir).dead_letters.read(spark).select(
+        F.length("original_event").cast("bigint").alias("original_length"), "error_type",
+        "error_message", "source_topic", "source_partition", "source_offset", "dlq_key", "tick",
+    )
+
+
 @query
 def stream_notifications(spark, sf_dir):
     """The notification table after streaming all webhook bodies in two ticks."""

@@ -69,24 +69,22 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_readings(spark, sf_dir).where(F.col("heart_rate").between(20, 250))
 
 
-def deliveries(
-    spark: SparkSession, sf_dir: str, tick_deliveries: int = TICK_DELIVERIES
-) -> DataFrame:
-    """At-least-once deliveries of the valid readings, with arrival and tick.
-
-    Redelivered readings are emitted twice from one scan.
-    """
+def _delivered(rows: DataFrame) -> DataFrame:
+    """Rows with their arrivals: redelivered ones are emitted twice from one scan."""
     number = F.col("seq")
     delay = F.when(number % 200 == 0, F.lit(3)).otherwise(F.lit(1450))
     first = (number * 2).cast("bigint")
     again = ((number + delay) * 2 + 1).cast("bigint")
     arrivals = F.when(number % 100 == 0, F.array(first, again)).otherwise(F.array(first))
-    return (
-        readings(spark, sf_dir)
-        .withColumn("arrival", F.explode(arrivals))
-        .withColumn(
-            "tick", F.call_function("div", F.col("arrival"), F.lit(2 * tick_deliveries))
-        )
+    return rows.withColumn("arrival", F.explode(arrivals))
+
+
+def deliveries(
+    spark: SparkSession, sf_dir: str, tick_deliveries: int = TICK_DELIVERIES
+) -> DataFrame:
+    """At-least-once deliveries of the valid readings, with arrival and tick."""
+    return _delivered(readings(spark, sf_dir)).withColumn(
+        "tick", F.call_function("div", F.col("arrival"), F.lit(2 * tick_deliveries))
     )
 
 
@@ -181,5 +179,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row as a message, broken ones included, delivered at least once.
+
+    The broker time gives the order of arrival; offsets are the topic's to give.
+    """
+    rows = computed_once(
+        all_readings(spark, sf_dir), {"value": _payload(F.col("seq")).cast("binary")}
+    )
+    return _delivered(rows).select(
+        F.col("customer_id").alias("key"), "value", F.col("src_partition").alias("partition"),
+        F.timestamp_seconds("arrival").alias("timestamp"),
+    )
+
+
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.validate(contract.decode(contract.skip_blank(messages(spark, sf_dir))))
