@@ -15,7 +15,7 @@ pair is left out and frequent ones never reach the join.
 
 Defined results: a null or empty text, and one whose tokens do not give back its
 bytes (B replaces some characters), has no tokens and links: zeros. Repeated rows count as
-often as they stand. A batch holds `textarrays.CHUNK_BYTES` of text or one longer text.
+often as they stand. Work is done on `CHUNK_BYTES` of text at a time, or one longer text.
 The other columns are never read. An empty table gives no rows.
 """
 
@@ -36,6 +36,9 @@ from tidemark.llm.textarrays import chunks, ranges, text_bytes
 from tidemark.session import stage
 
 HEAD_PAIRS = 1 << 20
+#: Text encoded at a time, or one longer text; distinct pairs looked up at a time, or those of one text.
+CHUNK_BYTES = 200_000
+CHUNK_PAIRS = 500_000
 
 # How the byte-level vocabulary splits a text before its merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -206,7 +209,7 @@ def aligned(
         a_tokens, b_tokens = _tokenizers(a_path, b_path)
         va, vb = a_tokens.vocabulary, b_tokens.vocabulary
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK_BYTES):
                 column = part.column("text")
                 texts = [t or "" for t in column.to_pylist()]
                 a, b = _side(a_tokens.encode(texts), va), _side(b_tokens.encode(texts), vb)
@@ -287,23 +290,29 @@ def scored(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n, best = shared.value
         for batch in batches:
-            lists, amounts = batch.column("pairs"), batch.column("times")
-            first = np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
-            pair, times = np.asarray(lists.flatten(), np.int64), np.asarray(amounts.flatten(), np.int64)
-            slot = np.searchsorted(keys, pair)
-            slot[slot == len(keys)] = 0
-            hit = keys[slot] == pair if len(keys) else np.zeros(len(pair), bool)
-            found = [np.concatenate([[0], np.cumsum(x)]) for x in (
-                (np.where(hit & best[slot], times, 0), np.where(hit, times * n[slot], 0)) if len(keys) else (times * 0, times * 0)
-            )]
-            rest = np.flatnonzero(~hit)
-            edges = pa.array(np.searchsorted(rest, first).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([
-                *[batch.column(c) for c in kept], *[pa.array(np.diff(x[first])) for x in found],
-                pa.ListArray.from_arrays(edges, pa.array(pair[rest])), pa.ListArray.from_arrays(edges, pa.array(times[rest])),
-            ], names=[*kept, "n_best", "count_sum", "pairs", "times"])
+            upto = np.asarray(batch.column("pairs").offsets, np.int64)
+            cuts = np.flatnonzero(np.diff((upto[1:] - upto[0]) // CHUNK_PAIRS)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                yield looked_up(batch.slice(a, b - a))
+
+    def looked_up(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, n, best = shared.value
+        lists, amounts = batch.column("pairs"), batch.column("times")
+        first = np.asarray(lists.offsets, np.int64)
+        first = first - first[0]
+        pair, times = np.asarray(lists.flatten(), np.int64), np.asarray(amounts.flatten(), np.int64)
+        slot = np.searchsorted(keys, pair)
+        slot[slot == len(keys)] = 0
+        hit = keys[slot] == pair if len(keys) else np.zeros(len(pair), bool)
+        rest = np.flatnonzero(~hit)
+        edges = pa.array(np.searchsorted(rest, first).astype(np.int32))
+        times_hit = np.where(hit, times, 0)
+        sums = [times_hit * best[slot], times_hit * n[slot]] if len(keys) else [times_hit, times_hit]
+        return pa.RecordBatch.from_arrays([
+            *[batch.column(c) for c in kept], *[pa.array(np.diff(np.concatenate([[0], np.cumsum(x)])[first])) for x in sums],
+            pa.ListArray.from_arrays(edges, pa.array(pair[rest])), pa.ListArray.from_arrays(edges, pa.array(times[rest])),
+        ], names=[*kept, "n_best", "count_sum", "pairs", "times"])
 
     kept = [c for c in texts.columns if c not in ("pairs", "times")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.select(*kept).schema)
