@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.metrics import backlog
 
 
-def live_backlog(spark: SparkSession, progress: Mapping) -> DataFrame:
+def live_backlog(
+    spark: SparkSession, progress: Mapping, log_ends: DataFrame | None = None
+) -> DataFrame:
     """(topic, partition, lag) from ``query.lastProgress`` of a topic source.
 
+    ``log_ends`` (topic, partition, end_offset) is where the topic ends, for a source that
+    bounds its ticks itself and so reports the end of the tick as its latest offset.
     One entry per topic partition: a handful of numbers.
     """
     ends, positions = [], []
@@ -25,6 +29,6 @@ def live_backlog(spark: SparkSession, progress: Mapping) -> DataFrame:
                        for partition, offset in found.items()]
     schema = "topic string, partition int, {} bigint"
     return backlog(
-        spark.createDataFrame(ends, schema.format("end_offset")),
+        spark.createDataFrame(ends, schema.format("end_offset")) if log_ends is None else log_ends,
         spark.createDataFrame(positions, schema.format("position")),
     )
