@@ -586,6 +586,29 @@ SELECT {ORIGINAL_LENGTH} AS original_length, error_type, error_message,
     AS dlq_key, tick
 FROM drained WHERE error_type IS NOT NULL"""
     out["stream_notifications"] = _with(ALERT_LOG) + "SELECT * FROM history"
+    # An alert that was not repeated for six hours is over then, if the data goes on for so long.
+    out["stream_auto_resolved"] = _with(ALERT_LOG) + """,
+timed AS (
+  SELECT *, coalesce(previous = 'FIRING' AND received_at - before <= INTERVAL 6 HOURS, FALSE) AS was_open
+  FROM (SELECT *, lag(status) OVER w AS previous, lag(received_at) OVER w AS before FROM log
+        WINDOW w AS (PARTITION BY fingerprint ORDER BY arrival, position))),
+numbered AS (
+  SELECT *, CAST(sum(CASE WHEN status = 'FIRING' AND NOT was_open THEN 1 ELSE 0 END) OVER (
+      PARTITION BY fingerprint ORDER BY arrival, position ROWS UNBOUNDED PRECEDING) AS BIGINT)
+      AS episode_no
+  FROM timed),
+ended AS (
+  SELECT fingerprint, episode_no,
+    min(received_at) FILTER (WHERE status = 'RESOLVED' AND was_open) AS told,
+    max(received_at) FILTER (WHERE status = 'FIRING') + INTERVAL 6 HOURS AS silent
+  FROM numbered GROUP BY 1, 2),
+last AS (SELECT max(received_at) AS newest FROM log),
+over AS (
+  SELECT *, coalesce(told, CASE WHEN silent <= newest THEN silent END) AS resolved_at FROM ended, last)
+SELECT o.fingerprint, o.episode_no, o.alert_type, o.severity, o.message, o.source,
+  CASE WHEN e.resolved_at IS NULL THEN 'FIRING' ELSE 'RESOLVED' END AS status, o.created_at, e.resolved_at
+FROM numbered o JOIN over e USING (fingerprint, episode_no)
+WHERE o.status = 'FIRING' AND NOT o.was_open"""
 
     # Reports.
     out["recent_readings"] = _with(tagged) + f"""

@@ -21,7 +21,7 @@ from tidemark.policy import EventTimePolicy
 from tidemark.session import scratch_path, stage
 from tidemark.sources import segments, tables
 from tidemark.sources.topics import to_messages
-from tidemark.streaming.alertticks import AlertStream
+from tidemark.streaming.alertstate import AlertEpisodes
 from tidemark.streaming.native import native_daily, with_native_watermark
 from tidemark.streaming.ticks import EventStream
 
@@ -404,15 +404,36 @@ def event_path_dead_letters(spark, sf_dir):
     )
 
 
+def _alert_stream(spark, sf_dir, timeout=None):
+    """All webhook bodies through the alert topic and the keyed state, in three bounded ticks."""
+    stream = AlertEpisodes(scratch_path(spark, "alerts"), timeout)
+    bodies = stage(alertlog.webhook_bodies(spark, sf_dir), "bodies")
+    arriving = spark.readStream.schema(bodies.schema).parquet(bodies.inputFiles()[0].rpartition("/")[0])
+    stream.publish(arriving, scratch_path(spark, "alerts-in")).trigger(availableNow=True).start().awaitTermination()
+    ends = segments.TopicLog(stream.topic).ends()
+    share = -(-max(ends.values(), default=1) // 3)
+    running_query = stream.start(
+        spark, scratch_path(spark, "alerts-state"), max_per_tick=share * max(1, len(ends)), seconds=0)
+    try:
+        running_query.processAllAvailable()
+    finally:
+        running_query.stop()
+    return stream
+
+
 @query
 def stream_notifications(spark, sf_dir):
-    """The notification table after streaming all webhook bodies in two ticks."""
-    stream = AlertStream(scratch_path(spark, "alerts"))
-    bodies = stage(alertlog.webhook_bodies(spark, sf_dir), "bodies")
-    middle = bodies.agg(F.call_function("div", F.max("arrival"), F.lit(2))).scalar()
-    stream.process(bodies.where(F.col("arrival") <= middle), 0)
-    stream.process(bodies.where(F.col("arrival") > middle), 1)
-    return stream.notifications(spark).drop("labels")
+    """The notification table that a stream with keyed state keeps of all webhook bodies."""
+    return _alert_stream(spark, sf_dir).notifications(spark).drop("labels")
+
+
+SILENCE = 6 * 3600
+
+
+@query
+def stream_auto_resolved(spark, sf_dir):
+    """The same stream, where timers close alerts that were not repeated for six hours."""
+    return _alert_stream(spark, sf_dir, SILENCE).notifications(spark).drop("labels")
 
 
 # -- Reports ---------------------------------------------------------------------------
