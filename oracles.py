@@ -788,6 +788,7 @@ SELECT alertname, severity, component, instance, {_at('since')} AS active_at,
   {_at("min(step) FILTER (WHERE state = 'firing')")} AS fired_at,
   {_at('(max(step) + 1)')} AS ended_at
 FROM alerts GROUP BY alertname, severity, component, instance, since"""
+    out["stream_alert_intervals"] = out["alert_intervals"]
     out["rule_history"] = conditions + f""",
 runs AS (
   SELECT alertname, severity, component, instance, since, max(step) + 1 AS ended,

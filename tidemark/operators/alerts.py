@@ -99,13 +99,23 @@ def condition(rule: Rule, holding: DataFrame, series: Sequence[str] = ()) -> Dat
     )
 
 
-def evaluate(conditions: Sequence[DataFrame], rules: Sequence[Rule], grid: Grid) -> DataFrame:
+def evaluate(
+    conditions: Sequence[DataFrame], rules: Sequence[Rule], grid: Grid,
+    carried: DataFrame | None = None, first_step: int | None = None,
+) -> DataFrame:
     """Alert instances of all rules at every step their condition is true.
 
     State is ``pending`` until the condition has held for the rule's time. All
-    rules are followed in one pass, as series of one frame.
+    rules are followed in one pass, as series of one frame. ``carried`` (alertname,
+    instance, since) are runs that were active just before ``first_step``: a run that begins
+    there goes on with theirs.
     """
     held = held_since(union_all(conditions), ["alertname", "instance"], grid)
+    if carried is not None:
+        before = carried.select("alertname", "instance", F.col("since").alias("__since"))
+        held = held.join(before, ["alertname", "instance"], "left").withColumn(
+            "since", F.when(F.col("since") == first_step, F.coalesce("__since", "since")).otherwise(F.col("since"))
+        ).drop("__since")
 
     def of_rule(attribute: str) -> Column:
         pairs = [F.lit(v) for r in rules for v in (r.name, getattr(r, attribute))]
@@ -130,21 +140,35 @@ def firing(alerts: DataFrame) -> DataFrame:
     return alerts.where(F.col("state") == "firing")
 
 
-def intervals(alerts: DataFrame, grid: Grid) -> DataFrame:
-    """One row per run: when it became active, fired (if it did) and ended."""
-    key = ["alertname", "severity", "component", "instance", "since"]
-    runs = alerts.groupBy(*key).agg(
-        F.min(F.when(F.col("state") == "firing", F.col("step"))).alias("__fired"),
-        F.max("step").alias("__last"),
+RUN = ("alertname", "severity", "component", "instance", "since")
+
+
+def runs(alerts: DataFrame) -> DataFrame:
+    """One row per run, in steps: ``since``, ``fired`` (if it did) and the ``last`` one seen.
+
+    Runs of consecutive stretches of steps merge by the least ``fired`` and the greatest ``last``.
+    """
+    return alerts.groupBy(*RUN).agg(
+        F.min(F.when(F.col("state") == "firing", F.col("step"))).alias("fired"),
+        F.max("step").alias("last"),
     )
-    return runs.select(
-        *key[:-1],
+
+
+def run_times(found: DataFrame, grid: Grid) -> DataFrame:
+    """When runs became active, fired and ended."""
+    return found.select(
+        *RUN[:-1],
         grid.time(F.col("since")).alias("active_at"),
-        grid.time(F.col("__fired")).alias("fired_at"),
-        grid.time(F.col("__last") + 1).alias("ended_at"),
+        grid.time(F.col("fired")).alias("fired_at"),
+        grid.time(F.col("last") + 1).alias("ended_at"),
     )
 
 
+def intervals(alerts: DataFrame, grid: Grid) -> DataFrame:
+    """One row per run: when it became active, fired (if it did) and ended."""
+    return run_times(runs(alerts), grid)
+
+
 def messages(runs: DataFrame, until: Column) -> DataFrame:
     """What the runs of :func:`intervals` tell a notification history.
 

@@ -23,6 +23,7 @@ from tidemark.sources import segments, tables
 from tidemark.sources.topics import to_messages
 from tidemark.streaming.alertstate import AlertEpisodes
 from tidemark.streaming.native import native_daily, with_native_watermark
+from tidemark.streaming.ruleticks import RuleStream, sample_message, samples_of
 from tidemark.streaming.ticks import EventStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -725,6 +726,24 @@ def alert_intervals(spark, sf_dir):
     return A.intervals(_alerts(spark, sf_dir), telemetry.GRID)
 
 
+@query
+def stream_alert_intervals(spark, sf_dir):
+    """The same intervals from a streaming query that evaluates the rules tick by tick."""
+    topic = scratch_path(spark, "sample-topic")
+    segments.publish(sample_message(_samples(spark, sf_dir)), topic, 1)
+    rules = RuleStream(
+        scratch_path(spark, "rules"), RULES, telemetry.GRID, LONG, telemetry.SCRAPE_SECONDS, limits=LIMITS)
+    share = -(-segments.TopicLog(topic).ends().get(0, 1) // STREAM_TICKS)
+    read = samples_of(segments.read_stream(spark, topic, "samples", share))
+    running_query = rules.start(read, scratch_path(spark, "rules-checkpoint"), seconds=0).start()
+    try:
+        running_query.processAllAvailable()
+    finally:
+        running_query.stop()
+    rules.flush(spark)
+    return rules.intervals(spark)
+
+
 @query
 def rule_history(spark, sf_dir):
     """The notification history that the evaluated rules themselves lead to."""

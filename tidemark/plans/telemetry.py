@@ -263,15 +263,21 @@ def alert_conditions(
     samples: DataFrame, *, over: int, lookback: int, grid: M.Grid = GRID, job: str = JOB,
     lag_limit: float = A.LAG_LIMIT, latency_limit: float = A.LATENCY_LIMIT,
     share_limit: float = A.DEAD_LETTER_LIMIT, watermark_limit: float = A.WATERMARK_LAG_LIMIT,
+    bounds: DataFrame | None = None,
 ) -> list[DataFrame]:
-    """Steps at which the condition of each built-in rule holds."""
+    """Steps at which the condition of each built-in rule holds.
+
+    ``bounds`` (lo, hi) are the steps at which missing series count; all that the samples span
+    if not given.
+    """
+    bounds = M.step_bounds(samples, grid) if bounds is None else bounds
     evaluated = stage(
         rates(samples, [DEAD_LETTERED, PROCESSED, LATENCY_BUCKET], over, grid), "rule-rates")
     current = stage(
         gauges(samples.where(F.col("labels")["job"] == job),
                [UP, SINK_UP, PARTITION_LAG, WATERMARK_LAG], lookback, grid), "rule-values")
     up = named(current, UP)
-    missing = M.absent(M.spine(M.step_bounds(samples, grid), grid), up)
+    missing = M.absent(M.spine(bounds, grid), up)
     down = up.where(F.col("value") == 0).select("step", "instance", "value").unionByName(
         missing.select("step", F.lit("").alias("instance"), "value")
     )
