@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -49,6 +50,54 @@ def test_law_and_slots(spark, tmp_path, copies):
     assert sum(len(g) > 1 for g in where.values()) <= 2
 
 
+def split_groups(rows, got):
+    text = {r[0]: r[1] for r in rows}
+    where = defaultdict(set)
+    for r in got:
+        where[text[r.doc_id]].add(r.shard)
+    return [t for t, shards in where.items() if len(shards) > 1]
+
+
+def groups_of(sizes, singles=0, offset=0):
+    rows, at = [], offset
+    for g, n in enumerate(sizes):
+        rows += [(at + i, f"group {g} of words", "en", "s", 0) for i in range(n)]
+        at += n
+    return rows + [(at + i, f"single {i}", "en", "s", 0) for i in range(singles)]
+
+
+@pytest.mark.parametrize(
+    ("sizes", "singles"),
+    [
+        ([20] * 400, 0),  # they fill all shards exactly: the best placement cuts none
+        ([20] * 400, 400),
+        ([2] * 1200, 0),
+        ([300] * 8 + [25] * 16, 0),
+        ([random.Random(4).randint(2, 40) for _ in range(300)], 600),
+    ],
+)
+def test_groups_that_fit_stay_whole(spark, sizes, singles):
+    rows = groups_of(sizes, singles)
+    got = sharding.shard_documents(table(spark, rows)).collect()
+    counts = Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    assert split_groups(rows, got) == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fewer_groups_than_shards_are_cut_without_single_documents(spark, seed):
+    """No filler at all: at most 7 groups that are no larger than a shard may be cut, and larger ones must."""
+    rng = random.Random(seed)
+    sizes = [rng.randint(2, 60) for _ in range(200)] + [2500]
+    rows = groups_of(sizes)
+    got = sharding.shard_documents(table(spark, rows)).collect()
+    counts = Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    cut = split_groups(rows, got)
+    assert "group 200 of words" in cut
+    assert len(cut) - 1 <= 7
+
+
 def test_all_rows_equal_and_empty(spark, tmp_path):
     rows = [(i, None, None, None, None) for i in range(50)]
     got = op4_sharding(spark, saved(table(spark, rows), tmp_path)).collect()

@@ -1,31 +1,39 @@
 """Balanced label propagation with DataFrame functions only.
 
-Documents with equal texts are linked. Groups larger than half a shard, of which there
-are at most twice as many as shards, are given whole shards or parts of them; every
-other document starts with a shard by hash, in proportion to the room left. In each
-round the linked ones propose to move to the shard in which most of their group are,
-among shards with room; a shard takes proposals, group by group, up to its capacity. Rounds end when nobody moves. Then every shard keeps as many rows as its
-capacity, linked ones first, and hands the rest to shards that have too few: the
-counts end at most one apart (law `rows`), and unlinked documents pay for it.
-
-Ranks that decide quotas are taken in two levels, over bins and inside them, so no
+Documents with equal texts are linked. Every document starts with a shard by hash. In
+each round the groups of linked documents that have not settled propose to move to the
+shard where most of their documents are, among the shards with room for all of them; a
+shard takes whole groups, in an order of their own, up to its capacity, and these have
+settled. What a shard cannot take proposes again. Groups go by size, in tiers of a
+factor of two, the largest first; a tier's rounds end when all have settled or none
+of the rest fits anywhere. Unlinked documents fill what is left.
+
+A group larger than a shard is cut. Of the others fewer than the number of shards are:
+each of those was larger than any room left when its tier ended, rooms only shrink, and
+together they are no more than all rooms. These few and the cut ones are given the rooms
+left by a plan on the driver. So the counts end at most one apart (law `rows`), and
+where groups fit they stay whole.
+
+Rounds work on one row a group, with the number of its documents by shard. Ranks
+and sums that decide quotas are taken in two levels, over bins and inside them, so no
 task sorts a shard or a group; only bin counts are added up along a shard.
 
-Defined results: a null text counts as the empty text; repeated rows are rows of
-their own; an empty table gives no rows. Which of several equal texts moves follows
-from row numbers given once, when the compact rows are written.
+Defined results: a null text counts as the empty text, however long texts are compared
+by hash and length; repeated rows are rows of their own; other columns are never read;
+an empty table gives no rows. Which group comes first in a quota follows from its hash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
 SHARDS = 8
-ROUNDS = 6
-GROUP_BINS, ROW_BINS = 16, 256
+ROW_BINS = 256
 ROWS_A_BIN = 100_000
 
 
@@ -51,19 +59,44 @@ def _counts(rows: DataFrame) -> dict[int, int]:
     return {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row a shard
 
 
-def _round(linked: DataFrame, room: dict[int, int], row_bins: int) -> DataFrame:
-    """One round of moves; `moved` says who did."""
-    free = [s for s, n in room.items() if n > 0]
-    tally = linked.groupBy("gid", "label").agg(F.count("*").alias("n")).where(F.col("label").isin(free))
-    tie = F.pmod(F.xxhash64("gid", "label"), F.lit(1 << 20))
-    want = stage(tally.groupBy("gid").agg(F.max(F.struct("n", tie.alias("tie"), "label"))["label"].alias("to")), "shard-wishes")
-    asked = linked.drop("moved").join(want, "gid", "left")
-    stay = F.col("to").isNull() | (F.col("to") == F.col("label"))
-    group_bin = F.pmod(F.col("gid"), F.lit(GROUP_BINS)) * row_bins + F.pmod(F.xxhash64("uid"), F.lit(row_bins))
-    ranked = _ranked(asked.where(~stay), "to", group_bin)
-    taken = F.col("rank") <= _choose(F.col("to"), room)
-    decided = ranked.withColumn("label", F.when(taken, F.col("to")).otherwise(F.col("label"))).withColumn("moved", taken)
-    return asked.where(stay).withColumn("moved", F.lit(False)).drop("to").unionByName(decided.drop("to", "rank"))
+def _round(groups: DataFrame, room: dict[int, int], bins: int) -> DataFrame:
+    """Add `to`, where a group (gid, n, held) proposes to move, and `settled`, whether it is taken."""
+    wishes = [
+        F.when(F.col("n") <= room[s], F.struct(
+            F.get("held", F.lit(s)).alias("n"), F.xxhash64("gid", F.lit(s)).alias("tie"), F.lit(s).alias("to")
+        )) for s in room
+    ]
+    asked = groups.withColumn("to", F.array_max(F.array(*wishes))["to"])
+    asked = asked.withColumn("spot", F.xxhash64("gid")).withColumn("bin", F.pmod("spot", F.lit(bins)))
+    sums = asked.groupBy("to", "bin").agg(F.sum("n").alias("sum"))
+    before = Window.partitionBy("to").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("to", "bin", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("before"))
+    upto = F.sum("n").over(Window.partitionBy("to", "bin").orderBy("spot", "gid").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = asked.withColumn("upto", upto).join(sums, ["to", "bin"], "left")
+    taken = F.col("upto") + F.col("before") <= _choose(F.col("to"), room)
+    return ranked.select("gid", "n", "held", "to", F.coalesce(taken, F.lit(False)).alias("settled"))
+
+
+def _settle(groups: DataFrame, room: dict[int, int]) -> tuple[DataFrame | None, list[tuple[int, int]]]:
+    """Label groups (gid, n, held) that fit; `room` is used up. Returns gid and `to`, and the few (gid, n) left over."""
+    tier = F.floor(F.log2("n")).alias("tier")
+    tiers = groups.groupBy(tier).agg(F.count("*").alias("n")).orderBy(F.desc("tier")).collect()  # at most 63 rows
+    parts, left = [], []
+    for t in tiers:
+        waiting = groups.where(F.floor(F.log2("n")) == t.tier)
+        number, least = t.n, 1 << int(t.tier)
+        while number and least <= max(room.values()):
+            bins = max(16, number // ROWS_A_BIN)
+            waiting = stage(_round(waiting, room, bins), "shard-round")
+            taken = waiting.where("settled").groupBy("to").agg(F.sum("n").alias("n")).collect()  # a row a shard
+            for r in taken:
+                room[r.to] -= r.n
+            parts.append(waiting.where("settled").select("gid", "to"))
+            waiting = waiting.where(~F.col("settled")).select("gid", "n", "held")
+            number, least = waiting.agg(F.count("*"), F.coalesce(F.min("n"), F.lit(0))).first()
+        if number:
+            left += [(r.gid, r.n) for r in waiting.select("gid", "n").collect()]  # fewer than shards in all tiers
+    return (reduce(DataFrame.unionByName, parts) if parts else None), left
 
 
 def _place_giants(sizes: list[tuple[int, int]], room: dict[int, int]) -> list[tuple[int, int, int]]:
@@ -109,30 +142,31 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text", k
     row_bin = F.pmod(F.xxhash64("uid"), F.lit(row_bins))
 
     # Written first, as Spark splits a hot key of a join only if both sides come straight from a shuffle.
-    groups = stage(rows.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1"), "shard-groups")
-    largest = groups.where(F.col("n") > total // (2 * shards)).collect()  # at most 2 * shards rows
+    start = F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")
+    tally = rows.groupBy("gid", start.alias("label")).agg(F.count("*").alias("n"))
+    held = [F.coalesce(F.sum(F.when(F.col("label") == s, F.col("n"))), F.lit(0)) for s in range(shards)]
+    groups = stage(tally.groupBy("gid").agg(F.sum("n").alias("n"), F.array(*held).alias("held")).where("n > 1"), "shard-groups")
     room = dict(cap)
-    places = _place_giants([(r.gid, r.n) for r in largest], room)
-    known = rows.join(groups.select("gid", F.lit(True).alias("linked")), "gid", "left").select(
-        "doc_id", "size", "text_crc32", "uid", "gid", F.coalesce("linked", F.lit(False)).alias("linked"),
-        _by_room(room).alias("label"),
+    large = F.col("n") > (max(cap.values()) if cap else 0)
+    places = _place_giants([(r.gid, r.n) for r in groups.where(large).select("gid", "n").collect()], room)  # fewer than shards
+    settled, left = _settle(groups.where(~large), room)
+    places += _place_giants(left, room)
+    label = groups.select("gid", F.lit(None).cast("int").alias("to")).where(F.lit(False)) if settled is None else settled
+    cut = sorted({gid for gid, _, _ in places})
+    label = label.unionByName(groups.where(F.col("gid").isin(cut)).select("gid", F.lit(-1).alias("to")))
+    known = rows.join(stage(label, "shard-settled"), "gid", "left").select(
+        "doc_id", "size", "text_crc32", "uid", "gid", F.col("to").isNotNull().alias("linked"),
+        F.coalesce("to", _by_room(room)).cast("int").alias("label"),
     )
     known = stage(known, "shard-links")
-    giant = F.col("gid").isin([r.gid for r in largest])
-    ranked = _ranked(known.where(giant), "gid", row_bin)
+    ranked = _ranked(known.where("label = -1"), "gid", row_bin)
     label = F.col("label")
     for gid, upto, s in reversed(places):
         label = F.when((F.col("gid") == gid) & (F.col("rank") <= upto), F.lit(s)).otherwise(label)
-    giants = stage(ranked.withColumn("label", label).drop("rank"), "shard-giants")
-
-    linked = known.where(F.col("linked") & ~giant).withColumn("moved", F.lit(True))
-    for _ in range(ROUNDS):
-        held = _counts(linked)
-        linked = stage(_round(linked, {s: room[s] - held.get(s, 0) for s in cap}, row_bins), "shard-labels")
-        if linked.where("moved").limit(1).count() == 0:
-            break
+    giants = ranked.withColumn("label", label).drop("rank")
 
-    every = known.where(~F.col("linked")).unionByName(linked.drop("moved")).unionByName(giants)
+    every = known.where("label >= 0").unionByName(giants)
+    every = stage(every, "shard-labels")
     have = _counts(every)
     ranked = _ranked(every, "label", F.when(F.col("linked"), row_bin).otherwise(row_bin + row_bins))
     # Rows beyond a shard's capacity are numbered through all shards and fill the gaps in order.
