@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 from samples import odd_rows, prose, saved, table
@@ -75,6 +77,46 @@ def test_allow_list_and_prose_add_nothing():
     assert [s["kind"] for s in secrets.spans_of("id Xy7Qp2Rk9Tz4Wm6Nb8Vc1 end")] == ["entropy_mixed"]
 
 
+KEY = "q8ZrT2mVx5LpKc9WbN4hYs7DgJf3RaE6uXo1MiCt"
+
+
+def covered(text):
+    return [text[s["start"] : s["end"]] for s in secrets.spans_of(text)]
+
+
+def test_a_key_is_covered_from_end_to_end():
+    assert covered(f"the key {KEY} here") == [KEY]
+
+
+def test_an_allowed_word_hides_itself_alone():
+    assert covered(f"config/example/keys/{KEY}") == [f"/keys/{KEY}"]
+    assert covered(f"{KEY}xxxx{KEY}") == [KEY, KEY]
+    assert covered("EXAMPLE-KEY-xxxx-1234567") == []
+    assert covered(f"{KEY} example") == [KEY]
+
+
+def test_containment_by_look_up_is_that_of_all_pairs():
+    rng = random.Random(2)
+    for _ in range(200):
+        intervals = [(a, a + rng.randint(1, 30)) for a in (rng.randint(0, 80) for _ in range(rng.randint(0, 12)))]
+        cover = secrets._Cover(intervals)
+        for a in range(0, 90, 3):
+            for b in range(a + 1, a + 25, 4):
+                assert cover.holds(a, b) == any(x <= a and b <= y for x, y in intervals)
+
+
+def test_a_very_long_text_of_many_spans_takes_linear_time():
+    times = []
+    for n in (2_000, 8_000):
+        text = f"token={KEY} and {KEY[::-1]} " * n
+        started = time.perf_counter()
+        spans = secrets.spans_of(text)
+        clean = secrets.masked(text, spans, "[secret]")
+        times.append(time.perf_counter() - started)
+        assert clean == "[secret] and [secret] " * n
+    assert times[1] < 12 * times[0]
+
+
 def test_redaction(spark):
     rows = [(1, "é🙂 token=abcdef1 mid password: \"qwertyu\" end", "en", "s", 5), (2, "clean", "en", "s", 5), (3, None, "en", "s", 5)]
     got = {r.doc_id: r.text for r in secrets.redact(table(spark, rows, clashes=True)).collect()}

@@ -1,21 +1,25 @@
 """Secret scans: named patterns plus sliding-window entropy over candidate strings.
 
-Candidate strings are maximal runs of a character class. A window slides over
-each; its Shannon entropy follows from counts that change by one character in
-and one out per step. Windows at or above the class's limit are merged into
-spans. Runs on the allow-list, and spans inside a pattern's span, add nothing.
+Candidate strings are maximal runs of a character class, cut where a word of the allow-list
+stands; runs that the allow-list knows as a whole are left out. A window slides over
+each candidate; its Shannon entropy follows from counts that change by one character in
+and one out per step. A candidate with a window at or above the class's limit is a span
+from end to end, so nothing of a secret is left beside it. Spans inside a span found
+before add nothing. All work on a text is linear in its length, apart from sorting spans.
 
 Defined results: a null text counts as empty and has no span; repeated rows are
 scanned each on their own; every input column comes back unchanged in `doc`, so
-extra columns of any name are safe; an empty table gives an empty table.
+extra columns of any name are safe; very long texts are scanned whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +61,12 @@ CLASSES = (
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
 LEAST_RUN = min(c.window for c in CLASSES)
 
-# Well-known strings that look random and are no secrets.
-ALLOWED = re.compile(
-    r"(?i)example|changeme|placeholder|xxxx|0000000|1234567|deadbeef|abcdefg"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-    r"|^d41d8cd98f00b204e9800998ecf8427e$|^da39a3ee5e6b4b0d3255bfef95601890afd80709$"
-    r"|^e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855$"
+# Words of placeholders, and whole strings that look random and are no secrets.
+ALLOWED_WORDS = re.compile(r"(?i)example|changeme|placeholder|xxxx|0000000|1234567|deadbeef|abcdefg")
+ALLOWED_RUNS = re.compile(
+    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+    r"|d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
+    r"|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 )
 
 _PLOGP = [0.0, *(c * math.log2(c) for c in range(1, 65))]
@@ -114,20 +118,40 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def candidates(text: str, kind: CharClass) -> Iterator[tuple[int, int]]:
+    """Runs of the class, without allowed ones and cut at allowed words; long enough for a window."""
+    for m in kind.runs.finditer(text):
+        if ALLOWED_RUNS.fullmatch(m[0]):
+            continue
+        at = m.start()
+        for word in ALLOWED_WORDS.finditer(m[0]):
+            yield at, m.start() + word.start()
+            at = m.start() + word.end()
+        yield at, m.end()
+
+
+class _Cover:
+    """Whether an interval lies inside one of many others, by look-up."""
+
+    def __init__(self, intervals: list[tuple[int, int]]):
+        intervals = sorted(intervals)
+        self.starts = [a for a, _ in intervals]
+        self.ends = list(accumulate((b for _, b in intervals), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        i = bisect_right(self.starts, start)
+        return i > 0 and self.ends[i - 1] >= end
+
+
 def spans_of(text: str) -> list[dict]:
     """All spans of one text, by start and then by the order of KINDS."""
     found = pattern_spans(text)
-    base = list(found)
-    taken = sorted((a, b) for a, _, b in base)
     for number, kind in enumerate(CLASSES, len(BASE_KINDS)):
-        for m in kind.runs.finditer(text):
-            if ALLOWED.search(m[0]):
-                continue
-            for a, b in entropy_spans(m[0], kind):
-                a, b = a + m.start(), b + m.start()
-                if not any(x <= a and b <= y for x, y in taken):
-                    found.append((a, number, b))
-                    taken.append((a, b))
+        cover = _Cover([(a, b) for a, _, b in found])
+        found += [
+            (a, number, b) for a, b in candidates(text, kind)
+            if b - a >= kind.window and not cover.holds(a, b) and entropy_spans(text[a:b], kind)
+        ]
     return [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(found)]
 
 
@@ -175,23 +199,30 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(scan, schema)
 
 
+def masked(text: str, spans: list[dict], mask: str) -> str:
+    """The text with every span replaced; overlapping ones, which come by start, count once."""
+    parts, at = [], 0
+    for span in spans:
+        if span["start"] >= at:
+            parts += [text[at : span["start"]], mask]
+        at = max(at, span["end"])
+    return "".join([*parts, text[at:]])
+
+
 def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
     """The rows of `docs` with every span of their text replaced by `mask`; overlaps count once."""
-    found = find_secrets(docs, text)
-    name = f"`{text}`"
-    whole = F.col(f"doc.{name}")
-    # Spans come by start; a fold keeps the text so far and where the last span ended.
-    cut = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.struct(
-            F.when(s["start"] >= acc["at"], F.concat(
-                acc["out"], F.substr(whole, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mask)
-            )).otherwise(acc["out"]).alias("out"),
-            F.greatest(s["end"], acc["at"]).alias("at"),
-        ),
-    )
-    clean = F.when(F.size("spans") == 0, whole).otherwise(
-        F.concat(cut["out"], F.substr(whole, (cut["at"] + 1).cast("int")))
-    )
-    return found.select(*[(clean if c == text else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    place = docs.columns.index(text)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, place):
+                column = part.column(place)
+                clean = column.to_pylist()
+                for i in _flagged(column).tolist():
+                    if clean[i] is not None:
+                        clean[i] = masked(clean[i], spans_of(clean[i]), mask)
+                columns = [*part.columns]
+                columns[place] = pa.array(clean, type=column.type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(scan, docs.schema)
