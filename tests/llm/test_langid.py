@@ -51,6 +51,57 @@ def test_other_scripts_are_rejected(spark):
     assert got[1].rejected and got[2].rejected and not got[3].rejected and got[3].lang_pred == "aa"
 
 
+DUTCH = "de kat zat op de mat en keek naar de vogels die in de boom hun nest hadden gebouwd terwijl het buiten langzaam begon te regenen"
+
+
+def test_unlearned_languages_and_random_letters_are_rejected_at_any_length(spark):
+    """Learnt from the sample table, whose own documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out()).select("text", "lang"))
+    rng = random.Random(1)
+    rows = []
+    for n in (200, 575, 2622, 11_058, 40_000):
+        rows.append((n, " ".join(rng.choices(DUTCH.split(), k=n // 5)), None, None, None))
+        if n > 600:
+            rows.append((n + 1, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=n)), None, None, None))
+    got = langid.predict(table(spark, rows), model).collect()
+    assert [r.doc.doc_id for r in got if not r.rejected] == []
+    held = langid.predict(docs.where(langid.held_out()), model).selectExpr(
+        "avg(CAST(rejected AS INT))", "avg(CAST(lang_pred = doc.lang AS INT))").first()
+    assert held[0] < 0.004
+    assert held[1] > 0.99
+
+
+def test_limits_do_not_grow_towards_shorter_texts(spark):
+    model = langid.fit(table(spark, corpus()))
+    assert (np.diff(model.floor, axis=1) >= -1e-12).all()
+    assert (model.floor > 0).all()
+
+
+def test_nearest_centroid_computed_plainly(spark):
+    """Counts, weights, cosine and the choice of the nearest centroid, one text and gram at a time."""
+    import math
+
+    model = langid.fit(table(spark, corpus()))
+    texts = [r[1] for r in corpus()[:25]] + ["Ka ri, MO!  tune\nso 12 Ü", "keit"]
+    got = {r.doc.doc_id: r for r in langid.predict(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), model).collect()}
+    for i, t in enumerate(texts):
+        data = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in t.encode())
+        while b"  " in data:
+            data = data.replace(b"  ", b" ")
+        counts: dict[int, int] = {}
+        for k in (1, 2, 3):
+            for a in range(len(data) - k + 1):
+                gram = np.array([int.from_bytes(data[a : a + k], "big") + (k << 32)], dtype=np.uint64)
+                slot = int(langid.mix(gram)[0] % np.uint64(langid.SIZE))
+                counts[slot] = counts.get(slot, 0) + 1
+        vector = {s: math.log1p(n) * model.idf[s] for s, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosine = [sum(v / norm * float(c[s]) for s, v in vector.items()) for c in model.centroids]
+        assert abs(max(cosine) - got[i].score) < 1e-4
+        assert got[i].lang_pred == model.languages[model.owner[int(np.argmax(cosine))]]
+
+
 def test_without_training_rows_all_is_undetermined(spark):
     model = langid.fit(table(spark, []))
     got = langid.predict(table(spark, corpus(6)), model).collect()

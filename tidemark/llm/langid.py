@@ -2,8 +2,14 @@
 
 A text becomes a vector of hashed byte 1-, 2- and 3-gram counts, damped, weighted by
 inverse document frequency and normalised. Each language has a few centroids, found
-by spherical k-means; a text takes the language of the most similar one. Texts less
-similar than nearly all training texts of their length are rejected.
+by spherical k-means; a text takes the language of the most similar one.
+
+Texts much less similar than nearly all training texts of their language and length are
+rejected. All training rows are compared with the centroids once; of each language
+and power of two of the length, the similarity that `LOW` of them stay below, less a
+margin, is the limit. A shorter text is never held to a stricter limit than a longer one;
+lengths with fewer than `LEAST_ROWS` training texts take the limit of the next longer one,
+eased, and those longer than all such lengths that of the longest.
 
 Document frequencies are counted over all training rows. Centroids are fitted on at
 most `SAMPLE_PER_LANGUAGE` rows a language (fewer with many languages, `SAMPLE_ROWS`
@@ -11,7 +17,8 @@ in all), chosen by a hash of the text, so what the driver holds is bounded. Dist
 texts are counted before, so copies neither flood a language's sample nor empty it.
 
 Defined results: a null text, or one without a letter, is `und` with score 0 and
-rejected; repeated rows get the same answer; without training rows all is `und`.
+rejected; repeated rows get the same answer; without training rows all is `und`; very
+long texts are read whole; an empty table gives no rows.
 Languages that tie take the first by name.
 """
 
@@ -19,7 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +42,12 @@ ROUNDS = 12
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_ROWS = 6000
 SPOT_BITS = 40
-#: A text is rejected below this share of the least similarity seen in training at its length.
-SLACK = 0.25
+#: A text is rejected below this share of the similarity that so small a part of the training texts stays below.
+SLACK = 0.6
+LOW = 0.005
+LEAST_ROWS = 20
+EASED = 0.85  # how much less similar texts of half the length may be
+_SCALE = 1000  # similarities are counted in steps of a thousandth
 LENGTH_BINS = 24
 UNDETERMINED = "und"
 
@@ -47,7 +58,7 @@ class Model:
     owner: np.ndarray  # language of each centroid
     idf: np.ndarray
     centroids: np.ndarray  # rows of length 1
-    floor: np.ndarray  # least similarity by language and length bin
+    floor: np.ndarray  # least similarity that is not rejected, by language and length bin
 
 
 _LETTERS = LOWER.copy()
@@ -157,7 +168,7 @@ def fit(train: DataFrame) -> Model:
     sample: dict[str, list] = {lang: [] for lang in languages}
     for r in counted.collect():  # about 2 * SAMPLE_ROWS at most
         sample[r.lang].append((r.spot, r.n, np.frombuffer(r.feature, np.int16), np.frombuffer(r.times, np.float32)))
-    owner, centroids, sims, bins = [], [], [], []
+    owner, centroids = [], []
     for number, lang in enumerate(languages):
         kept = sorted(sample[lang], key=lambda v: v[0])[:take]
         counts = np.zeros((len(kept), SIZE))
@@ -167,16 +178,37 @@ def fit(train: DataFrame) -> Model:
         centres = _clusters(x, CENTROIDS)
         centroids.append(centres)
         owner += [number] * len(centres)
-        sims.append((x @ centres.T).max(axis=1))
-        bins.append(length_bin(np.array([n for _, n, _, _ in kept])))
-    floor = np.zeros((len(languages), LENGTH_BINS))
-    for number, (sim, where) in enumerate(zip(sims, bins, strict=True)):
-        least = np.full(LENGTH_BINS, np.inf)
-        np.minimum.at(least, where, sim)
-        # Bins no training text is in: as strict as the shortest bin that has texts, and never stricter.
-        first = least[np.isfinite(least)].min()
-        floor[number] = np.minimum.accumulate(np.where(np.isfinite(least), least, first)[::-1])[::-1]
-    return Model(languages, np.array(owner), idf, np.concatenate(centroids).astype(np.float32), floor * SLACK)
+    model = Model(
+        languages, np.array(owner), idf, np.concatenate(centroids).astype(np.float32), np.zeros((len(languages), LENGTH_BINS))
+    )
+    return replace(model, floor=_floors(train, model))
+
+
+def _floors(train: DataFrame, model: Model) -> np.ndarray:
+    """Limits of rejection by language and length bin, from the similarities of all training rows."""
+    bin_ = F.least(F.length(F.bin(F.octet_length("doc.text"))) - 1, F.lit(LENGTH_BINS - 1)).alias("bin")
+    step = F.floor(F.col("score") * _SCALE).cast("int").alias("step")
+    counted = predict(train, model).groupBy("lang_pred", bin_, step).count().collect()  # at most languages x bins x steps
+    seen = np.zeros((len(model.languages), LENGTH_BINS, _SCALE + 1), np.int64)
+    number = {lang: i for i, lang in enumerate(model.languages)}
+    for r in counted:
+        seen[number[r.lang_pred], r.bin, r.step] = r["count"]
+    upto, total = np.cumsum(seen, axis=2), seen.sum(axis=2)
+    low = (upto > np.floor(total * LOW)[:, :, None]).argmax(axis=2) / _SCALE * SLACK
+    floors = np.zeros((len(model.languages), LENGTH_BINS))
+    for i in range(len(floors)):
+        known = np.flatnonzero(total[i] >= LEAST_ROWS)
+        if not len(known):  # too few rows at every length: the least similarity of all
+            floors[i] = low[i, total[i] > 0].min(initial=1.0) if total[i].any() else 0.0
+            continue
+        limit = np.inf
+        for b in range(LENGTH_BINS - 1, -1, -1):
+            if b > known[-1]:
+                floors[i, b] = low[i, known[-1]]
+                continue
+            limit = min(limit, low[i, b]) if total[i, b] >= LEAST_ROWS else limit * EASED
+            floors[i, b] = limit
+    return floors
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
