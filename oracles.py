@@ -444,6 +444,32 @@ FROM all_readings"""
     out["contract_outcomes"] = _with(MESSAGES) + """
 SELECT seq AS "offset", error_type IS NULL AS is_valid, error_type, error_message FROM validated"""
 
+    out["device_contract"] = """
+WITH cases AS (
+  SELECT *, event_id % 16 AS c,
+    event_type IN ('view', 'click', 'purchase') AS known FROM events),
+found AS (
+  SELECT *, nullif(concat_ws('; ',
+    CASE c WHEN 6 THEN 'event: ''reading'' is a required property' END,
+    CASE WHEN NOT known THEN 'kind: ''' || event_type || ''' is not one of [''view'', ''click'', ''purchase'']' END,
+    CASE c WHEN 5 THEN 'reading: [70] is not of type ''object'''
+      WHEN 8 THEN 'reading: None is not of type ''object'''
+      WHEN 1 THEN 'reading: ''unit'' is a required property'
+      WHEN 2 THEN 'reading: Additional properties are not allowed (''extra'' was unexpected)'
+      WHEN 4 THEN 'reading.unit: ''kg'' is not one of [''bpm'', ''ms'']'
+      WHEN 3 THEN 'reading.value: ''70'' is not of type ''number'''
+      WHEN 7 THEN 'reading.value: -3 is less than the minimum of 0' END,
+    CASE c WHEN 10 THEN 'trusted: ''yes'' is not of type ''boolean''' END,
+    CASE c WHEN 9 THEN 'user: True is not of type ''integer''' END), '') AS error_message
+  FROM cases)
+SELECT event_id AS "offset", error_message IS NULL AS is_valid, error_message,
+  CASE WHEN error_message IS NULL THEN event_type END AS kind,
+  CASE WHEN error_message IS NULL THEN CAST(user_id AS INTEGER) END AS "user",
+  CASE WHEN error_message IS NULL AND c = 11 THEN FALSE END AS trusted,
+  CASE WHEN error_message IS NULL THEN CAST(event_id % 300 AS DOUBLE) END AS reading_value,
+  CASE WHEN error_message IS NULL THEN 'bpm' END AS reading_unit
+FROM found"""
+
     out["valid_readings"] = _with(MESSAGES) + """
 SELECT event_id, customer_id, heart_rate, event_time,
   CASE WHEN heart_rate BETWEEN 60 AND 100 THEN 'NORMAL' ELSE 'ABNORMAL' END AS status,

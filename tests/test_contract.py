@@ -175,3 +175,45 @@ def test_uuid_forms(spark):
     rows = spark.createDataFrame([(v,) for v in good + bad], "u string")
     got = [r[0] for r in rows.select(text.canonical_uuid(F.col("u"))).collect()]
     assert got == [plain] * len(good) + [None] * len(bad)
+
+
+NESTED = {
+    "type": "object", "required": ["kind"], "additionalProperties": False,
+    "properties": {
+        "kind": {"type": "string", "enum": ["a", "b", 3, True]},
+        "inner": {"type": "object", "required": ["n"], "additionalProperties": False,
+                  "properties": {"n": {"type": "number", "maximum": 5}, "deep": {
+                      "type": "object", "properties": {"flag": {"type": "boolean"}}}}},
+    },
+}
+
+
+@pytest.mark.parametrize(("body", "message"), [
+    ('{"kind":"a"}', None),
+    ('{"kind":"b","inner":{"n":4.5,"deep":{"flag":true,"more":1}}}', None),
+    ('{"kind":3}', "kind: 3 is not of type 'string'"),
+    ('{"kind":"c"}', "kind: 'c' is not one of ['a', 'b', 3, True]"),
+    ('{"inner":{"n":1}}', "event: 'kind' is a required property"),
+    ('{"kind":"a","inner":{}}', "inner: 'n' is a required property"),
+    ('{"kind":"a","inner":{"n":6,"x":1,"y":2}}',
+     "inner: Additional properties are not allowed ('x', 'y' were unexpected); inner.n: 6 is greater than the maximum of 5"),
+    ('{"kind":"a","inner":{"n":1,"deep":{"flag":0}}}', "inner.deep.flag: 0 is not of type 'boolean'"),
+    ('{"kind":"a","inner":{"n":1,"deep":7}}', "inner.deep: 7 is not of type 'object'"),
+    ('{"kind":"a","inner":null}', "inner: None is not of type 'object'"),
+])
+def test_a_schema_document_states_the_contract(spark, body, message):
+    rows = spark.createDataFrame([(body.encode(),)], "value binary")
+    got = contract.validate(contract.decode(rows), contract.from_schema(NESTED)).first()
+    assert (got.error_message, got.is_valid) == (message, message is None)
+    if message is None and "4.5" in body:
+        assert (got.kind, got.inner_n, got.inner_deep_flag) == ("b", 4.5, True)
+
+
+def test_documents_that_would_go_unchecked_are_refused():
+    for document in (
+        {"type": "object", "properties": {"a": {"type": "string", "pattern": "x"}}},
+        {"type": "object", "required": ["b"], "properties": {"a": {"type": "string"}}},
+        {"type": "string"},
+    ):
+        with pytest.raises(ValueError):
+            contract.from_schema(document)

@@ -96,6 +96,15 @@ def contract_outcomes(spark, sf_dir):
     )
 
 
+@query
+def device_contract(spark, sf_dir):
+    """Outcomes under a second schema document, with choices and an inner object."""
+    device = contract.from_schema(readings.DEVICE_SCHEMA)
+    checked = contract.validate(contract.decode(readings.device_reports(spark, sf_dir)), device)
+    return checked.select(
+        "offset", "is_valid", "error_message", "kind", "user", "trusted", "reading_value", "reading_unit")
+
+
 @query
 def valid_readings(spark, sf_dir):
     """Typed, canonical readings of the messages that pass the contract."""

@@ -195,3 +195,50 @@ def delivered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.validate(contract.decode(contract.skip_blank(messages(spark, sf_dir))))
+
+
+# A second contract, with choices and an object inside: a device's report.
+DEVICE_SCHEMA = {
+    "type": "object",
+    "additionalProperties": False,
+    "required": ["kind", "user", "reading"],
+    "properties": {
+        "kind": {"type": "string", "enum": ["view", "click", "purchase"]},
+        "user": {"type": "integer", "minimum": 0},
+        "trusted": {"type": "boolean"},
+        "reading": {
+            "type": "object",
+            "additionalProperties": False,
+            "required": ["value", "unit"],
+            "properties": {
+                "value": {"type": "number", "minimum": 0, "maximum": 400},
+                "unit": {"type": "string", "enum": ["bpm", "ms"]},
+            },
+        },
+    },
+}
+
+
+def device_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row as a device's report; some break one rule of the contract, at either depth."""
+    number = F.col("event_id")
+    case = number % 16
+    reading = (
+        F.when(case == 1, F.lit('"reading":{"value":70}'))
+        .when(case == 2, F.lit('"reading":{"value":70,"unit":"bpm","extra":1}'))
+        .when(case == 3, F.lit('"reading":{"value":"70","unit":"bpm"}'))
+        .when(case == 4, F.lit('"reading":{"value":70.5,"unit":"kg"}'))
+        .when(case == 5, F.lit('"reading":[70]'))
+        .when(case == 6, F.lit(None))
+        .when(case == 7, F.lit('"reading":{"value":-3,"unit":"ms"}'))
+        .when(case == 8, F.lit('"reading":null'))
+        .otherwise(F.concat(F.lit('"reading":{"value":'), (number % 300).cast("string"), F.lit(',"unit":"bpm"}')))
+    )
+    body = F.concat(F.lit("{"), F.concat_ws(
+        ",",
+        F.concat(F.lit('"kind":"'), "event_type", F.lit('"')),
+        F.concat(F.lit('"user":'), F.when(case == 9, F.lit("true")).otherwise(F.col("user_id").cast("string"))),
+        F.when(case == 10, F.lit('"trusted":"yes"')).when(case == 11, F.lit('"trusted":false')),
+        reading,
+    ), F.lit("}"))
+    return events(spark, sf_dir).select(number.alias("offset"), body.cast("binary").alias("value"))
