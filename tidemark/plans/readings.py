@@ -8,6 +8,8 @@ payloads that break the contract.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from tidemark.operators.enrich import with_status
 from tidemark.operators.eventtime import observe, tick_ledger
 from tidemark.operators.once import computed_once
 from tidemark.policy import EventTimePolicy
-from tidemark.session import ensure_utc, stage
+from tidemark.session import ensure_utc, scratch_path, stage
+from tidemark.sources.stored import StoredTable
 
 SOURCE_PARTITIONS = 3
 TICK_DELIVERIES = 500
@@ -110,6 +113,31 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("ingestion_time", F.col("sent_at"))
 
 
+_stored: dict[tuple[str, str, str], StoredTable] = {}
+
+
+def stored_once(
+    spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], *layout
+) -> StoredTable:
+    """A table derived from ``sf_dir``, written the first time a session asks for it.
+
+    ``layout`` is the table's time column, date column and key.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _stored:
+        derived = rows()
+        table = StoredTable(scratch_path(spark, name), derived.schema, *layout)
+        table.write(derived)
+        _stored[place] = table
+    return _stored[place]
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> StoredTable:
+    """The raw event table as stored: the reports scan it."""
+    return stored_once(
+        spark, sf_dir, "raw-table", lambda: raw_events(spark, sf_dir), "event_time", "event_date", ("customer_id",))
+
+
 FAULTS = 40
 
 
