@@ -598,6 +598,21 @@ deliveries AS (SELECT * FROM drained)""")
     everything = KINDS + OUTCOMES + posted_cte("validated")
     composed = tagged_cte(deliveries=everything + """,
 deliveries AS (SELECT * FROM drained WHERE error_type IS NULL)""")
+    # The engine drops rows of windows that the watermark of two ticks before has passed.
+    out["stream_native_daily"] = _with(READINGS + posted_cte("readings")) + """,
+tops AS (SELECT tick, max(event_time) AS top FROM drained GROUP BY 1),
+marks AS (
+  SELECT tick, max(top) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+    - INTERVAL 3900 SECONDS AS mark FROM tops),
+placed AS (
+  SELECT d.*, mark, date_trunc('day', event_time)::TIMESTAMP AS window_start,
+    date_trunc('day', event_time)::TIMESTAMP + INTERVAL 1 DAY AS window_end
+  FROM drained d JOIN marks USING (tick))
+SELECT customer_id, window_start, window_end, count(*) AS event_count,
+  CAST(sum(heart_rate) AS BIGINT) AS heart_rate_sum, min(heart_rate) AS minimum_heart_rate,
+  max(heart_rate) AS maximum_heart_rate, count(*) FILTER (WHERE heart_rate NOT BETWEEN 60 AND 100) AS abnormal_count,
+  round(sum(heart_rate) / count(*), 9) AS average_heart_rate
+FROM placed WHERE mark IS NULL OR window_end > mark GROUP BY 1, 2, 3"""
     out["stream_daily"] = _with(streamed) + """
 SELECT customer_id, window_start, window_end, event_count, heart_rate_sum, average_heart_rate,
   minimum_heart_rate, maximum_heart_rate, abnormal_count, is_finalized FROM daily"""

@@ -23,8 +23,9 @@ from tidemark.sources import segments, tables
 from tidemark.sources.stored import StoredTable
 from tidemark.sources.topics import to_messages
 from tidemark.streaming.alertstate import AlertEpisodes
-from tidemark.streaming.native import native_daily, with_native_watermark
+from tidemark.streaming.native import keep_daily, kept_daily, native_daily, with_native_watermark
 from tidemark.streaming.ruleticks import RuleStream, sample_message, samples_of
+from tidemark.streaming.tables import TickTable
 from tidemark.streaming.ticks import EventStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,6 +364,25 @@ def _run_stream(spark, messages):
     return stream
 
 
+@query
+def stream_native_daily(spark, sf_dir):
+    """Daily windows of a streaming aggregation under the engine's own watermark, late rows dropped."""
+    topic = scratch_path(spark, "native-topic")
+    segments.publish(_stream_messages(spark, sf_dir), topic, readings.SOURCE_PARTITIONS)
+    ends = segments.TopicLog(topic).ends()
+    share = -(-max(ends.values(), default=1) // STREAM_TICKS)
+    messages = segments.read_stream(spark, topic, readings.TOPIC, share * max(1, len(ends)))
+    valid, _ = contract.split(contract.validate(contract.decode(messages)))
+    windows = native_daily(with_native_watermark(contract.to_readings(valid)))
+    table = TickTable(scratch_path(spark, "native-daily"), windows.schema)
+    running_query = keep_daily(windows, table, scratch_path(spark, "native-checkpoint")).start()
+    try:
+        running_query.processAllAvailable()
+    finally:
+        running_query.stop()
+    return kept_daily(spark, table)
+
+
 @query
 def stream_daily(spark, sf_dir):
     """The daily table after running all deliveries through the streaming tick."""

@@ -188,22 +188,26 @@ def throughput_summary(
     counters = at(rates(visible, [PROCESSED, FAILED, ABNORMAL, LATE], short, grid))
     buckets = at(rates(visible, [LATENCY_BUCKET], long, grid))
     current = at(gauges(visible, [WATERMARK_LAG, WINDOWS_OPEN, UP], lookback, grid))
-    healthy = current.where(F.col("value") == 1)
-    frames = {
-        "processed/sec": total(counters, PROCESSED),
-        "failed/sec": total(counters, FAILED),
-        "abnormal/sec": total(counters, ABNORMAL),
-        "late/sec": total(counters, LATE),
-        "watermark lag (s)": total(current, WATERMARK_LAG, "max"),
-        "windows open": total(current, WINDOWS_OPEN),
-        "consumer instances": total(healthy, UP, "count"),
-    }
+    # Each evaluation is aggregated once, by metric; the labels and functions follow from its name.
+    per_second = {PROCESSED: "processed/sec", FAILED: "failed/sec", ABNORMAL: "abnormal/sec", LATE: "late/sec"}
+    now = {WATERMARK_LAG: "watermark lag (s)", WINDOWS_OPEN: "windows open", UP: "consumer instances"}
+
+    def labelled(values: DataFrame, labels: dict[str, str], value: Column) -> DataFrame:
+        names = F.create_map(*[F.lit(part) for pair in labels.items() for part in pair])
+        found = values.groupBy("name").agg(value.cast("double").alias("value")).where("value IS NOT NULL")
+        return found.select(names[F.col("name")].alias("name"), "value")
+
+    healthy = F.count_if(F.col("value") == 1)
+    current_value = (
+        F.when(F.first("name") == WATERMARK_LAG, F.max("value"))
+        .when(F.first("name") == WINDOWS_OPEN, F.sum("value"))
+        .otherwise(F.when(healthy > 0, healthy))
+    )
     percent = F.round(F.col("q") * 100).cast("int").cast("string")
     latency = M.quantiles(bucket_rates(buckets), (0.50, 0.95, 0.99)).select(
         F.concat(F.lit("p"), percent, F.lit(" latency (s)")).alias("name"), "value")
-    return A.union_all([latency, *[
-        frame.select(F.lit(name).alias("name"), "value") for name, frame in frames.items()
-    ]])
+    return A.union_all([
+        latency, labelled(counters, per_second, F.sum("value")), labelled(current, now, current_value)])
 
 
 def panels(
@@ -244,10 +248,9 @@ def panels(
         "Messages per second": feed("Messages per second", {
             "processed/sec": total(recent, PROCESSED), "failed/sec": total(recent, FAILED),
         }),
-        "Processing latency": feed("Processing latency", {
-            name: latency_quantile(slow, q)
-            for name, q in (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))
-        }),
+        "Processing latency": M.quantiles(bucket_rates(slow), (0.50, 0.95, 0.99), by=["step", "eval_ts"]).select(
+            F.lit("Processing latency").alias("panel"),
+            F.concat(F.lit("p"), F.round(F.col("q") * 100).cast("int").cast("string")).alias("legend"), "eval_ts", "value"),
         "Watermark lag": labelled(
             "Watermark lag", named(current, WATERMARK_LAG), "lag ", "instance"),
         "Late events by aggregate outcome": labelled(

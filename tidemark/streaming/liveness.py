@@ -65,9 +65,39 @@ def beat(
     pulses(stream).write(rows.coalesce(1), micros)
 
 
+def beaten(stream: EventStream) -> TickTable:
+    """Beats of whole days, one folder a day, named by its first microsecond."""
+    return TickTable(f"{stream.root}/pulse_days", schemas.METRIC_SAMPLE)
+
+
+DAY_MICROS = 86_400 * 1_000_000
+
+
+def compact_beats(spark: SparkSession, stream: EventStream, before: dt.datetime) -> None:
+    """Rewrite the beats of days that ended by ``before`` as one folder a day.
+
+    Readers take a day from there as soon as its folder exists; the beats' own folders
+    are then no longer read and may be removed by whoever owns retention. Safe to repeat.
+    """
+    until = int(before.timestamp()) * 1_000_000 // DAY_MICROS * DAY_MICROS
+    day = F.call_function("div", F.col("tick"), F.lit(DAY_MICROS).cast("bigint")) * DAY_MICROS
+    old = pulses(stream).read(spark).where(F.col("tick") < until).withColumn("day", day)
+    done = beaten(stream).read(spark).select(F.col("tick").alias("day")).distinct()
+    days = [r.day for r in old.select("day").distinct().join(done, "day", "left_anti").collect()]  # a row a day
+    for first in days:
+        one = old.where(F.col("day") == first).select(*schemas.METRIC_SAMPLE.names)
+        beaten(stream).write(one.coalesce(1), first)
+
+
 def samples(spark: SparkSession, stream: EventStream) -> DataFrame:
     """Samples of ticks and beats together."""
-    return stream.samples.read(spark).drop("tick").unionByName(pulses(stream).read(spark).drop("tick"))
+    names = schemas.METRIC_SAMPLE.names
+    whole = beaten(stream).read(spark)
+    day = F.call_function("div", F.col("tick"), F.lit(DAY_MICROS).cast("bigint")) * DAY_MICROS
+    single = pulses(stream).read(spark).withColumn("day", day).join(
+        whole.select(F.col("tick").alias("day")).distinct(), "day", "left_anti")
+    return stream.samples.read(spark).select(*names).unionByName(
+        whole.select(*names)).unionByName(single.select(*names))
 
 
 class Pulse(StreamingQueryListener):
@@ -86,4 +116,6 @@ class Pulse(StreamingQueryListener):
         beat(self.spark, self.stream, dt.datetime.now(dt.UTC))
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+        """The forced flush: windows that time has closed are finalized, and a last beat is written."""
+        self.stream.flush(self.spark)
+        beat(self.spark, self.stream, dt.datetime.now(dt.UTC))

@@ -6,11 +6,14 @@ operator can see them again, even when they would open a window nobody has seen.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.operators import daily
 from tidemark.policy import EventTimePolicy
+from tidemark.sources.tables import latest
+from tidemark.streaming.tables import TickTable
 
 
 def with_native_watermark(
@@ -35,3 +38,17 @@ def native_daily(marked: DataFrame, policy: EventTimePolicy = EventTimePolicy())
         F.col("window.end").alias("window_end"), *daily.MEASURES,
         daily.average().alias("average_heart_rate"),
     )
+
+
+def keep_daily(windows: DataFrame, table: TickTable, checkpoint: str) -> DataStreamWriter:
+    """A writer that stores, tick by tick, the windows of :func:`native_daily` that changed."""
+
+    def write(changed: DataFrame, tick: int) -> None:
+        table.write(changed, tick)
+
+    return windows.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+
+
+def kept_daily(spark: SparkSession, table: TickTable) -> DataFrame:
+    """The newest state of every stored window."""
+    return latest(table.read(spark), ["customer_id", "window_start"]).drop("tick")

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,8 @@ from tidemark.policy import FLUSH_INTERVAL_SECONDS, EventTimePolicy
 from tidemark.sources.tables import latest
 from tidemark.streaming.tables import IdTable, TickTable
 
+#: Outputs of a tick that are written at the same time.
+WRITERS = 4
 ORDER = ("src_slice", "src_topic", "src_partition", "src_offset")
 
 # Running totals kept in the ledger, by metric name and label.
@@ -128,7 +132,11 @@ class EventStream:
     # -- One tick --------------------------------------------------------------
 
     def process(self, batch: DataFrame, tick: int) -> None:
-        """Handle one micro-batch of topic messages; safe to repeat."""
+        """Handle one micro-batch of topic messages; safe to repeat.
+
+        Outputs that do not depend on each other are written at the same time; the ledger row
+        comes after all of them.
+        """
         spark = batch.sparkSession
         began = self._began(spark, tick)
         now = F.timestamp_micros(F.lit(began))
@@ -140,20 +148,31 @@ class EventStream:
             "validated",
         )
         valid, invalid = contracts.split(validated)
-        self.dead_letters.write(enrich.dead_letters(invalid, now), tick)
-        tagged = self._settle(
-            self._tag(spark, contracts.to_readings(valid, self.contract), tick, before, now),
-            "tagged",
-        )
-        self._write_raw(tagged, tick)
-        totals = {**self._message_totals(validated, now), **self._row_totals(tagged)}
-        seen = [t for t in (before, totals.pop("newest")) if t is not None]
-        newest = max(seen) if seen else None
-        changes = self._settle(
-            self._changes(spark, tagged, tick, before, newest, now), "changes"
-        )
-        self._write_states(changes, tick)
-        totals |= self._window_totals(changes)
+        with ThreadPoolExecutor(WRITERS) as pool:
+            def aside(work: Callable, *args) -> Future:
+                return pool.submit(inheritable_thread_target(spark)(work), *args)
+
+            beside = [aside(self.dead_letters.write, enrich.dead_letters(invalid, now), tick)]
+            messages = aside(self._message_totals, validated, now)
+            tagged = self._settle(
+                self._tag(spark, contracts.to_readings(valid, self.contract), tick, before, now),
+                "tagged",
+            )
+            fresh = tagged.where("is_new").select(*schemas.RAW.names)
+            beside += [
+                aside(self.raw.write, fresh.withColumn("event_date", F.to_date("event_time")), tick),
+                aside(self.ids.write, fresh, tick),
+            ]
+            rows = self._row_totals(tagged)
+            seen = [t for t in (before, rows.pop("newest")) if t is not None]
+            newest = max(seen) if seen else None
+            changes = self._settle(
+                self._changes(spark, tagged, tick, before, newest, now), "changes"
+            )
+            beside.append(aside(self._write_states, changes, tick))
+            totals = {**self._window_totals(changes), **rows, **messages.result()}
+            for written in beside:
+                written.result()
         self._write_ledger(spark, tick, began, newest, {
             name: (previous.get(name) or 0) + (totals[name] or 0) for name in TOTALS
         })
@@ -203,11 +222,6 @@ class EventStream:
         flagged = dedupe.insert_if_absent(observed, self.ids.before(spark, tick), order=ORDER)
         return enrich.with_status(flagged).withColumn("ingestion_time", now)
 
-    def _write_raw(self, tagged: DataFrame, tick: int) -> None:
-        fresh = tagged.where("is_new").select(*schemas.RAW.names)
-        self.raw.write(fresh.withColumn("event_date", F.to_date("event_time")), tick)
-        self.ids.write(fresh, tick)
-
     def _changes(
         self, spark: SparkSession, tagged: DataFrame, tick: int,
         before: int | None, newest: int | None, now: Column,
@@ -330,6 +344,16 @@ class EventStream:
             *[F.lit(totals[name]).cast("bigint").alias(name) for name in TOTALS],
         ), tick)
 
+    def flush(self, spark: SparkSession) -> None:
+        """What a shutdown forces: a tick without messages, after the last one.
+
+        It finalizes windows that the watermark has passed and writes the totals again; the
+        open ones are in the table since the tick that touched them.
+        """
+        last = self.ledger.read(spark).agg(F.max("tick")).first()[0]
+        if last is not None:
+            self.process(spark.createDataFrame([], schemas.TOPIC), last + 1)
+
     # -- Running -----------------------------------------------------------------
 
     def start(
