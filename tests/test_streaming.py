@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,7 +113,7 @@ def test_ledger_totals_and_samples(spark, finished):
 def everything(spark, stream):
     """Every row and column of every table."""
     tables = [stream.raw, stream.states, stream.dead_letters, stream.ledger, stream.samples]
-    frames = [table.read(spark) for table in tables] + [stream.ids.before(spark, 2**62)]
+    frames = [table.read(spark) for table in tables] + stream.ids.before(spark, 2**62)
     return [sorted(map(repr, frame.collect())) for frame in frames]
 
 
@@ -141,8 +142,8 @@ def test_history_is_not_shuffled_beyond_the_broadcast_limit(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         batch = spark.range(3000, 9000).selectExpr("cast(id AS string) AS event_id", "id AS arrival")
-        found = dedupe.insert_if_absent(batch, table.before(spark, 2))
-        lookup = dedupe.already_stored(batch, table.before(spark, 2))
+        found = dedupe.insert_if_absent(batch, lambda ids: table.found(ids, 2))
+        lookup = table.found(batch, 2)
         plan = lookup._jdf.queryExecution().executedPlan().toString()
         assert lookup.count() == 5000 and found.where("is_new").count() == 1000
     finally:
@@ -163,9 +164,43 @@ def test_ids_are_found_by_another_session_and_replays_replace_them(spark, tmp_pa
     table = IdTable(str(tmp_path / "ids"), buckets=2)
     for _ in range(2):
         table.write(spark.createDataFrame([("a",), ("b",)], "event_id string"), 0)
-    spark.sql(f"DROP TABLE {table._table(spark)}")  # the files stay: the table is external
-    assert sorted(r[0] for r in table.before(spark, 1).collect()) == ["a", "b"]
-    assert table.before(spark, 0).count() == 0
+    spark.sql(f"DROP TABLE {table._table(spark, 0)}")  # the files stay: the table is external
+    [ids] = table.before(spark, 1)
+    assert sorted(r[0] for r in ids.collect()) == ["a", "b"]
+    assert table.before(spark, 0)[0].count() == 0
+
+
+def test_buckets_follow_the_history(spark, tmp_path):
+    """Epochs of 2, 8 and 32 buckets; a look-up reads each as it lies, with as many tasks as buckets."""
+    table = IdTable(str(tmp_path / "ids"), buckets=2, bucket_ids=100)
+    assert [table.epoch(n) for n in (0, 199, 200, 999, 1000, 4199, 4200)] == [0, 0, 1, 1, 2, 2, 3]
+    stored = 0
+    for tick, size in enumerate((150, 100, 900, 500)):
+        table.write(spark.range(stored, stored + size).selectExpr("cast(id AS string) AS event_id"), tick, stored)
+        stored += size
+    parts = table.before(spark, 4, stored)
+    assert [p.count() for p in parts] == [250, 900, 500]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        batch = spark.range(100, 2000).selectExpr("cast(id AS string) AS event_id", "id AS arrival")
+        found = dedupe.insert_if_absent(batch, lambda ids: table.found(ids, 4, stored))
+        assert found.where("is_new").agg(F.min("arrival"), F.count("*")).first() == (stored, 2000 - stored)
+        plan = table.found(batch, 4, stored)._jdf.queryExecution().executedPlan().toString()
+        assert [int(n) for n in re.findall(r"SelectedBucketsCount: \d+ out of (\d+)", plan)] == [2, 8, 32]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_stream_over_several_epochs_finds_its_redeliveries(spark, tmp_path):
+    small = EventStream(str(tmp_path / "small"), id_buckets=1, bucket_ids=2)
+    plain = EventStream(str(tmp_path / "plain"))
+    for stream in (small, plain):
+        run(spark, stream, [0, 1, 2, 3])
+    columns = [c for c in plain.raw.read(spark).columns if c != "ingestion_time"]
+    assert sorted(map(str, small.raw.read(spark).select(columns).collect())) == sorted(
+        map(str, plain.raw.read(spark).select(columns).collect()))
+    assert len(small.ids.before(spark, 9, 6)) > 1
 
 
 def test_many_dates_keep_the_pruned_plan(spark, tmp_path):

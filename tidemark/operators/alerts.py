@@ -269,40 +269,40 @@ def schedule(
         ).cast("bigint")
 
     # Look number k happens at since * step + wait + k * interval; a row covers
-    # the looks that fall between its step and the next.
+    # the looks that fall between its step and the next. Members are the same at all
+    # of them, so only the first can bring a change; the others only repeat.
     offset = (F.col("step") - F.col("since")) * grid.step - routed("wait")
-    first_look = F.greatest(F.lit(0).cast("bigint"), F.ceil(offset / routed("interval")))
-    last_look = F.ceil((offset + grid.step) / routed("interval")) - 1
-    looks = held.withColumn("__lo", first_look).withColumn("__hi", last_look).where(
-        F.col("__hi") >= F.col("__lo")
-    ).withColumn("look", F.explode(F.sequence(F.col("__lo"), F.col("__hi"))))
-    episode = [*by, "since"]
-    ordered = Window.partitionBy(*episode).orderBy("look")
-    previous = F.lag("members").over(ordered)
-    changed = looks.withColumn(
+    covered = held.withColumns({
+        "__lo": F.greatest(F.lit(0).cast("bigint"), F.ceil(offset / routed("interval"))),
+        "__hi": F.ceil((offset + grid.step) / routed("interval")) - 1,
+    }).where(F.col("__hi") >= F.col("__lo"))
+    ordered = Window.partitionBy(*by, "since").orderBy("step")
+    first, last = F.col("__lo"), F.col("__hi")
+    changed = covered.withColumn(
         "__changed",
-        F.when(F.col("look") == 0, F.lit("first")).when(
-            previous != F.col("members"), F.lit("changed")
+        F.when(first == 0, F.lit("first")).when(
+            F.lag("members").over(ordered) != F.col("members"), F.lit("changed")
         ),
     )
-    last_change = F.max(F.when(F.col("__changed").isNotNull(), F.col("look"))).over(ordered)
+    told = changed.withColumn(
+        "__told", F.max(F.when(F.col("__changed").isNotNull(), first)).over(ordered))
+    # Announcements, not looks, are made into rows.
     every = F.ceil(routed("repeat") / routed("interval"))
-    reason = F.coalesce(
-        F.col("__changed"),
-        F.when(F.pmod(F.col("look") - F.col("__last"), every) == 0, F.lit("repeat")),
+    since_told = F.ceil((first - F.col("__told")) / every) * every
+    again = F.when(F.col("__changed").isNotNull(), first + every).otherwise(F.col("__told") + since_told)
+    repeats = F.when(again <= last, F.sequence(again, last, every)).otherwise(F.array().cast("array<bigint>"))
+    announced = F.concat(
+        F.when(F.col("__changed").isNotNull(), F.array(F.struct(first.alias("look"), F.col("__changed").alias("reason"))))
+        .otherwise(F.array().cast("array<struct<look: bigint, reason: string>>")),
+        F.transform(repeats, lambda look: F.struct(look.alias("look"), F.lit("repeat").alias("reason"))),
     )
     seconds = F.col("since") * grid.step + routed("wait") + F.col("look") * routed("interval")
-    return (
-        changed.withColumn("__last", last_change)
-        .withColumn("reason", reason)
-        .where(F.col("reason").isNotNull())
-        .select(
-            *by, "severity", "alerts", "reason",
-            grid.time(F.col("since")).alias("group_since"),
-            F.timestamp_seconds(seconds).alias("notify_at"),
-            F.when(F.col("severity") == "CRITICAL", F.lit("critical"))
-            .otherwise(F.lit("default")).alias("route"),
-        )
+    return told.select("*", F.inline(announced)).select(
+        *by, "severity", "alerts", "reason",
+        grid.time(F.col("since")).alias("group_since"),
+        F.timestamp_seconds(seconds).alias("notify_at"),
+        F.when(F.col("severity") == "CRITICAL", F.lit("critical"))
+        .otherwise(F.lit("default")).alias("route"),
     )
 
 

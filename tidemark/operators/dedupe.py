@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,12 +53,16 @@ def already_stored(batch: DataFrame, stored: DataFrame, key: str = "event_id") -
 
 
 def insert_if_absent(
-    batch: DataFrame, stored: DataFrame, key: str = "event_id",
+    batch: DataFrame, stored: DataFrame | Callable[[DataFrame], DataFrame], key: str = "event_id",
     order: Sequence[str] = ("arrival",),
 ) -> DataFrame:
-    """Add ``is_new``: first arrival in the batch and not stored before."""
+    """Add ``is_new``: first arrival in the batch and not stored before.
+
+    ``stored`` is the history, or a look-up that gives those of some ids that it holds.
+    """
     firsts = first_arrivals(batch, key, order)
-    fresh = firsts.join(already_stored(firsts, stored, key), key, "left_anti")
+    known = already_stored(firsts, stored, key) if isinstance(stored, DataFrame) else stored(firsts.select(key))
+    fresh = firsts.join(known, key, "left_anti")
     return (
         batch.join(fresh.withColumn("__fresh", F.lit(True)), [key, *order], "left")
         .withColumn("is_new", F.col("__fresh").isNotNull())

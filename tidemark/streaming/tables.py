@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,26 +61,44 @@ class TickTable:
         return rows.where(F.col("tick") > after) if after >= 0 else rows
 
 
+#: Ids a bucket of the id table holds when its epoch ends.
+BUCKET_IDS = 5_000_000
+
+
 @dataclass(frozen=True)
 class IdTable:
     """The ids stored so far, one partition per tick, in files by hash of the id.
 
     A look-up joins on the id: the stored side is read as it lies, bucket by
-    bucket, so only the batch is shuffled, however long the history is. The
-    number of buckets is fixed when the first tick is written.
+    bucket, so only the batch is shuffled, however long the history is. Buckets follow
+    the history: an epoch ends when its buckets are full, and the next one has
+    ``GROWTH`` times as many. So a look-up has as many tasks as the history needs, and
+    shuffles the batch once per epoch, of which there are logarithmically many.
     """
 
     path: str
     buckets: int = 16
-
-    def _table(self, spark: SparkSession) -> str:
-        """The catalog's name for the folder; a new session finds what is there."""
-        name = f"tidemark_ids_{hashlib.md5(self.path.encode()).hexdigest()}"
+    bucket_ids: int = BUCKET_IDS
+
+    GROWTH = 4
+
+    def epoch(self, stored: int) -> int:
+        """The epoch that takes the next ids when so many are stored."""
+        epoch, full = 0, self.buckets * self.bucket_ids
+        while stored >= full:
+            epoch += 1
+            full += self.buckets * self.GROWTH**epoch * self.bucket_ids
+        return epoch
+
+    def _table(self, spark: SparkSession, epoch: int) -> str:
+        """The catalog's name for an epoch's folder; a new session finds what is there."""
+        folder = f"{self.path}/epoch={epoch}"
+        name = f"tidemark_ids_{hashlib.md5(folder.encode()).hexdigest()}"
         if not spark.catalog.tableExists(name):
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} (event_id STRING, tick BIGINT) USING parquet "
-                f"PARTITIONED BY (tick) CLUSTERED BY (event_id) INTO {self.buckets} BUCKETS "
-                f"LOCATION '{self.path}'"
+                f"PARTITIONED BY (tick) CLUSTERED BY (event_id) INTO {self.buckets * self.GROWTH**epoch} BUCKETS "
+                f"LOCATION '{folder}'"
             )
             # A partition without rows makes sure that the folder exists.
             spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (tick = -1) "
@@ -87,14 +106,31 @@ class IdTable:
             spark.catalog.recoverPartitions(name)
         return name
 
-    def write(self, rows: DataFrame, tick: int) -> None:
-        """Replace the ids of a tick: one file per bucket."""
-        spark = rows.sparkSession
-        ids = rows.select("event_id").repartition(self.buckets, "event_id")
+    def found(self, ids: DataFrame, tick: int, stored: int = 0) -> DataFrame:
+        """Those of some ids that earlier ticks stored.
+
+        They are dealt to each epoch's own buckets: left to itself, the engine deals the history
+        anew where it has fewer buckets than shuffles have partitions.
+        """
+        spark, ids = ids.sparkSession, ids.select("event_id").distinct()
+        hits = [
+            part.join(ids.repartition(self.buckets * self.GROWTH**epoch, "event_id"), "event_id", "left_semi")
+            for epoch, part in enumerate(self.before(spark, tick, stored))
+        ]
+        return reduce(DataFrame.unionByName, hits).distinct()
+
+    def write(self, rows: DataFrame, tick: int, stored: int = 0) -> None:
+        """Replace the ids of a tick, before which ``stored`` were there: one file per bucket."""
+        spark, epoch = rows.sparkSession, self.epoch(stored)
+        ids = rows.select("event_id").repartition(self.buckets * self.GROWTH**epoch, "event_id")
         spark.sql(
-            f"INSERT OVERWRITE TABLE {self._table(spark)} PARTITION (tick = {int(tick)}) "
+            f"INSERT OVERWRITE TABLE {self._table(spark, epoch)} PARTITION (tick = {int(tick)}) "
             "SELECT event_id FROM {ids}", ids=ids,
         )
 
-    def before(self, spark: SparkSession, tick: int) -> DataFrame:
-        return spark.table(self._table(spark)).where(F.col("tick") < tick).select("event_id")
+    def before(self, spark: SparkSession, tick: int, stored: int = 0) -> list[DataFrame]:
+        """The ids of earlier ticks, a frame per epoch."""
+        return [
+            spark.table(self._table(spark, epoch)).where(F.col("tick") < tick).select("event_id")
+            for epoch in range(self.epoch(stored) + 1)
+        ]

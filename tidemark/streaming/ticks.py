@@ -27,7 +27,7 @@ from tidemark.operators.metrics import INFINITY, LATENCY_BOUNDS
 from tidemark.operators.running import topic_blocks
 from tidemark.policy import FLUSH_INTERVAL_SECONDS, EventTimePolicy
 from tidemark.sources.tables import latest
-from tidemark.streaming.tables import IdTable, TickTable
+from tidemark.streaming.tables import BUCKET_IDS, IdTable, TickTable
 
 #: Outputs of a tick that are written at the same time.
 WRITERS = 4
@@ -50,14 +50,15 @@ def _ledger_schema() -> T.StructType:
 class EventStream:
     """Where the tables of one stream live, and its policy.
 
-    ``id_buckets`` is the number of files the stored ids of a tick are kept in;
-    choose it by the history expected, as it cannot change later.
+    ``id_buckets`` is the number of files the stored ids of a tick are kept in at
+    first; it grows with the history.
     """
 
     root: str
     policy: EventTimePolicy = field(default_factory=EventTimePolicy)
     contract: contracts.Contract = contracts.READING
     id_buckets: int = 16
+    bucket_ids: int = BUCKET_IDS
 
     @property
     def raw(self) -> TickTable:
@@ -65,7 +66,7 @@ class EventStream:
 
     @property
     def ids(self) -> IdTable:
-        return IdTable(f"{self.root}/ids", self.id_buckets)
+        return IdTable(f"{self.root}/ids", self.id_buckets, self.bucket_ids)
 
     @property
     def clock(self) -> TickTable:
@@ -142,6 +143,7 @@ class EventStream:
         now = F.timestamp_micros(F.lit(began))
         previous = self._previous(spark, tick)
         before = previous.get("max_event_time")
+        stored = (previous.get("processed") or 0) - (previous.get("duplicates") or 0)
         validated = self._settle(
             contracts.validate(contracts.decode(batch), self.contract)
             .drop("key", "value", "doc", "doc_keys", "errors"),
@@ -155,13 +157,13 @@ class EventStream:
             beside = [aside(self.dead_letters.write, enrich.dead_letters(invalid, now), tick)]
             messages = aside(self._message_totals, validated, now)
             tagged = self._settle(
-                self._tag(spark, contracts.to_readings(valid, self.contract), tick, before, now),
+                self._tag(spark, contracts.to_readings(valid, self.contract), tick, before, now, stored),
                 "tagged",
             )
             fresh = tagged.where("is_new").select(*schemas.RAW.names)
             beside += [
                 aside(self.raw.write, fresh.withColumn("event_date", F.to_date("event_time")), tick),
-                aside(self.ids.write, fresh, tick),
+                aside(self.ids.write, fresh, tick, stored),
             ]
             rows = self._row_totals(tagged)
             seen = [t for t in (before, rows.pop("newest")) if t is not None]
@@ -211,7 +213,7 @@ class EventStream:
 
     def _tag(
         self, spark: SparkSession, rows: DataFrame, tick: int, carry: int | None,
-        now: Column,
+        now: Column, stored: int,
     ) -> DataFrame:
         levels = topic_blocks(F.col("src_slice"), F.col("src_offset"), F.col("src_topic"),
                               F.col("src_partition"))
@@ -219,7 +221,7 @@ class EventStream:
             rows, order=ORDER, levels=levels, policy=self.policy,
             carry=None if carry is None else F.timestamp_micros(F.lit(carry)),
         )
-        flagged = dedupe.insert_if_absent(observed, self.ids.before(spark, tick), order=ORDER)
+        flagged = dedupe.insert_if_absent(observed, lambda ids: self.ids.found(ids, tick, stored), order=ORDER)
         return enrich.with_status(flagged).withColumn("ingestion_time", now)
 
     def _changes(
