@@ -51,6 +51,28 @@ def test_agrees_with_all_products(spark, tmp_path, monkeypatch, tree_rows, block
     assert run(spark, tmp_path, rows) == expected(rows)
 
 
+def test_one_long_vector_does_not_blunt_the_bounds(spark, tmp_path):
+    """Lengths over four powers of ten: all products agree, and short bands are not opened for long queries."""
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) * 10 ** rng.choice([-2, -1, 0, 1]) for _ in range(6)], 0) for i in range(500)]
+    rows.append((9999, [4000.0, 0.0, 0.0, 0.0, 0.0, 0.0], 0))
+    assert run(spark, tmp_path, rows) == expected(rows)
+
+
+def test_trees_are_copied_for_the_blocks_of_their_own_queries(spark, monkeypatch):
+    """A tree that many queries open is copied once per block of these, one that none opens not at all."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
+    trees = spark.createDataFrame(
+        [([1], [t], 7, t, 0) for t in range(5)], "v array<long>, ids array<long>, grp int, cell int, part int")
+    opened = [(r, 7, t, 0) for t, n in ((0, 25), (1, 3), (3, 10)) for r in range(n)]
+    dealt = spark.createDataFrame(opened, "rep long, grp int, cell int, part int")
+    copies, queries = topk._meetings(trees, dealt)
+    assert sorted((r.cell, r.block) for r in copies.collect()) == [(0, 0), (0, 1), (0, 2), (1, 0), (3, 0)]
+    held = {(r.cell, r.block) for r in queries.collect()}
+    assert queries.count() == len(opened)
+    assert held <= {(0, 0), (0, 1), (0, 2), (1, 0), (3, 0)}
+
+
 def test_empty_and_invalid_only(spark, tmp_path):
     assert run(spark, tmp_path, [(0, None, 0), (50, [None], 0)]) == []
 
