@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -41,7 +41,7 @@ class _Powers:
 
     def upto(self, n: int) -> np.ndarray:
         if len(self.values) < n:
-            steps = np.full(max(n, 4 << 20), self.base, dtype=np.uint64)
+            steps = np.full(max(n, 1 << 20), self.base, dtype=np.uint64)
             steps[0] = 1
             self.values = np.multiply.accumulate(steps)
         return self.values[:n]
