@@ -49,6 +49,19 @@ def test_agrees_with_rules_row_by_row(spark, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted(((r[0], *expected(r[1])) for r in rows), key=repr)
 
 
+def test_every_grant_with_every_name_agrees_with_rules_row_by_row(spark):
+    """All openings before all names, with words between that are no part of them."""
+    rng = random.Random(3)
+    texts = []
+    for rule in RULES:
+        text = sample_of(rule.pattern, rng)
+        texts += [text, f"{text} license", f"licensed under the {text}", f"released under a {text} or later"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    for r in scan(table(spark, rows)).collect():
+        want = expected(r.doc.text)
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == want, r.doc.text
+
+
 def test_empty_table(spark, tmp_path):
     assert op2_license_scans(spark, saved(table(spark, []), tmp_path)).collect() == []
 

@@ -11,15 +11,28 @@ import re
 from dataclasses import dataclass
 
 
+def _first_word(pattern: str) -> str:
+    return re.match("[a-z0-9]+", pattern)[0]
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
     tier: int
-    pattern: str  # without the keyword's own anchors; the first word is literal
+    name: str  # without the keyword's own anchors; the first word is literal
+    grant: str = ""  # what stands before the name, if anything
+
+    @property
+    def pattern(self) -> str:
+        return f"{self.grant} {self.name}" if self.grant else self.name
 
     @property
     def keyword(self) -> str:
-        return re.match("[a-z0-9]+", self.pattern)[0]
+        return _first_word(self.pattern)
+
+    @property
+    def name_keyword(self) -> str:
+        return _first_word(self.name)
 
 
 # The base phrases and their labels.
@@ -175,7 +188,7 @@ NOTICES: list[tuple[str, str]] = [
 def _rules() -> list[Rule]:
     names = [*NAMES, *_creative_commons()]
     rules = [Rule(label, 1, pattern) for label, pattern in NOTICES]
-    rules += [Rule(label, 2, f"{grant} {name}") for grant in GRANTS for label, name in names]
+    rules += [Rule(label, 2, name, grant) for grant in GRANTS for label, name in names]
     rules += [Rule(label, 3, name) for label, name in names]
     return rules
 

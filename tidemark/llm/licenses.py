@@ -2,19 +2,22 @@
 
 A keyword test lets through the texts that can hold a signature. Those are cut
 into words; every keyword is an anchor, and only the rules that start with it look
-at the words from there on. Detections are word intervals. One that lies within
+at the words from there on. An opening of a grant is matched once; the word after it
+decides which names are looked for. Detections are word intervals. One that lies within
 another of the same or a better tier is suppressed: in order of (start, longest
 first, tier, rule), that is when an earlier one of such a tier reaches as far, so
 one running maximum per tier decides it. All of it happens inside a row: nothing
 is shuffled, and equal rows do not meet.
 
 Defined results: null text counts as empty; texts without words or signatures have
-no labels, null positions and score 0; repeated rows are scanned each on their own.
+no labels, null positions and score 0; repeated rows are scanned each on their own; very long
+texts are scanned whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,36 +39,64 @@ PREFILTER = (
 )
 
 
-def _by_keyword() -> dict[str, list[tuple[int, Rule]]]:
-    groups: dict[str, list[tuple[int, Rule]]] = {}
-    for number, rule in enumerate(RULES):
-        groups.setdefault(rule.keyword, []).append((number, rule))
+Numbered = list[tuple[int, Rule]]
+
+
+def _by(key: Callable[[Rule], str], rules: Numbered) -> dict[str, Numbered]:
+    groups: dict[str, Numbered] = {}
+    for number, rule in rules:
+        groups.setdefault(key(rule), []).append((number, rule))
     return groups
 
 
-def _matches_sql(rules: list[tuple[int, Rule]]) -> str:
-    """What the rules of one keyword find at an anchor `a`; SQL text, as the list is long."""
+def _words_sql(text: str) -> str:
+    return f"length({text}) - length(replace({text}, ' ', '')) + 1"
+
+
+def _matches_sql(rules: Numbered, after: str, before: str = "0") -> str:
+    """What the names of some rules find in the words `after`, which `before` words follow the anchor `a`; as SQL, for
+    the list is long.
+    """
     found = ", ".join(
-        f"named_struct('match', regexp_extract(a.after, r'^(?:{rule.pattern})(?= |$)', 0), "
+        f"named_struct('match', regexp_extract({after}, r'^(?:{rule.name})(?= |$)', 0), "
         f"'tier', {rule.tier}, 'rule', {number}, 'label', '{rule.label}')"
         for number, rule in rules
     )
-    words = "length(d.match) - length(replace(d.match, ' ', '')) + 1"
     return (
         f"transform(filter(array({found}), d -> d.match != ''), d -> named_struct("
-        f"'start', a.at, 'minus_end', -(a.at + {words}), 'tier', d.tier, 'rule', d.rule, 'label', d.label))"
+        f"'start', a.at, 'minus_end', -(a.at + {before} + {_words_sql('d.match')}), 'tier', d.tier, 'rule', d.rule, 'label', d.label))"
+    )
+
+
+def _granted_sql(grant: str, rules: Numbered) -> str:
+    """What stands after the opening of a grant, which is looked for once."""
+    cases = " ".join(
+        f"when '{word}' then {_matches_sql(named, 'n.after', 'n.words')}" for word, named in _by(lambda r: r.name_keyword, rules).items()
+    )
+    opening = f"filter(array(regexp_extract(a.after, r'^(?:{grant})(?= )', 0)), g -> g != '')"
+    names = (
+        f"transform({opening}, g -> named_struct('words', {_words_sql('g')}, 'after', substring(a.after, length(g) + 2)))"
     )
+    return f"flatten(filter(transform({names}, n -> case substring_index(n.after, ' ', 1) {cases} end), x -> x is not null))"
+
+
+def _anchored_sql(rules: Numbered) -> str:
+    """What the rules of one keyword find at an anchor `a`."""
+    parts = [
+        _granted_sql(grant, some) if grant else _matches_sql(some, "a.after") for grant, some in _by(lambda r: r.grant, rules).items()
+    ]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
 
 
 def _detections(words: str) -> Column:
     """All detections of one text, sorted by (start, longest first, tier, rule)."""
-    groups = _by_keyword()
+    groups = _by(lambda r: r.keyword, list(enumerate(RULES)))
     keywords = ", ".join(f"'{k}'" for k in groups)
     anchors = (
         f"filter(transform({words}, (w, i) -> if(w in ({keywords}), named_struct('at', cast(i as bigint), 'word', w, "
         f"'after', array_join(slice({words}, i + 1, {REACH}), ' ')), null)), a -> a is not null)"
     )
-    cases = " ".join(f"when '{word}' then {_matches_sql(rules)}" for word, rules in groups.items())
+    cases = " ".join(f"when '{word}' then {_anchored_sql(rules)}" for word, rules in groups.items())
     return F.expr(f"array_sort(flatten(transform({anchors}, a -> case a.word {cases} end)))")
 
 
