@@ -49,3 +49,10 @@ def test_chunks_keep_rows_whole():
 def test_ranges():
     at, owner = ranges(np.array([5, 9, 2]), np.array([2, 0, 3]))
     assert at.tolist() == [5, 6, 2, 3, 4] and owner.tolist() == [0, 0, 2, 2, 2]
+
+
+def test_words_with_zero_bytes_are_told_apart():
+    texts = ["c\x00 d", "\x00 \x00\x00 \x01", "a\x00b a\x00\x00b ab", "d c\x00\x00 e"]
+    words = Words(pa.array(texts))
+    each = [w for t in texts for w in t.split(" ")]
+    assert len(set(words.hash.tolist())) == len(set(each))

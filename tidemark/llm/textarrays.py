@@ -17,6 +17,7 @@ CHUNK_BYTES = 1_000_000
 
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
+_LENGTH = np.uint64(0xD1B54A32D192ED03)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -116,7 +117,8 @@ class Words:
     def bytes_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of the bytes start:end."""
         down = _word_down.upto(max(len(self.data), 1))
-        return mix((self._sums[end] - self._sums[start]) * down[start] + (end - start).astype(np.uint64))
+        # The length tells words apart that differ in bytes of value 0 at their ends.
+        return mix((self._sums[end] - self._sums[start]) * down[start] + (end - start).astype(np.uint64) * _LENGTH)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
