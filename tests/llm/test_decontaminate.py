@@ -104,6 +104,13 @@ def test_finds_what_alignment_with_whole_texts_finds():
     assert got == want and len(want) > 40
 
 
+def test_item_ids_of_other_types(spark):
+    items = spark.createDataFrame([("first", prose(1, 20)), ("second", prose(2, 20))], "item_id string, text string")
+    docs = table(spark, [(5, f"{prose(3, 10)} {prose(2, 20)}", "en", "s", 0), (6, prose(4, 30), "en", "s", 0)])
+    got = {r.doc.doc_id: [h.item_id for h in r.hits] for r in d.contamination(docs, items).collect()}
+    assert got == {5: ["second"], 6: []}
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     assert d.contamination(table(spark, []), items).collect() == []

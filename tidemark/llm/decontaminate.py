@@ -13,7 +13,8 @@ What goes to the executors is the words of one block of items, at most about
 
 Defined results: a null or wordless text holds nothing, and neither does a null or
 wordless item; equal items are all reported; repeated documents are judged each on
-their own; every input column comes back in `doc`, so names cannot clash.
+their own; every input column comes back in `doc`, so names cannot clash; item ids may be
+of any type; very long texts are searched whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,13 +38,12 @@ LEAST_MATCHES = 8
 MAX_PAIRS = 2_000_000
 _BITS = 22
 
-HITS = T.ArrayType(T.StructType([
-    T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()),
-    T.StructField("start_word", T.LongType()), T.StructField("end_word", T.LongType()),
-]))
-_HITS = pa.list_(pa.struct([
-    ("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())
-]))
+
+def hits_type(item_id: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([
+        T.StructField("item_id", item_id), T.StructField("score", T.DoubleType()),
+        T.StructField("start_word", T.LongType()), T.StructField("end_word", T.LongType()),
+    ]))
 
 
 @dataclass
@@ -53,7 +53,7 @@ class Items:
     A text can hold an item only if `hits` places within `reach` words have words looked up for it.
     """
 
-    ids: list[int]
+    ids: list
     words: list[np.ndarray]
     distinct: np.ndarray  # words looked up
     pair: np.ndarray  # place in `distinct` * number of items + item
@@ -80,7 +80,7 @@ def reach(size: int) -> int:
     return 3 * size - 2 * least_matches(size) + 1
 
 
-def _indexed(ids: list[int], words: list[np.ndarray], looked: list[np.ndarray], hits: np.ndarray) -> Items:
+def _indexed(ids: list, words: list[np.ndarray], looked: list[np.ndarray], hits: np.ndarray) -> Items:
     distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *looked]))
     pair = [np.searchsorted(distinct, np.unique(w)) * len(ids) + i for i, w in enumerate(looked)]
     vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]))
@@ -95,7 +95,7 @@ def _indexed(ids: list[int], words: list[np.ndarray], looked: list[np.ndarray],
     )
 
 
-def index(ids: list[int], texts: list[str]) -> Items:
+def index(ids: list, texts: list[str]) -> Items:
     """All words of some items."""
     words = _split(pa.array(texts, type=pa.large_string()))
     each = [words.hash[words.first[i] : words.first[i + 1]] for i in range(len(ids))]
@@ -261,7 +261,7 @@ def _mark(rows: DataFrame, index: Items) -> DataFrame:
                 hits = part.column("hits").to_pylist()
                 for i, found in _judge(words, items).items():
                     hits[i] = hits[i] + found
-                columns = [part.column("doc"), part.column("text"), pa.array(hits, type=_HITS)]
+                columns = [part.column("doc"), part.column("text"), pa.array(hits, type=part.column("hits").type)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "text", "hits"])
 
     return rows.mapInArrow(run, rows.schema)
@@ -275,7 +275,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text}`").alias("text"),
-        F.array().cast(HITS).alias("hits"),
+        F.array().cast(hits_type(items.schema["item_id"].dataType)).alias("hits"),
     )
     items = items.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
     words = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first().n or 0
