@@ -836,6 +836,8 @@ SELECT alertname, severity, component, instance, {_at('since')} AS active_at,
   {_at('(max(step) + 1)')} AS ended_at
 FROM alerts GROUP BY alertname, severity, component, instance, since"""
     out["stream_alert_intervals"] = out["alert_intervals"]
+    out["default_limit_intervals"] = out["alert_intervals"].replace("value > 4.5", "value > 0.5").replace(
+        "value > 0.3617", "value > 0.05").replace("v > 600", "v > 900")
     out["rule_history"] = conditions + f""",
 runs AS (
   SELECT alertname, severity, component, instance, since, max(step) + 1 AS ended,

@@ -764,10 +764,10 @@ def dashboard_feeds(spark, sf_dir):
 # -- Alerts --------------------------------------------------------------------------------
 
 
-def _alerts(spark, sf_dir):
+def _alerts(spark, sf_dir, limits=LIMITS):
     found = telemetry.evaluate_rules(
         _staged_samples(spark, sf_dir), RULES, over=LONG, lookback=telemetry.SCRAPE_SECONDS,
-        grid=telemetry.GRID, **LIMITS,
+        grid=telemetry.GRID, **limits,
     )
     return stage(found, "alerts")
 
@@ -781,6 +781,12 @@ def alert_evaluations(spark, sf_dir):
     )
 
 
+@query
+def default_limit_intervals(spark, sf_dir):
+    """Active, fired and ended under the limits that the rules have by default."""
+    return A.intervals(_alerts(spark, sf_dir, {}), telemetry.GRID)
+
+
 @query
 def alert_intervals(spark, sf_dir):
     """When every alert became active, fired and ended."""
