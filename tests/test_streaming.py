@@ -212,6 +212,18 @@ def test_many_dates_keep_the_pruned_plan(spark, tmp_path):
     assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_tick_reads_only_the_folders_since_the_last_base(spark, tmp_path):
+    stream = EventStream(str(tmp_path / "often"), compact_every=2)
+    plain = EventStream(str(tmp_path / "never"), compact_every=0)
+    for each in (stream, plain):
+        run(spark, each, [0, 1, 2, 3])
+    drop = ["finalized_at"]
+    assert sorted(map(str, stream.daily(spark).drop(*drop).collect())) == sorted(map(str, plain.daily(spark).drop(*drop).collect()))
+    files = stream._states_before(spark, 4).inputFiles()
+    assert files
+    assert not any("daily_log/tick=0" in f or "daily_log/tick=1" in f or "daily_log/tick=2" in f for f in files)
+
+
 def test_repeat_and_compaction(spark, tmp_path):
     stream = EventStream(str(tmp_path))
     # The first attempt of tick 2 died before it was acknowledged; it runs again.

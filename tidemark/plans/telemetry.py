@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import times
 from tidemark.functions.numbers import clamp_min
+from tidemark.names import (
+    PROCESSED, FAILED, DEAD_LETTERED, ABNORMAL, LATE, LATENCY_BUCKET,
+    WATERMARK_LAG, WINDOWS_OPEN, WINDOWS_FINALIZED, PARTITION_LAG, DUPLICATES, UP, SINK_UP,
+)
 from tidemark.operators import alerts as A
 from tidemark.operators import metrics as M
 from tidemark.plans.readings import TOPIC, _reading_columns, events
@@ -24,21 +28,6 @@ GRID = M.Grid(step=SCRAPE_SECONDS)
 JOB = "consumer"
 BUCKET_BOUNDS = M.LATENCY_BOUNDS
 
-# Metric names.
-PROCESSED = "consumer_messages_processed_total"
-FAILED = "consumer_messages_failed_total"
-DEAD_LETTERED = "consumer_dlq_messages_total"
-ABNORMAL = "consumer_abnormal_events_total"
-LATE = "consumer_late_events_total"
-LATENCY_BUCKET = "consumer_processing_seconds_bucket"
-WATERMARK_LAG = "consumer_watermark_lag_seconds"
-WINDOWS_OPEN = "consumer_windows_open"
-WINDOWS_FINALIZED = "consumer_windows_finalized_total"
-PARTITION_LAG = "consumer_partition_lag"
-DUPLICATES = "consumer_duplicates_ignored_total"
-UP = "up"
-SINK_UP = "sink_up"
-
 
 def le_text(bound: float) -> str:
     return "+Inf" if bound == M.INFINITY else repr(bound)

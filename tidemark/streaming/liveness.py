@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from tidemark import schemas
+from tidemark import names, schemas
 from tidemark.streaming.progress import live_backlog
 from tidemark.streaming.tables import TickTable
 from tidemark.streaming.ticks import EventStream
@@ -53,15 +53,15 @@ def beat(
         )
 
     known = newest.select(F.inline(F.array(
-        sample("consumer_watermark_lag_seconds", lag), sample("consumer_windows_open", opened),
+        sample(names.WATERMARK_LAG, lag), sample(names.WINDOWS_OPEN, opened),
     ))).where("value IS NOT NULL")
     rows = known.unionByName(
-        spark.range(1, numPartitions=1).select(F.inline(F.array(sample("up", F.lit(1.0))))))
+        spark.range(1, numPartitions=1).select(F.inline(F.array(sample(names.UP, F.lit(1.0))))))
     if progress:
         partition = F.map_concat(_map(LABELS), F.create_map(
             F.lit("partition"), F.col("partition").cast("string")))
         rows = rows.unionByName(live_backlog(spark, progress).select(F.inline(F.array(
-            sample("consumer_partition_lag", F.col("lag").cast("double"), partition)))))
+            sample(names.PARTITION_LAG, F.col("lag").cast("double"), partition)))))
     pulses(stream).write(rows.coalesce(1), micros)
 
 
@@ -91,13 +91,13 @@ def compact_beats(spark: SparkSession, stream: EventStream, before: dt.datetime)
 
 def samples(spark: SparkSession, stream: EventStream) -> DataFrame:
     """Samples of ticks and beats together."""
-    names = schemas.METRIC_SAMPLE.names
+    columns = schemas.METRIC_SAMPLE.names
     whole = beaten(stream).read(spark)
     day = F.call_function("div", F.col("tick"), F.lit(DAY_MICROS).cast("bigint")) * DAY_MICROS
     single = pulses(stream).read(spark).withColumn("day", day).join(
         whole.select(F.col("tick").alias("day")).distinct(), "day", "left_anti")
-    return stream.samples.read(spark).select(*names).unionByName(
-        whole.select(*names)).unionByName(single.select(*names))
+    return stream.samples.read(spark).select(*columns).unionByName(
+        whole.select(*columns)).unionByName(single.select(*columns))
 
 
 class Pulse(StreamingQueryListener):

@@ -46,20 +46,35 @@ class TickTable:
         """The rows of one tick, without listing the others; empty if it never ran."""
         return self._load(spark, f"{self.path}/tick={tick}")
 
-    def _load(self, spark: SparkSession, path: str) -> DataFrame:
+    def _load(self, spark: SparkSession, *paths: str) -> DataFrame:
+        return self._found(spark, *paths) or spark.createDataFrame([], self._full_schema())
+
+    def _found(self, spark: SparkSession, *paths: str) -> DataFrame | None:
+        """The rows of some folders, or None if one is not there."""
         reader = spark.read.schema(self._full_schema()).option("basePath", self.path)
         try:
-            return reader.parquet(path)
+            return reader.parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], self._full_schema())
+            return None
 
     def before(self, spark: SparkSession, tick: int, after: int = -1) -> DataFrame:
         """Rows of ticks after ``after`` and before ``tick``; other folders are not read."""
         rows = self.read(spark).where(F.col("tick") < tick)
         return rows.where(F.col("tick") > after) if after >= 0 else rows
 
+    def every(self, spark: SparkSession, after: int, tick: int) -> DataFrame:
+        """Rows of all ticks after ``after`` and before ``tick``.
+
+        Their folders are named, so the driver lists none of the others; it does where a tick
+        was left out.
+        """
+        if after + 1 >= tick:
+            return spark.createDataFrame([], self._full_schema())
+        found = self._found(spark, *[f"{self.path}/tick={t}" for t in range(after + 1, tick)])
+        return self.before(spark, tick, after) if found is None else found
+
 
 #: Ids a bucket of the id table holds when its epoch ends.
 BUCKET_IDS = 5_000_000

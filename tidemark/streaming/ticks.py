@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark import schemas
+from tidemark import names, schemas
 from tidemark.functions import times
 from tidemark.operators import contract as contracts
 from tidemark.operators import daily, dedupe, enrich, eventtime
@@ -51,7 +51,8 @@ class EventStream:
     """Where the tables of one stream live, and its policy.
 
     ``id_buckets`` is the number of files the stored ids of a tick are kept in at
-    first; it grows with the history.
+    first; it grows with the history. Every ``compact_every`` ticks the newest states become
+    a new base, so a tick reads, and lists, no more than so many folders of the log.
     """
 
     root: str
@@ -59,6 +60,7 @@ class EventStream:
     contract: contracts.Contract = contracts.READING
     id_buckets: int = 16
     bucket_ids: int = BUCKET_IDS
+    compact_every: int = 100
 
     @property
     def raw(self) -> TickTable:
@@ -111,10 +113,12 @@ class EventStream:
     ) -> DataFrame:
         limit = 2**62 if tick is None else tick
         base = self.base_index.before(spark, limit).agg(F.max("tick")).first()[0]
-        log = self.states.before(spark, limit, -1 if base is None else base)
-        if base is not None:
-            compacted = self.bases.read(spark).where(F.col("tick") == base)
-            log = log.unionByName(compacted)
+        if base is None:
+            log = self.states.before(spark, limit)
+        else:
+            # The first tick after the base is the least that matters: no older folder is listed.
+            recent = self.states.before(spark, limit, base) if tick is None else self.states.every(spark, base, tick)
+            log = recent.unionByName(self.bases.only(spark, base))
         if restrict is not None:
             log = restrict(log)
         return latest(log, daily.KEY)
@@ -178,6 +182,8 @@ class EventStream:
         self._write_ledger(spark, tick, began, newest, {
             name: (previous.get(name) or 0) + (totals[name] or 0) for name in TOTALS
         })
+        if self.compact_every and tick and tick % self.compact_every == 0:
+            self.compact(spark, tick)
 
     def _settle(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result of the tick next to its tables and read it back.
@@ -382,25 +388,25 @@ def _sample_values(
 ) -> Sequence[tuple[str, dict[str, str], float]]:
     job = {"job": "consumer", "instance": "stream"}
     values = [
-        ("consumer_messages_processed_total", job, totals["processed"]),
-        ("consumer_messages_failed_total", {**job, "reason": "validation"},
+        (names.PROCESSED, job, totals["processed"]),
+        (names.FAILED, {**job, "reason": "validation"},
          totals["failed_validation"]),
-        ("consumer_messages_failed_total", {**job, "reason": "decode"}, totals["failed_decode"]),
-        ("consumer_dlq_messages_total", job, totals["dead_lettered"]),
-        ("consumer_abnormal_events_total", job, totals["abnormal"]),
-        ("consumer_late_events_total", {**job, "aggregated": "true"}, totals["late_aggregated"]),
-        ("consumer_late_events_total", {**job, "aggregated": "false"},
+        (names.FAILED, {**job, "reason": "decode"}, totals["failed_decode"]),
+        (names.DEAD_LETTERED, job, totals["dead_lettered"]),
+        (names.ABNORMAL, job, totals["abnormal"]),
+        (names.LATE, {**job, "aggregated": "true"}, totals["late_aggregated"]),
+        (names.LATE, {**job, "aggregated": "false"},
          totals["late_finalized"] + totals["late_duplicate"]),
-        ("consumer_duplicates_ignored_total", job, totals["duplicates"]),
-        ("consumer_windows_finalized_total", job, totals["windows_finalized"]),
-        ("consumer_windows_open", job, totals["windows_opened"] - totals["windows_finalized"]),
-        ("up", job, 1),
+        (names.DUPLICATES, job, totals["duplicates"]),
+        (names.WINDOWS_FINALIZED, job, totals["windows_finalized"]),
+        (names.WINDOWS_OPEN, job, totals["windows_opened"] - totals["windows_finalized"]),
+        (names.UP, job, 1),
     ]
     for index, bound in enumerate([*LATENCY_BOUNDS, INFINITY]):
         le = "+Inf" if bound == INFINITY else repr(bound)
-        values.append(("consumer_processing_seconds_bucket", {**job, "le": le},
+        values.append((names.LATENCY_BUCKET, {**job, "le": le},
                        totals[f"seconds_le_{index}"]))
     if newest is not None:
         lag = (now - newest) / 1e6 + policy.out_of_orderness
-        values.append(("consumer_watermark_lag_seconds", job, lag))
+        values.append((names.WATERMARK_LAG, job, lag))
     return values
