@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,11 @@ PREFILTER = (
 )
 
 
+#: Pieces of the test's alternatives, in lower case: a text with one of the first passes at once, one with
+#: none of either fails at once, and only the others are searched with the expression.
+PLAIN = ("licenc", "licens", "gpl", "apache", "permission", "redistribut", "advertising", "copyright", "warranty", "wtfpl", "bsd")
+DOUBTFUL = ("cc0", "cc", "commons", "domain", "mpl", "asl", "mit", "neither")
+
 Numbered = list[tuple[int, Rule]]
 
 
@@ -137,13 +144,23 @@ def _base(words: Column) -> Column:
     return F.filter(found, lambda b: b["label"].isNotNull())
 
 
+def _may_hold(whole: Column) -> Column:
+    """Whether a text passes the keyword test `PREFILTER`."""
+    low = F.lower(whole)  # letters that only become ASCII here can add doubtful texts, not lose any
+
+    def holds(pieces: tuple[str, ...]) -> Column:
+        return reduce(or_, [F.contains(low, F.lit(piece)) for piece in pieces])
+
+    return holds(PLAIN) | (holds(DOUBTFUL) & whole.rlike(PREFILTER))
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """`doc` (all input columns), word count, base places, detections and score of every row."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(whole.rlike(PREFILTER), F.filter(
+        F.when(_may_hold(whole), F.filter(
             F.split(F.regexp_replace(F.translate(whole, UPPER, SMALL), GAP, " "), " "), lambda w: w != ""
         )).otherwise(F.array().cast("array<string>")).alias("words"),
     )
