@@ -30,6 +30,7 @@ from tidemark.llm.wordids import word_ids
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 GROUP_BYTES = 4_000_000
+ENCODED_BYTES = 2_000_000  # encoded at a time: the more, the fewer distinct words are looked up again
 STEP_TOKENS = 16 * TIERS[-1]
 
 PIECES = (
@@ -114,7 +115,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep: s
         encoder = word_ids(vocabulary)
         table = table.sort_by([("doc_id", "ascending")])
         ids: list[np.ndarray] = []
-        for part in chunks(table, "text"):
+        for part in chunks(table, "text", ENCODED_BYTES):
             values, edges = encoder.texts(part.column("text"), END_ID)
             ids += [values[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         windows = pack([len(x) for x in ids])
