@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StreamingQuery
@@ -222,7 +222,10 @@ class AlertEpisodes:
             "checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 
     def _write(self, changes: DataFrame, tick: int) -> None:
-        named = changes.withColumns({
+        # An alert that comes when its time is already over opens and runs out in one tick: its end counts.
+        newest = Window.partitionBy("fingerprint", "episode_no").orderBy(F.desc_nulls_last("resolved_at"))
+        one = changes.withColumn("version", F.row_number().over(newest)).where("version = 1")
+        named = one.withColumns({
             name: F.timestamp_micros(name) for name in ("created_at", "resolved_at")
         }).select(*schemas.NOTIFICATION.names)
         self.log.write(named, tick)
