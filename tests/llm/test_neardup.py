@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from samples import odd_rows, prose, saved, table
 from tidemark.llm import neardup
@@ -110,6 +112,38 @@ def test_pairs_in_a_crowd_with_a_common_template_are_all_linked(spark):
     assert found == [[2 * g, 2 * g + 1] for g in range(150)]
 
 
+def reordered() -> list[tuple]:
+    """Pairs that differ in a word; every pair has the paragraphs of all others in an order of its own."""
+    rows, parts = [], [prose(900 + i, 40) for i in range(5)]
+    for g, order in enumerate(permutations(parts)):
+        own = " ".join(order).split()
+        other = list(own)
+        other[20 + g % 160] = f"changed{g}"
+        rows += [(2 * g, " ".join(own), "en", "s", 0), (2 * g + 1, " ".join(other), "en", "s", 0)]
+    return rows
+
+
+@pytest.mark.parametrize("tile", [100_000, 5_000])
+def test_pairs_in_a_crowd_that_shares_nearly_all_shingles_are_all_linked(spark, monkeypatch, tile):
+    monkeypatch.setattr(neardup, "TILE_WORDS", tile)
+    rows = reordered()
+    parts = shingles([r[1] for r in rows[:4]])
+    assert neardup.similarity(parts[0], parts[1]) >= 0.8 > neardup.similarity(parts[0], parts[2], 0.1)
+    assert len(set(parts[0].tolist()) & set(parts[2].tolist())) > 0.7 * len(parts[0])
+    assert got_classes(neardup.classes(table(spark, rows)).collect()) == [[2 * g, 2 * g + 1] for g in range(120)]
+
+
+def test_common_shingles_are_counted_in_steps(monkeypatch):
+    texts = [prose(i % 3, 30 + i) for i in range(8)]
+    parts = shingles(texts)
+    x, own = np.concatenate(parts[:5]), np.repeat(np.arange(5), [len(p) for p in parts[:5]])
+    y, other = np.concatenate(parts[5:]), np.repeat(np.arange(3), [len(p) for p in parts[5:]])
+    monkeypatch.setattr(neardup, "COMMON_STEP", 7)
+    got = neardup.common_shingles(x, own, 5, y, other, 3)
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in parts[5:]] for a in parts[:5]]
+    assert neardup.common_shingles(x[:0], own[:0], 0, y, other, 3).shape == (0, 3)
+
+
 def test_crowds_agree_with_all_pairs(spark):
     """Templates of several shares, chains of edits and copies, in buckets far beyond what is aligned at once."""
     rng, rows = random.Random(5), []

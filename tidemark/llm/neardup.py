@@ -15,8 +15,10 @@ at the end of that order, so it brings no pairs. Texts that share a shingle ther
 bucket of its own: all are aligned with each other if few; else all with those that have it
 in their first ninth, if these are few; else all with the least one of these, and what is
 unlike that with its neighbours in a random order, on both sides. Such a crowd has eight
-ninths of its shingles that are no rarer, so nearly all of it is linked by the step
-before. Classes are the components of the links.
+ninths of its shingles that are no rarer, so nearly all of it is linked by then. Where
+a crowd is still in several components, the nodes outside its largest one are compared
+with all others of another component, in tiles of bounded size, so no link between
+components is lost: by common shingles first, those with enough of them by alignment. Classes are the components of the links.
 
 Two texts are similar if the longest common subsequence of their labelled shingles,
 within the band that the limit allows, is at least `SIMILARITY` of the union.
@@ -48,6 +50,9 @@ FEW = 8  # nodes of a bucket that are all aligned with each other
 FEW_OF_SHINGLE = 16  # the same, for nodes that share a rare shingle
 NEIGHBOURS = 3
 BLOCK = 64  # nodes of a bucket that are put in order together
+TILE_WORDS = 100_000  # about so many words on each side of a tile of pairs
+LEAST_WORDS = 100  # a shorter text counts as so many, so a side has about a thousand texts
+COMMON_STEP = 4096  # shingles counted at a time
 
 _SEEDS = mix(np.arange(1, VECTORS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -175,9 +180,9 @@ def _in_order(marked: DataFrame, order: WindowSpec, reach: int) -> DataFrame:
 
 
 def _by_rare_shingle(texts: DataFrame) -> DataFrame:
-    """key, node, index, n, indexed, leader: nodes (node, text) by the shingles that a similar pair must share.
+    """key, node, size, index, n, indexed, leader: nodes (node, text) by the shingles that a similar pair must share.
 
-    `key` is a shingle among the rarest fifth of each node, `index` whether among its rarest ninth; `indexed` of the
+    `size` is the number of the node's shingles, `key` is a shingle among the rarest fifth of each node, `index` whether among its rarest ninth; `indexed` of the
     `n` nodes have it there, of which `leader` is the least.
     """
 
@@ -197,13 +202,85 @@ def _by_rare_shingle(texts: DataFrame) -> DataFrame:
     probe = F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1
     index = F.col("size") - F.ceil(F.col("size") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9) + 1
     prefix = known.withColumn("rank", rank).where((F.col("rank") <= probe) & (F.col("n") > 1))
-    prefix = stage(prefix.select("key", "node", (F.col("rank") <= index).alias("index")), "near-prefixes")
+    prefix = stage(prefix.select("key", "node", "size", (F.col("rank") <= index).alias("index")), "near-prefixes")
     buckets = prefix.groupBy("key").agg(
         F.count("*").alias("n"), F.count_if("index").alias("indexed"), F.min(F.when(F.col("index"), F.col("node"))).alias("leader")
     )
     return prefix.join(stage(buckets.where("n > 1 AND indexed > 0"), "near-prefix-buckets"), "key")
 
 
+def common_shingles(x: np.ndarray, own: np.ndarray, n: int, y: np.ndarray, other: np.ndarray, m: int) -> np.ndarray:
+    """How many labelled shingles each of `n` texts (shingles `x`, owners `own`) shares with each of `m` others."""
+    ids = np.intersect1d(x, y)
+    out = np.zeros((n, m), dtype=np.float32)
+    sides = []
+    for shingle, owner in ((x, own), (y, other)):
+        held = np.isin(shingle, ids)
+        sides.append((np.searchsorted(ids, shingle[held]), owner[held]))
+    for a in range(0, len(ids), COMMON_STEP):
+        has = []
+        for (at, owner), rows in zip(sides, (n, m), strict=True):
+            here = (at >= a) & (at < a + COMMON_STEP)
+            has.append(np.zeros((rows, min(COMMON_STEP, len(ids) - a)), dtype=np.float32))
+            has[-1][owner[here], at[here] - a] = 1
+        out += has[0] @ has[1].T
+    return out
+
+
+def _tile_links(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A similar pair for each two components that have one in a tile; both sides are node, root, text."""
+    sides = []
+    for side in (left, right):
+        shingle, owner = labelled_shingles(Words(side.column("text"), lower=True))
+        edges = np.searchsorted(owner, np.arange(side.num_rows + 1))
+        sides.append((shingle, owner, edges, np.asarray(side.column("node")), np.asarray(side.column("root"))))
+    (x, own, first, a, root_a), (y, other, begin, b, root_b) = sides
+    common = common_shingles(x, own, len(a), y, other, len(b))
+    least = SIMILARITY / (1 + SIMILARITY) * (np.diff(first)[:, None] + np.diff(begin)[None, :])
+    linked, pairs = set(), []
+    for i, j in np.argwhere((common >= least - 1e-3) & (root_a[:, None] != root_b[None, :])).tolist():
+        joint = (min(root_a[i], root_b[j]), max(root_a[i], root_b[j]))
+        if joint not in linked and similarity(x[first[i] : first[i + 1]], y[begin[j] : begin[j + 1]]) >= SIMILARITY:
+            linked.add(joint)
+            pairs.append((min(a[i], b[j]), max(a[i], b[j])))
+    found = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+
+def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the components (node, root) that the nodes of a crowded bucket are in: all such pairs are compared.
+
+    Of two nodes of different components one at least is outside the bucket's largest. A bucket
+    is dealt into tiles, so a large one is spread over tasks; buckets of the same nodes are one.
+    """
+    placed = crowded.select("key", "node", F.greatest("size", F.lit(LEAST_WORDS)).cast("long").alias("size"))
+    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stage(placed, "near-placed")
+    each = placed.groupBy("key", "root").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("s"),
+    )
+    buckets = each.groupBy("key").agg(
+        F.sum("n").alias("n"), F.count("*").alias("roots"), F.max_by("root", F.struct("size", "root")).alias("main"),
+        F.sum("size").alias("size"), F.max("size").alias("of_main"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"),
+    ).where("roots > 1")
+    buckets = buckets.groupBy("n", "x", "s").agg(F.min_by(F.struct("key", "main", "size", "of_main"), "key").alias("k"))
+    parts = buckets.select(
+        "k.key", "k.main", F.ceil((F.col("k.size") - F.col("k.of_main")) / TILE_WORDS).alias("lefts"),
+        F.ceil(F.col("k.size") / TILE_WORDS).alias("rights"),
+    )
+    dealt = stage(placed.join(stage(parts, "near-parts"), "key"), "near-dealt")
+    spot = F.xxhash64("node", "key")
+    left = dealt.where("root <> main").withColumn("i", F.pmod(spot, "lefts"))
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)))
+    right = dealt.withColumn("j", F.pmod(spot, "rights"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)))
+    left, right = (side.join(texts, "node").select("key", "i", "j", "node", "root", "text") for side in (left, right))
+    right = right.toDF("of_key", "of_i", "of_j", "node", "root", "text")
+    tiles = left.groupBy("key", "i", "j").cogroup(right.groupBy("of_key", "of_i", "of_j"))
+    return stage(tiles.applyInArrow(_tile_links, "a long, b long").distinct(), "near-links")
+
+
 def classes(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> DataFrame:
     """uid, doc_id, h1, h2 and `root` for every row: rows of one class have the same root, the uid of one of them.
 
@@ -265,6 +342,9 @@ def classes(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> DataFr
     links = similar.unionByName(_verified(stage(third, "near-pairs"), texts))
 
     roots = components(links)
+    more = _across(crowded, roots, texts)
+    if not more.isEmpty():
+        roots = components(links.unionByName(more))
     return known.join(roots, "node", "left").select("uid", "doc_id", "h1", "h2", F.coalesce("root", "node").alias("root"))
 
 
