@@ -74,6 +74,20 @@ def test_agrees_with_plain_counts(spark, tmp_path, monkeypatch, head):
             assert r.score == pytest.approx(model.log10(text[r.doc_id]), rel=1e-4, abs=1e-4)
 
 
+@pytest.mark.parametrize("cells, grams, group", [(4000, 2_000_000, 250_000), (1 << 20, 300, 900), (1, 1, 100)])
+def test_contexts_outside_the_trie_are_scored_exactly(spark, tmp_path, monkeypatch, cells, grams, group):
+    monkeypatch.setattr(ppm, "MAX_CELLS", cells)
+    monkeypatch.setattr(ppm, "MAX_GRAMS", grams)
+    monkeypatch.setattr(lmscore, "GROUP_GRAMS", group, raising=False)
+    docs = [r for r in rows() if r[0] is not None and len(r[1] or "") < 2000]
+    model = PlainPpm([(r[1] or "").encode() for r in docs if not held(r[0])])
+    text = {r[0]: (r[1] or "").encode() for r in docs}
+    got = op9_lm_scoring(spark, saved(table(spark, docs), tmp_path)).collect()
+    assert len(got) == len(docs) and any(r.held_out for r in got)
+    for r in got:
+        assert r.score == pytest.approx(model.log10(text[r.doc_id]), rel=1e-4, abs=1e-4)
+
+
 def test_no_training_rows_and_empty_table(spark):
     docs = table(spark, [(1, "ab", "en", "s", 0), (2, None, "en", "s", 0)])
     got = {r.doc_id: r for r in lmscore.score(docs, docs.doc_id < 0).collect()}

@@ -8,7 +8,9 @@ already excluded do not count; below the empty context all remaining bytes are a
 
 As the model is fixed once trained, the probabilities of every symbol at every node,
 escapes and exclusions worked in, are computed once; scoring walks the trie for all
-positions of a batch at a time.
+positions of a batch at a time. The trie may hold only the most frequent contexts, each with
+all its symbols, and with a context all shorter ones. Where a walk leaves such a trie, the
+(context, symbol) key is handed out, and `exact` takes its probability from the counts.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.textarrays import chunks, text_bytes
+from tidemark.llm.textarrays import chunks, ranges, text_bytes
 
 DEPTH = 4
 END = 255
-#: At most so many grams of one depth, and so many cells of the probability table; beyond, the rarest go.
+SUFFIX = 2  # bytes at a context's end by which its grams are put together
+#: The trie holds at most so many grams of one depth, and so many cells of probabilities; the rest is left to `exact`.
 MAX_GRAMS = 2_000_000
 MAX_CELLS = 24_000_000
 
@@ -33,6 +36,7 @@ class Trie:
     symbol: np.ndarray  # of each byte: its column, or the last one for bytes not seen
     child: np.ndarray  # [node, symbol of the byte before the context] -> node, or -1
     log10p: np.ndarray  # [node, symbol]
+    whole: bool = True  # every context is a node
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,8 +124,11 @@ def _spread(counts: list, parents: list, d: int, nodes: np.ndarray, width: int)
     return out
 
 
-def score(trie: Trie, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """log10 probability of each text, its end included."""
+def walk(trie: Trie, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 probability of each text, its end included, without the (context, symbol) keys that leave a trie that is not whole.
+
+    These keys and the text of each come second and third.
+    """
     out, coded, first = padded(data, offsets)
     columns = trie.symbol[out].astype(np.int32)
     node = np.zeros(len(coded), dtype=np.int32)
@@ -132,8 +139,51 @@ def score(trie: Trie, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         following = child[np.where(walking, node, 0).astype(np.int64) * width + columns[coded - back]]
         walking &= following >= 0
         node = np.where(walking, following, node)
-    each = trie.log10p.reshape(-1)[node.astype(np.int64) * trie.log10p.shape[1] + columns[coded]]
-    return np.add.reduceat(each.astype(np.float64), first) if len(first) else np.zeros(0)
+    each = trie.log10p.reshape(-1)[node.astype(np.int64) * trie.log10p.shape[1] + columns[coded]].astype(np.float64)
+    left = np.flatnonzero(~walking) if not trie.whole else np.zeros(0, np.int64)
+    each[left] = 0.0
+    key = np.zeros(len(left), dtype=np.int64)
+    for back in range(DEPTH, -1, -1):
+        key = (key << 8) | out[coded[left] - back]
+    total = np.add.reduceat(each, first) if len(first) else np.zeros(0)
+    return total, key, np.searchsorted(first, left, side="right") - 1
+
+
+def score(trie: Trie, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """log10 probability of each text under a whole trie."""
+    return walk(trie, data, offsets)[0]
+
+
+def exact(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray, low: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 probability of each of some (context, symbol) keys.
+
+    `keys` and `counts` are all grams whose contexts end in the same SUFFIX bytes as one that is
+    wanted; `low[d]` those of contexts of d bytes, for d below SUFFIX.
+    """
+    depths = list(low)
+    for d in range(SUFFIX, DEPTH + 1):
+        at, inverse = np.unique(keys & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        depths.append((at, np.bincount(inverse, weights=counts, minlength=len(at))))
+    out = np.empty(len(wanted))
+    for a in range(0, len(wanted), 4096):
+        todo = np.arange(a, min(a + 4096, len(wanted)))
+        excluded, escape = np.zeros((len(todo), 256), dtype=bool), np.zeros(len(todo))
+        for d in range(DEPTH, -1, -1):
+            at, n = depths[d]
+            context = (wanted[todo] >> 8) & ((1 << 8 * d) - 1)
+            begin, end = np.searchsorted(at, context << 8), np.searchsorted(at, (context + 1) << 8)
+            where, owner = ranges(begin, end - begin)
+            c = np.zeros((len(todo), 256))
+            c[owner, at[where] & 255] = n[where]
+            c[excluded] = 0
+            total, distinct = c.sum(axis=1), (c > 0).sum(axis=1)
+            mine = c[np.arange(len(todo)), wanted[todo] & 255]
+            hit = mine > 0
+            out[todo[hit]] = escape[hit] + np.log10(mine[hit] / (total + distinct)[hit])
+            more = np.where(total > 0, np.log10(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0.0)
+            todo, excluded, escape = todo[~hit], (excluded | (c > 0))[~hit], (escape + more)[~hit]
+        out[todo] = escape - np.log10(np.maximum(256 - excluded.sum(axis=1), 1))
+    return out
 
 
 def scores_of(trie: Trie, column: pa.Array, limit: int) -> Iterator[np.ndarray]:
