@@ -130,3 +130,20 @@ def test_a_hot_fingerprint_is_folded_before_it_meets_the_state(spark, timeout):
     assert sum(r.alerts for r in folded) == 100_000
     assert len(folded) < 30
     assert [r.offset for r in folded if r.status == "RESOLVED"] == [50_010]
+
+
+def test_a_body_is_parsed_once_before_it_is_published(spark, tmp_path):
+    """Publishing samples its rows, and writes them; neither parses them again."""
+    bodies(spark, LIFE).write.parquet(f"{tmp_path}/bodies")
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(body):
+        calls.add(1)
+        return body
+
+    arriving = spark.readStream.schema(bodies(spark, LIFE).schema).parquet(f"{tmp_path}/bodies")
+    arriving = arriving.withColumn("body", seen.asNondeterministic()("body"))
+    stream = AlertEpisodes(f"{tmp_path}/alerts")
+    stream.publish(arriving, f"{tmp_path}/in").trigger(availableNow=True).start().awaitTermination()
+    assert calls.value == bodies(spark, LIFE).count()

@@ -186,7 +186,10 @@ class AlertEpisodes:
         return latest(self.log.read(spark), ["fingerprint", "episode_no"]).drop("tick")
 
     def publish(self, bodies: DataFrame, checkpoint: str) -> DataStreamWriter:
-        """A writer that parses a stream of (arrival, received_at, body) into the alert topic."""
+        """A writer that parses a stream of (arrival, received_at, body) into the alert topic.
+
+        Parsed alerts are written first, as publishing reads its rows more than once; each tick overwrites the last one's.
+        """
 
         def tick(batch: DataFrame, number: int) -> None:
             alerts = incidents.parse_alerts(batch)
@@ -198,6 +201,9 @@ class AlertEpisodes:
                 F.col("fingerprint").alias("key"), F.to_json(value).cast("binary").alias("value"),
                 F.col("received_at").alias("timestamp"), "arrival", "position",
             )
+            parsed = f"{self.root}/work/parsed"
+            keyed.write.mode("overwrite").parquet(parsed)
+            keyed = batch.sparkSession.read.schema(keyed.schema).parquet(parsed)
             segments.publish(
                 keyed, self.topic, self.partitions, ["arrival", "position"], writer=checkpoint, batch=str(number))
 
