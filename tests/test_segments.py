@@ -181,3 +181,15 @@ def test_redeliveries_across_ticks_count_once(spark, path_of):
     stream = path_of([*texts, texts[0], texts[3]], per_tick=3)
     assert stream.raw.read(spark).count() == 5
     assert [(r.event_count, r.heart_rate_sum) for r in stream.daily(spark).collect()] == [(5, 365)]
+
+
+def test_a_reader_holds_a_part_of_a_row_group(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "topic")
+    segments.publish(rows(spark, 0, 1000), path, 1)
+    monkeypatch.setattr(segments, "ROW_GROUP", 64)
+    [task] = segments._ranges(segments.TopicLog(path), {0: 130}, {0: 777}, 10_000)
+    batches = list(segments._read(path, "t", task))
+    assert max(b.num_rows for b in batches) <= 64
+    assert [n for b in batches for n in b.column("offset").to_pylist()] == list(range(130, 777))
+    assert [int(v) for b in batches for v in b.column("value").to_pylist()] == list(range(130, 777))
+    assert {t for b in batches for t in b.column("topic").to_pylist()} == {"t"}

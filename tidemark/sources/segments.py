@@ -10,7 +10,8 @@ writer at a time may publish to a topic.
 A stream's offset is ``{topic: {partition: next offset}}``. The driver looks up commits
 by bisection and never lists the folder. A tick takes at most ``maxoffsetspertrigger``
 rows, an equal share of every partition; each topic partition's range is read by
-one task per ``rowspertask`` rows. ``read`` skips row groups outside its range.
+one task per ``rowspertask`` rows. ``read`` skips row groups outside its range. Tasks
+hold a row group, or a part of one, at a time.
 
 Paths may be of any file system that pyarrow opens by URI, or plain local ones.
 """
@@ -22,6 +23,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
@@ -37,7 +39,7 @@ from tidemark import schemas
 
 FORMAT = "segment_topic"
 ROWS_PER_TASK = 1_000_000
-ROW_GROUP = 100_000
+ROW_GROUP = 10_000
 
 
 @dataclass(frozen=True)
@@ -185,16 +187,18 @@ def _read(path: str, topic: str, task: Range) -> Iterator[pa.RecordBatch]:
             for group in range(file.num_row_groups):
                 rows = file.metadata.row_group(group).num_rows
                 if at < task.end and at + rows > task.start:
-                    table = file.read_row_group(group)
-                    first, until = max(task.start - at, 0), min(task.end - at, rows)
-                    for batch in table.slice(first, until - first).to_batches():
-                        n = batch.num_rows
-                        yield pa.RecordBatch.from_arrays([
-                            batch.column("key"), batch.column("value"), pa.array([topic] * n, pa.string()),
-                            pa.array([task.partition] * n, pa.int32()),
-                            pa.array(range(at + first, at + first + n), pa.int64()), batch.column("timestamp"),
-                        ], names=schemas.TOPIC.names)
-                        first += n
+                    first = 0
+                    for held in file.iter_batches(ROW_GROUP, [group], use_threads=False):
+                        low = max(task.start - at - first, 0)
+                        batch = held.slice(low, max(min(task.end - at - first, held.num_rows) - low, 0))
+                        n, base = batch.num_rows, at + first + low
+                        if n:
+                            yield pa.RecordBatch.from_arrays([
+                                batch.column("key"), batch.column("value"), pa.repeat(pa.scalar(topic), n),
+                                pa.repeat(pa.scalar(task.partition, pa.int32()), n),
+                                pa.array(np.arange(base, base + n)), batch.column("timestamp"),
+                            ], names=schemas.TOPIC.names)
+                        first += held.num_rows
                 at += rows
 
 
@@ -287,17 +291,17 @@ class BatchWriter(DataSourceArrowWriter):
         log.files.create_dir(f"{log.root}/data")
         done: list[tuple[int, int, int, str]] = []
         held: list[pa.Table] = []
-        out, name, rows, current = None, "", 0, None
+        out, name, rows, waiting, current = None, "", 0, 0, None
 
         def flush() -> None:
-            nonlocal out, held, rows
+            nonlocal out, held, rows, waiting
             if held:
                 table = pa.concat_tables(held)
                 if out is None:
                     out = pq.ParquetWriter(f"{log.root}/{name}", table.schema, filesystem=log.files, compression="zstd")
                 out.write_table(table)
                 rows += table.num_rows
-                held = []
+                held, waiting = [], 0
 
         def close() -> None:
             nonlocal out
@@ -319,7 +323,8 @@ class BatchWriter(DataSourceArrowWriter):
                     current, rows = int(partitions[a]), 0
                     name = f"data/{current}-{uuid.uuid4().hex}.parquet"
                 held.append(table.slice(a, b - a).select(["key", "value", "timestamp"]))
-                if sum(t.num_rows for t in held) >= ROW_GROUP:
+                waiting += b - a
+                if waiting >= ROW_GROUP:
                     flush()
         close()
         return Written(done)
