@@ -193,3 +193,9 @@ def test_a_reader_holds_a_part_of_a_row_group(spark, tmp_path, monkeypatch):
     assert [n for b in batches for n in b.column("offset").to_pylist()] == list(range(130, 777))
     assert [int(v) for b in batches for v in b.column("value").to_pylist()] == list(range(130, 777))
     assert {t for b in batches for t in b.column("topic").to_pylist()} == {"t"}
+
+
+def test_a_tick_of_a_busy_partition_is_read_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    segments.publish(rows(spark, 0, 200_000), path, 1)
+    assert read(spark, path).rdd.getNumPartitions() >= 4

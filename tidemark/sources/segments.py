@@ -38,7 +38,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark import schemas
 
 FORMAT = "segment_topic"
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 50_000
 ROW_GROUP = 10_000
 
 
