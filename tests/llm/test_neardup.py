@@ -133,6 +133,42 @@ def test_pairs_in_a_crowd_that_shares_nearly_all_shingles_are_all_linked(spark,
     assert got_classes(neardup.classes(table(spark, rows)).collect()) == [[2 * g, 2 * g + 1] for g in range(120)]
 
 
+def test_a_pair_of_one_component_is_not_aligned_again(spark, monkeypatch):
+    """In a large group of near copies every step after the first joins components, and the classes are those of all pairs."""
+    hot, asked, linked = prose(99, 100), [], []
+    whole = neardup._verified
+
+    def kept(pairs, texts):
+        good = whole(pairs, texts)
+        asked.append([tuple(r) for r in pairs.select("a", "b").collect()])
+        linked.append([tuple(r) for r in good.select("a", "b").collect()])
+        return good
+
+    monkeypatch.setattr(neardup, "_verified", kept)
+    rows = [(i, edited(hot, 900 + i, 0.012), "en", "s", 0) for i in range(150)] + [(1000 + r[0], *r[1:]) for r in templated(15)]
+    assert got_classes(neardup.classes(table(spark, rows)).collect()) == expected(rows)
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    assert len(asked) == 3 and len(linked[0]) > 100
+    for step, pairs in enumerate(asked):
+        assert step == 0 or all(find(a) != find(b) for a, b in pairs)
+        for a, b in linked[step]:
+            parent[find(a)] = find(b)
+
+
+def test_components_are_merged_by_links_between_them(spark):
+    roots = spark.createDataFrame([(1, 1), (5, 1), (3, 3), (4, 3), (8, 8), (9, 8)], "node long, root long")
+    links = spark.createDataFrame([(4, 5), (5, 4), (1, 5), (7, 9), (2, 6)], "a long, b long")
+    got = {r.node: r.root for r in neardup._merged(roots, links).collect()}
+    assert got == {1: 1, 5: 1, 3: 1, 4: 1, 7: 7, 8: 7, 9: 7, 2: 2, 6: 2}
+    assert neardup._merged(roots, links.limit(0)).count() == 6
+
+
 def test_common_shingles_are_counted_in_steps(monkeypatch):
     texts = [prose(i % 3, 30 + i) for i in range(8)]
     parts = shingles(texts)

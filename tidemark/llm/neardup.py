@@ -19,6 +19,8 @@ ninths of its shingles that are no rarer, so nearly all of it is linked by then.
 a crowd is still in several components, the nodes outside its largest one are compared
 with all others of another component, in tiles of bounded size, so no link between
 components is lost: by common shingles first, those with enough of them by alignment. Classes are the components of the links.
+The components are known after each of these steps, and the next one aligns only nodes of
+different ones: of a large group of near copies nearly all meet in the first step.
 
 Two texts are similar if the longest common subsequence of their labelled shingles,
 within the band that the limit allows, is at least `SIMILARITY` of the union.
@@ -172,11 +174,34 @@ def _opened(buckets: DataFrame, similar: DataFrame) -> DataFrame:
     return marked.withColumn("open", (F.col("node") != F.col("leader")) & F.col("linked").isNull()).drop("linked")
 
 
-def _in_order(marked: DataFrame, order: WindowSpec, reach: int) -> DataFrame:
-    """Pairs of each open node and the `reach` nodes on both sides of it."""
-    near = F.array(*[f("node", i).over(order) for f in (F.lag, F.lead) for i in range(1, reach + 1)])
-    pairs = marked.withColumn("near", near).where("open").select("node", F.explode("near").alias("other")).where("other IS NOT NULL")
-    return pairs.select(*_pair("node", "other")).distinct()
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Add `root`, the component that each `node` is in so far."""
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The buckets (key, node) whose nodes are in several components so far, with `root`."""
+    placed = stage(_rooted(buckets, roots), "near-placed")
+    several = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+    return stage(placed.join(stage(several.select("key"), "near-several"), "key", "left_semi"), "near-apart")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) with more links, of which only those between components so far are followed."""
+    if links.isEmpty():
+        return roots
+    for side in ("a", "b"):
+        links = links.join(roots.toDF(side, f"root_{side}"), side, "left")
+    met = components(links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    before = roots.join(met.toDF("root", "least"), "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+    return stage(before.unionByName(met.join(roots, "node", "left_anti")), "near-roots")
+
+
+def _in_order(rooted: DataFrame, order: WindowSpec, reach: int) -> DataFrame:
+    """Pairs of each node and those of other components among the `reach` nodes on both sides of it."""
+    near = F.array(*[f(F.struct("node", "root"), i).over(order) for f in (F.lag, F.lead) for i in range(1, reach + 1)])
+    others = rooted.withColumn("near", near).select("node", F.expr("filter(near, x -> x.root <> root)").alias("others"))
+    return others.select("node", F.explode("others.node").alias("other")).select(*_pair("node", "other")).distinct()
 
 
 def _by_rare_shingle(texts: DataFrame) -> DataFrame:
@@ -254,8 +279,7 @@ def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame
     is dealt into tiles, so a large one is spread over tasks; buckets of the same nodes are one.
     """
     placed = crowded.select("key", "node", F.greatest("size", F.lit(LEAST_WORDS)).cast("long").alias("size"))
-    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stage(placed, "near-placed")
+    placed = stage(_rooted(placed, roots), "near-placed")
     each = placed.groupBy("key", "root").agg(
         F.count("*").alias("n"), F.sum("size").alias("size"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("s"),
@@ -316,35 +340,31 @@ def classes(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> DataFr
 
     first = stage(shared.where("node <> leader").select(*_pair("node", "leader")).distinct(), "near-pairs")
     similar = _verified(first, texts)
+    roots = stage(components(similar), "near-roots")
     marked = _opened(shared.select("key", "node", "leader", "n"), similar)
     rest = marked.groupBy("key").agg(F.max("open").alias("rest")).where("rest").select("key")
     marked = stage(marked.join(rest, "key"), "near-rest")
-    few = _in_order(marked.where(F.col("n") <= FEW), Window.partitionBy("key").orderBy("node"), FEW - 1)
+    few = _in_order(_rooted(marked.where(F.col("n") <= FEW), roots), Window.partitionBy("key").orderBy("node"), FEW - 1)
     crowd = marked.where(F.col("n") > FEW).select("node").distinct().join(texts, "node")
-    sub = stage(_by_rare_shingle(stage(crowd, "near-crowd")), "near-sub-buckets")
+    sub = _apart(stage(_by_rare_shingle(stage(crowd, "near-crowd")), "near-sub-buckets"), roots)
     close = _in_order(
-        sub.where(F.col("n") <= FEW_OF_SHINGLE).withColumn("open", F.lit(True)),
-        Window.partitionBy("key").orderBy("node"), FEW_OF_SHINGLE - 1,
+        sub.where(F.col("n") <= FEW_OF_SHINGLE), Window.partitionBy("key").orderBy("node"), FEW_OF_SHINGLE - 1
     )
     crowded = sub.where(F.col("n") > FEW_OF_SHINGLE)
-    heads = crowded.where(F.col("index") & (F.col("indexed") <= FEW_OF_SHINGLE)).select("key", F.col("node").alias("head"))
-    headed = crowded.join(heads, "key").where("node <> head").select(*_pair("node", "head"))
-    crowded = crowded.where(F.col("indexed") > FEW_OF_SHINGLE)
-    led = crowded.where("node <> leader").select(*_pair("node", "leader"))
-    second = few.unionByName(close).unionByName(headed).unionByName(led).distinct().join(first, ["a", "b"], "left_anti")
+    heads = crowded.where(F.col("index") & ((F.col("indexed") <= FEW_OF_SHINGLE) | (F.col("node") == F.col("leader"))))
+    heads = heads.select("key", F.col("node").alias("head"), F.col("root").alias("of_head"))
+    headed = crowded.join(heads, "key").where("root <> of_head").select(*_pair("node", "head"))
+    second = few.unionByName(close).unionByName(headed).distinct().join(first, ["a", "b"], "left_anti")
     second = stage(second, "near-pairs")
-    similar = similar.unionByName(_verified(second, texts))
+    roots = _merged(roots, _verified(second, texts))
     # Dealt by block, as a bucket alone may be large.
-    mixed = _opened(crowded, similar).withColumn("spot", F.xxhash64("node", "key"))
+    crowded = crowded.where(F.col("indexed") > FEW_OF_SHINGLE).drop("root")
+    mixed = _rooted(crowded, roots).withColumn("spot", F.xxhash64("node", "key"))
     mixed = mixed.withColumn("block", F.pmod("spot", F.ceil(F.col("n") / BLOCK))).repartition("key", "block")
-    third = _in_order(mixed, Window.partitionBy("key", "block").orderBy("spot", "node"), NEIGHBOURS).distinct()
+    third = _in_order(mixed, Window.partitionBy("key", "block").orderBy("spot", "node"), NEIGHBOURS)
     third = third.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
-    links = similar.unionByName(_verified(stage(third, "near-pairs"), texts))
-
-    roots = components(links)
-    more = _across(crowded, roots, texts)
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    roots = _merged(roots, _verified(stage(third, "near-pairs"), texts))
+    roots = _merged(roots, _across(crowded, roots, texts))
     return known.join(roots, "node", "left").select("uid", "doc_id", "h1", "h2", F.coalesce("root", "node").alias("root"))
 
 
